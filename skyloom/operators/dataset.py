@@ -49,18 +49,26 @@ def joined_training_rows(joined: DataFrame, keep: list[str] | None = None) -> Da
     )
 
 
+def _sides(df: DataFrame, time: str, split: str) -> tuple[Column, Column]:
+    at = F.lit(split).cast(df.schema[time].dataType)
+    return F.col(time) < at, F.col(time) >= at
+
+
 def time_split(df: DataFrame, time: str, split: str = SPLIT_DATE) -> tuple[DataFrame, DataFrame]:
     """Rows before the split and rows from it on; the time column goes.
 
     A row without a time is in neither part. Two filters on one plan, so a
     partitioned source reads each part's own folders.
     """
-    is_text = dict(df.dtypes)[time] == "string"
-    at = F.lit(split) if is_text else F.lit(split).cast(df.schema[time].dataType)
-    return (
-        df.filter(F.col(time) < at).drop(time),
-        df.filter(F.col(time) >= at).drop(time),
-    )
+    train, test = _sides(df, time, split)
+    return df.filter(train).drop(time), df.filter(test).drop(time)
+
+
+def split_parts(df: DataFrame, time: str, split: str = SPLIT_DATE) -> DataFrame:
+    """P17 as one frame with a column ``part``, for a source that is costly to compute twice."""
+    train, test = _sides(df, time, split)
+    parted = df.withColumn("part", F.when(train, "train").when(test, "test"))
+    return parted.filter(F.col("part").isNotNull()).drop(time)
 
 
 def first_rows(df: DataFrame, order: list[str], n: int | None = None) -> DataFrame:

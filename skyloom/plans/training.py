@@ -14,14 +14,14 @@ from skyloom.operators.dataset import (
     first_rows,
     joined_training_rows,
     raw_training_rows,
-    time_split,
+    split_parts,
 )
 from skyloom.operators.metrics import confusion_matrix, roc_curve
 from skyloom.operators.model import fit_classifier, load_model, save_model, score
 from skyloom.session import materialise, scratch_path
 from skyloom.sources.flights import scan_by_header, scan_read_instances
 from skyloom.sources.store import FeatureStore
-from skyloom.sources.tables import write_metrics
+from skyloom.sources.tables import write_metrics, write_parts
 
 
 @dataclass(frozen=True)
@@ -34,19 +34,17 @@ class Evaluation:
     roc: DataFrame
 
 
-def raw_datasets(
-    spark: SparkSession, path: str, split: str = SPLIT_DATE
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test set straight from the raw files."""
-    return time_split(raw_training_rows(scan_by_header(spark, path)), "FlightDate", split)
+def raw_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Labelled rows straight from the raw files, with ``FlightDate``."""
+    return raw_training_rows(scan_by_header(spark, path))
 
 
-def joined_datasets(
-    store: FeatureStore, spine: DataFrame, split: str = SPLIT_DATE, **options
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test set from request rows and the feature store."""
+def joined_rows(
+    store: FeatureStore, spine: DataFrame, keep: list[str] | None = None, **options
+) -> DataFrame:
+    """Labelled rows from request rows and the feature store, with ``timestamp``."""
     joined = store.serve(spine, {"flight": ["*"], "airport": ["*"]}, **options)
-    return time_split(joined_training_rows(joined), "timestamp", split)
+    return joined_training_rows(joined, keep)
 
 
 def evaluate(
@@ -73,21 +71,21 @@ def evaluate(
 
 
 def train_and_evaluate(
-    train: DataFrame,
-    test: DataFrame,
+    rows: DataFrame,
+    time: str,
     features: list[str],
     *,
+    split: str = SPLIT_DATE,
     output: str | None = None,
     **options,
 ) -> Evaluation:
-    """Write the datasets, fit, save, reload, evaluate, record the metrics.
+    """Split and write the datasets, fit, save, reload, evaluate, record the metrics.
 
     ``output`` is a folder of the shared file system; everything the steps hand
-    on is a table in it.
+    on is a table in it. The rows are computed once for both datasets.
     """
-    base = output or scratch_path(train.sparkSession, "training")
-    train = materialise(train, "train", f"{base}/train")
-    test = materialise(test, "test", f"{base}/test")
+    base = output or scratch_path(rows.sparkSession, "training")
+    train, test = write_parts(split_parts(rows, time, split), f"{base}/datasets")
     save_model(fit_classifier(train, features), f"{base}/model")
     result = evaluate(load_model(f"{base}/model"), test, **options)
     write_metrics(result.roc, result.confusion, f"{base}/metrics")
@@ -98,14 +96,18 @@ def run_raw_training(
     spark: SparkSession, training_data: str, test_split_date: str = SPLIT_DATE, **options
 ) -> Evaluation:
     """The training job on raw files."""
-    train, test = raw_datasets(spark, training_data, test_split_date)
-    return train_and_evaluate(train, test, RAW_FEATURES, **options)
+    rows = raw_rows(spark, training_data)
+    return train_and_evaluate(rows, "FlightDate", RAW_FEATURES, split=test_split_date, **options)
 
 
 def run_joined_training(
-    store: FeatureStore, read_instances: str, test_split_date: str = SPLIT_DATE, **options
+    store: FeatureStore,
+    read_instances: str,
+    test_split_date: str = SPLIT_DATE,
+    *,
+    exact: tuple[str, ...] = (),
+    **options,
 ) -> Evaluation:
     """The training job on request rows and the feature store."""
-    spine = scan_read_instances(store.spark, read_instances)
-    train, test = joined_datasets(store, spine, test_split_date)
-    return train_and_evaluate(train, test, JOINED_FEATURES, **options)
+    rows = joined_rows(store, scan_read_instances(store.spark, read_instances), exact=exact)
+    return train_and_evaluate(rows, "timestamp", JOINED_FEATURES, split=test_split_date, **options)

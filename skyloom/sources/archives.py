@@ -19,7 +19,7 @@ def scan_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
-    """Unzip on the executors: one row per line, with year and month of the archive name.
+    """Unzip on the executors: ``line`` with ``file_year`` and ``file_month`` of the archive name.
 
     A zip stream can only be read from its start, so one archive is the unit of
     work; its lines leave the task in batches and are never held as a whole. An
@@ -36,7 +36,7 @@ def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
 
         for batch in batches:
             for path, year, month, content in zip(
-                batch["path"], batch["year"], batch["month"], batch["content"]
+                batch["path"], batch["file_year"], batch["file_month"], batch["content"]
             ):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     members = [
@@ -47,23 +47,26 @@ def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
                     with archive.open(members[0]) as raw:
                         text = io.TextIOWrapper(raw, encoding=encoding, newline="\n")
                         while lines := [s.rstrip("\r\n") for s in islice(text, batch_lines)]:
-                            yield pd.DataFrame({"year": year, "month": month, "line": lines})
+                            yield pd.DataFrame(
+                                {"file_year": year, "file_month": month, "line": lines}
+                            )
 
     named = archives.select(
         "path",
-        F.regexp_extract("path", ARCHIVE_NAME, 1).try_cast("int").alias("year"),
-        F.regexp_extract("path", ARCHIVE_NAME, 2).try_cast("int").alias("month"),
+        F.regexp_extract("path", ARCHIVE_NAME, 1).try_cast("int").alias("file_year"),
+        F.regexp_extract("path", ARCHIVE_NAME, 2).try_cast("int").alias("file_month"),
         "content",
     )
     checked = named.withColumn(
-        "year",
-        F.when(F.col("month").isNull(), F.raise_error(F.concat(F.lit("no month: "), "path")))
-        .otherwise(F.col("year"))
+        "file_year",
+        F.when(F.col("file_month").isNull(), F.raise_error(F.concat(F.lit("no month: "), "path")))
+        .otherwise(F.col("file_year"))
         .cast("int"),
     )
-    return checked.mapInPandas(unzip, "year int, month int, line string")
+    return checked.mapInPandas(unzip, "file_year int, file_month int, line string")
 
 
 def write_extracted(lines: DataFrame, path: str) -> None:
     """Text files below ``year=/month=``, so that later scans prune by month."""
-    lines.write.mode("overwrite").partitionBy("year", "month").text(path)
+    months = lines.withColumnsRenamed({"file_year": "year", "file_month": "month"})
+    months.write.mode("overwrite").partitionBy("year", "month").text(path)

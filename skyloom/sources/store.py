@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
 from skyloom.schemas import Feature, FeatureGroup
@@ -25,13 +24,24 @@ class FeatureStore:
     # Registry
 
     def create(self, group: FeatureGroup) -> FeatureGroup:
-        """Declare a group; its features are saved beside the tables."""
+        """Declare a group: its features are saved, and its table exists from now on."""
         rows = [
-            (group.name, i, f.name, f.value_type, f.description, group.description)
-            for i, f in enumerate(group.features)
+            F.struct(
+                F.lit(group.name).alias("group"),
+                F.lit(position).alias("position"),
+                F.lit(f.name).alias("feature"),
+                F.lit(f.value_type).alias("value_type"),
+                F.lit(f.description).alias("description"),
+                F.lit(group.description).alias("about"),
+            )
+            for position, f in enumerate(group.features)
         ]
-        registry = self.spark.createDataFrame(rows, _REGISTRY).coalesce(1)
+        registry = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
         registry.write.mode("overwrite").json(f"{self.path}/registry/{group.name}")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._table_schema(group)]
+        self.spark.range(0).select(*empty).write.mode("append").partitionBy(_DAY).parquet(
+            self._table_path(group)
+        )
         return group
 
     def group(self, name: str) -> FeatureGroup:
@@ -57,13 +67,7 @@ class FeatureStore:
         )
 
     def _stored(self, group: FeatureGroup) -> DataFrame:
-        schema = self._table_schema(group)
-        try:
-            return self.spark.read.schema(schema).parquet(self._table_path(group))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(self._table_schema(group)).parquet(self._table_path(group))
 
     def ingest(
         self,

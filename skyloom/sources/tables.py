@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.schemas import avro_schema
@@ -45,6 +46,16 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_parts(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Both datasets of a frame with a column ``part`` in one pass, read back.
+
+    Each part is a folder, so reading one does not touch the other.
+    """
+    df.write.mode("overwrite").partitionBy("part").parquet(path)
+    parts = df.sparkSession.read.schema(df.schema).parquet(path)
+    return tuple(parts.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+
+
 def write_metrics(roc: DataFrame, confusion: DataFrame, path: str) -> None:
     """The curve and the labelled matrix as two tables below ``path``."""
     roc.write.mode("overwrite").parquet(f"{path}/roc_curve")
