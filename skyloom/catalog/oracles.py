@@ -23,7 +23,7 @@ flights AS (
          CAST(10000 + user_id % 20 AS VARCHAR) AS origin_airport_id,
          k IN (3, 4) AS is_cancelled,
          round(value - 50, 2) AS departure_delay_minutes,
-         round(value - 50 + (k - 50) / CAST(5 AS DOUBLE), 2) AS arrival_delay_minutes,
+         round(value - 50 + (k - 50) / CAST(5 AS DOUBLE), 2) + CAST(0 AS DOUBLE) AS arrival_delay_minutes,
          CAST(k AS DOUBLE) AS taxi_out_minutes,
          round(value * 10) AS distance_miles
   FROM raw
@@ -66,10 +66,10 @@ newest AS (
 )"""
 
 _FLIGHT_COLUMNS = """
-  round(departure_delay_minutes, 6) AS departure_delay_minutes,
-  round(arrival_delay_minutes, 6) AS arrival_delay_minutes,
-  round(taxi_out_minutes, 6) AS taxi_out_minutes,
-  round(distance_miles, 6) AS distance_miles"""
+  round(departure_delay_minutes, 8) AS departure_delay_minutes,
+  round(arrival_delay_minutes, 8) AS arrival_delay_minutes,
+  round(taxi_out_minutes, 8) AS taxi_out_minutes,
+  round(distance_miles, 8) AS distance_miles"""
 
 
 def _linear(weights: dict[str, float], intercept: float) -> str:
@@ -246,7 +246,7 @@ stamped AS (
   FROM airports
 )
 SELECT f.event_id, f.flight_number AS flight, f.origin_airport_id AS airport, f.timestamp,
-       round(s.average_departure_delay, 6) AS average_departure_delay
+       round(s.average_departure_delay, 8) AS average_departure_delay
 FROM flights f ASOF LEFT JOIN stamped s
   ON s.origin_airport_id = f.origin_airport_id AND s.at <= f.timestamp"""
 
@@ -260,7 +260,7 @@ _FLIGHT_SELECT = f"SELECT timestamp, flight_number, origin_airport_id, is_cancel
 
 _AIRPORT_SELECT = """
 SELECT timestamp, origin_airport_id,
-       round(average_departure_delay, 6) AS average_departure_delay"""
+       round(average_departure_delay, 8) AS average_departure_delay"""
 
 _ENRICHED = f"""
 WITH {_AIRPORTS},
@@ -277,15 +277,15 @@ probability AS (
          1 / (1 + exp(-({_linear(ENRICHED_WEIGHTS, FLIGHT_INTERCEPT)}))) AS p
   FROM found
 )
-SELECT event_id, round(average_departure_delay, 6) AS average_departure_delay,
-       round(p, 6) AS score, p > 0.5 AS prediction
+SELECT event_id, round(average_departure_delay, 8) AS average_departure_delay,
+       round(p, 8) AS score, p > 0.5 AS prediction
 FROM probability"""
 
 _AIRPORT_QUERY = f"WITH {_AIRPORTS} {_AIRPORT_SELECT} FROM airports"
 
 _DATASET_COLUMNS = """
-  round("DepDelay", 6) AS "DepDelay", round("TaxiOut", 6) AS "TaxiOut",
-  round("Distance", 6) AS "Distance", target"""
+  round("DepDelay", 8) AS "DepDelay", round("TaxiOut", 8) AS "TaxiOut",
+  round("Distance", 8) AS "Distance", target"""
 
 ORACLES: dict[str, str] = {
     "raw_text_parse": f"""
@@ -302,7 +302,7 @@ SELECT event_id,
        CAST(k AS VARCHAR) AS "TaxiOut",
        CASE WHEN k = 2 THEN '2400' WHEN k <> 0 THEN strftime(ts, '%H%M') END AS "WheelsOff",
        CASE WHEN k <> 1
-            THEN CAST(round(value - 50 + (k - 50) / CAST(5 AS DOUBLE), 2) AS VARCHAR)
+            THEN CAST(round(value - 50 + (k - 50) / CAST(5 AS DOUBLE), 2) + CAST(0 AS DOUBLE) AS VARCHAR)
             END AS "ArrDelay",
        CASE WHEN k = 3 THEN '1.00' ELSE '0.00' END AS "Cancelled",
        CASE WHEN k = 4 THEN '1.00' ELSE '0.00' END AS "Diverted",
@@ -365,7 +365,7 @@ FROM flights f LEFT JOIN newest n
     "latest_airport_features": f"""
 WITH {_AIRPORTS}
 SELECT max(timestamp) AS timestamp, origin_airport_id,
-       round(arg_max(average_departure_delay, timestamp), 6) AS average_departure_delay
+       round(arg_max(average_departure_delay, timestamp), 8) AS average_departure_delay
 FROM airports GROUP BY origin_airport_id""",
     "training_set_part1": f"""
 WITH {_PART1}
@@ -374,10 +374,10 @@ SELECT event_id, {_DATASET_COLUMNS},
 FROM rows""",
     "training_set_part2": f"""
 WITH {_SERVED}
-SELECT event_id, round(departure_delay_minutes, 6) AS departure_delay_minutes,
-       round(taxi_out_minutes, 6) AS taxi_out_minutes,
-       round(distance_miles, 6) AS distance_miles,
-       round(average_departure_delay, 6) AS average_departure_delay,
+SELECT event_id, round(departure_delay_minutes, 8) AS departure_delay_minutes,
+       round(taxi_out_minutes, 8) AS taxi_out_minutes,
+       round(distance_miles, 8) AS distance_miles,
+       round(average_departure_delay, 8) AS average_departure_delay,
        target,
        CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN 'train' ELSE 'test' END AS part
 FROM joined""",
@@ -395,9 +395,9 @@ WITH {_PART1},
 middle AS (
   SELECT median("DepDelay") AS a, median("TaxiOut") AS b, median("Distance") AS c FROM rows
 )
-SELECT event_id, round(coalesce("DepDelay", a), 6) AS "DepDelay",
-       round(coalesce("TaxiOut", b), 6) AS "TaxiOut",
-       round(coalesce("Distance", c), 6) AS "Distance", target
+SELECT event_id, round(coalesce("DepDelay", a), 8) AS "DepDelay",
+       round(coalesce("TaxiOut", b), 8) AS "TaxiOut",
+       round(coalesce("Distance", c), 8) AS "Distance", target
 FROM rows, middle""",
     "standardise": f"""
 WITH {_PART1},
@@ -410,9 +410,9 @@ filled AS (
   FROM rows, middle
 )
 SELECT event_id,
-       round((a - avg(a) OVER ()) / stddev_pop(a) OVER (), 6) AS "DepDelay",
-       round((b - avg(b) OVER ()) / stddev_pop(b) OVER (), 6) AS "TaxiOut",
-       round((c - avg(c) OVER ()) / stddev_pop(c) OVER (), 6) AS "Distance", target
+       round((a - avg(a) OVER ()) / stddev_pop(a) OVER (), 8) AS "DepDelay",
+       round((b - avg(b) OVER ()) / stddev_pop(b) OVER (), 8) AS "TaxiOut",
+       round((c - avg(c) OVER ()) / stddev_pop(c) OVER (), 8) AS "Distance", target
 FROM filled""",
     "score_fixed_weights": f"WITH {_SCORED} SELECT event_id, target, score, prediction FROM scored",
     "confusion_matrix_fixed": f"WITH {_SCORED} {_CONFUSION}",

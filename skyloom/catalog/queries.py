@@ -68,11 +68,11 @@ def ntz(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
-def rounded(name: str, digits: int = 6) -> Column:
+def rounded(name: str, digits: int = 8) -> Column:
     return F.round(name, digits).alias(name)
 
 
-def present(df: DataFrame, digits: int = 6) -> DataFrame:
+def present(df: DataFrame, digits: int = 8) -> DataFrame:
     """Times without zone, doubles rounded."""
     shown = []
     for field in df.schema:
@@ -94,6 +94,11 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_flights(raw(spark, sf_dir), ["event_id"])
 
 
+def written_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights as the feature job leaves them: parsed once, in a table."""
+    return materialise(flights(spark, sf_dir), "flights")
+
+
 def spine(flights: DataFrame) -> DataFrame:
     return flights.select(
         "event_id",
@@ -229,7 +234,7 @@ def airport_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feature_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All flights, then later corrections of the cancelled ones, in one group."""
-    rows = materialise(flights(spark, sf_dir), "flights")
+    rows = written_flights(spark, sf_dir)
     store = FeatureStore(spark, scratch_path(spark, "store"))
     group = store.create(FLIGHT_GROUP)
     corrections = rows.filter("is_cancelled").withColumns(
@@ -250,7 +255,7 @@ def feature_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pit_airport(spark: SparkSession, sf_dir: str, feature_time: str) -> DataFrame:
-    rows = flights(spark, sf_dir)
+    rows = written_flights(spark, sf_dir)
     joined = as_of_join(
         spine(rows),
         airport_delays(rows, feature_time=feature_time),
@@ -278,7 +283,7 @@ _FLIGHT_COLUMNS = FLIGHT_GROUP.feature_names
 
 @query
 def pit_flight_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flights(spark, sf_dir)
+    rows = written_flights(spark, sf_dir)
     return present(
         as_of_join(
             spine(rows),
@@ -295,7 +300,7 @@ def pit_flight_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pit_flight_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flights(spark, sf_dir)
+    rows = written_flights(spark, sf_dir)
     return present(
         exact_time_join(
             spine(rows),
@@ -322,16 +327,10 @@ def latest_airport_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Datasets
 
 
-def _parts(train: DataFrame, test: DataFrame) -> DataFrame:
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
-
-
 @query
 def training_set_part1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw_training_rows(raw(spark, sf_dir), ["event_id"])
-    return present(_parts(*time_split(rows, "FlightDate", SPLIT)))
+    return present(split_parts(rows, "FlightDate", SPLIT))
 
 
 @query
@@ -347,7 +346,7 @@ def time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flights(spark, sf_dir).filter(~F.col("is_cancelled"))
     labelled = rows.select("timestamp", is_late(F.col("arrival_delay_minutes")).alias("target"))
     return (
-        _parts(*time_split(labelled, "timestamp", SPLIT))
+        split_parts(labelled, "timestamp", SPLIT)
         .groupBy("part")
         .agg(F.count("*").alias("n"), F.count_if("target").alias("late"))
     )
@@ -364,22 +363,27 @@ def first_n_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Preparation, scoring, metrics
 
 
+def _labelled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw_training_rows(raw(spark, sf_dir), ["event_id"]).drop("FlightDate")
+    return materialise(rows, "labelled")
+
+
 @query
 def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = raw_training_rows(raw(spark, sf_dir), ["event_id"]).drop("FlightDate")
+    rows = _labelled_table(spark, sf_dir)
     return present(fit_preparation(rows, RAW_FEATURES).impute(rows))
 
 
 @query
 def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = raw_training_rows(raw(spark, sf_dir), ["event_id"]).drop("FlightDate")
+    rows = _labelled_table(spark, sf_dir)
     return present(fit_preparation(rows, RAW_FEATURES).standardise(rows))
 
 
 def _scored(rows: DataFrame) -> DataFrame:
     late = is_late(F.col("arrival_delay_minutes"))
     scored = score_linear(rows, FLIGHT_WEIGHTS, FLIGHT_INTERCEPT)
-    return scored.select("event_id", late.alias("target"), rounded("score"), "prediction")
+    return scored.select("event_id", late.alias("target"), rounded("score", 6), "prediction")
 
 
 @query
@@ -405,7 +409,7 @@ def roc_curve_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def enrich_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every flight as a request, with the current mean delay of its airport."""
-    rows = flights(spark, sf_dir)
+    rows = written_flights(spark, sf_dir)
     latest = latest_records(
         airport_delays(rows).withColumnsRenamed(
             {"origin_airport_id": "entity_id", "timestamp": "feature_time"}

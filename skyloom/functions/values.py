@@ -21,10 +21,11 @@ _TEXT = rf"^{_BLANK}(?:[+-](?=[nN]))?({_NUMBER}|[nN][aA][nN]){_BLANK}$"
 def parse_double(text: Column) -> Column:
     """Text to double; null when the text is not a number.
 
-    ``text`` appears once in the expression, so that an input which is itself an
-    expression is evaluated once.
+    The JVM cast agrees with the grammar on texts without letters other than the
+    exponent's, so only a text with such a letter or an underscore is matched.
     """
-    return F.translate(F.regexp_extract(text, _TEXT, 1), "_", "").try_cast("double")
+    matched = F.translate(F.regexp_extract(text, _TEXT, 1), "_", "").try_cast("double")
+    return F.when(text.rlike("[_a-zA-Z&&[^eE]]"), matched).otherwise(text.try_cast("double"))
 
 
 def nan_to_null(value: Column) -> Column:

@@ -23,8 +23,8 @@ def raw_flights(events: DataFrame, more: dict[str, Column] | None = None) -> Dat
     ``k`` of the JSON text plants the bad values: an empty field is null, as the
     CSV reader gives it.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    value = F.col("value")
+    events = events.withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
+    k, value = F.col("_k"), F.col("value")
     delay = value - F.lit(50.0)
     ts = F.col("ts")
 
