@@ -1,0 +1,103 @@
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyloom.operators.windows import seconds, sliding_mean, sliding_mean_rows
+
+START = datetime(2024, 1, 1)
+ARGS = dict(key="k", time="t", value="v", name="m")
+
+
+def frame(spark, rows):
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+    return df.withColumn("t", F.col("t").cast("timestamp"))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(1)
+    # Two thirds of the rows have one key.
+    return [
+        (
+            rng.choice(["hot", "hot", "a", "b"][: 3 + i % 2]),
+            START + timedelta(seconds=rng.randrange(3 * 86400)),
+            float(rng.randrange(-50, 200)),
+        )
+        for i in range(3000)
+    ]
+
+
+def brute(rows, size=4, slide=1):
+    groups = defaultdict(list)
+    for k, t, v in rows:
+        last = int((t - START).total_seconds()) // (slide * 3600) * slide
+        for start in range(last - size + slide, last + slide, slide):
+            groups[k, START + timedelta(hours=start)].append(v)
+    return {key: sum(v) / len(v) for key, v in groups.items()}
+
+
+def collected(df):
+    got = df.select("k", F.col("timestamp").cast("timestamp_ntz"), "m").collect()
+    return {(r[0], r[1]): r[2] for r in got}
+
+
+@pytest.mark.parametrize("mean", [sliding_mean, sliding_mean_rows])
+def test_against_brute_force(spark, rows, mean):
+    got = collected(mean(frame(spark, rows), **ARGS))
+    expected = brute(rows)
+    assert got.keys() == expected.keys()
+    assert all(abs(got[k] - expected[k]) < 1e-9 for k in expected)
+
+
+def test_row_on_a_window_edge(spark):
+    got = collected(sliding_mean(frame(spark, [("a", START, 1.0)]), **ARGS))
+    assert sorted(t for _, t in got) == [START - timedelta(hours=h) for h in (3, 2, 1, 0)]
+
+
+def test_window_end_is_later_by_the_size(spark, rows):
+    df = frame(spark, rows)
+    start = collected(sliding_mean(df, **ARGS))
+    end = collected(sliding_mean(df, **ARGS, feature_time="window_end"))
+    assert {(k, t + timedelta(hours=4)) for k, t in start} == set(end)
+
+
+@pytest.mark.parametrize("mean", [sliding_mean, sliding_mean_rows])
+def test_range_of_windows(spark, rows, mean):
+    df = frame(spark, rows)
+    low, high = datetime(2024, 1, 2, 3), datetime(2024, 1, 2, 9)
+    part = collected(mean(df, **ARGS, start=low, end=high))
+    whole = brute(rows)
+    assert part.keys() == {k for k in whole if low <= k[1] < high}
+    assert all(abs(part[k] - whole[k]) < 1e-9 for k in part)
+
+
+def test_range_reaches_the_scan(spark, rows, tmp_path):
+    frame(spark, rows).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    part = sliding_mean(df, **ARGS, start=datetime(2024, 1, 2), end=datetime(2024, 1, 3))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(t" in pushed and "LessThan(t" in pushed
+
+
+def test_slide_that_does_not_divide_the_size(spark, rows):
+    df = frame(spark, rows)
+    got = collected(sliding_mean(df, **ARGS, size="5 hours", slide="2 hours"))
+    rowwise = collected(sliding_mean_rows(df, **ARGS, size="5 hours", slide="2 hours"))
+    assert got.keys() == rowwise.keys()
+
+
+def test_each_row_is_in_size_over_slide_windows(spark, rows):
+    df = frame(spark, [(k, t, 1.0) for k, t, _ in rows])
+    windows = df.groupBy("k", F.window("t", "4 hours", "1 hour")).count()
+    assert windows.agg(F.sum("count")).first()[0] == 4 * len(rows)
+
+
+def test_spans():
+    assert seconds("4 hours") == 14400 and seconds("1 day") == 86400
+    for bad in ("", "0 hours", "4 parsecs", "four hours"):
+        with pytest.raises(ValueError):
+            seconds(bad)
