@@ -27,9 +27,9 @@ def running_totals(
     the result.
     """
     probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(order, probabilities, 0.25 / buckets)))
+    cuts = df.approxQuantile(order, probabilities, 0.25 / buckets) if probabilities else []
     infinity = float("inf")
-    edges = [-infinity, *[c for c in cuts if abs(c) != infinity], infinity]
+    edges = [-infinity, *sorted({c for c in cuts if abs(c) != infinity}), infinity]
     if len(edges) < 3:
         edges.insert(1, 0.0)
     bucketed = Bucketizer(splits=edges, inputCol=order, outputCol="_bucket").transform(df)
