@@ -28,26 +28,28 @@ def _resolve(instants: DataFrame, records: DataFrame, bucket: str) -> DataFrame:
     many groups. The last record of each bucket, one small row, is handed on to
     the later buckets of its entity, where it stands in for all earlier records.
     A group holds distinct times only: at most the number of distinct times in
-    one bucket on either side. The window that hands records on holds one row
-    per bucket of an entity.
+    one bucket on either side. The window that hands records on holds at most two
+    rows per bucket of an entity.
     """
-    points = instants.select(_E, _T, F.lit(1).alias(_SIDE)).unionByName(
-        records.select(_E, _T, F.lit(0).alias(_SIDE), "_record"), allowMissingColumns=True
-    )
     width = F.lit(seconds(bucket) * 1_000_000)
-    points = points.withColumn(_BUCKET, F.floor(F.unix_micros(_T) / width))
-    record = F.when(F.col(_SIDE) == 0, F.struct(F.col(_T).alias("time"), F.col("_record").alias("record")))
-    points = points.withColumn(_FOUND, record).drop("_record")
-
-    summary = points.groupBy(_E, _BUCKET).agg(
-        F.max_by(_FOUND, F.when(F.col(_SIDE) == 0, F.col(_T))).alias("_tail"),
-        F.max(_SIDE).alias("_wanted"),
+    number = F.floor(F.unix_micros(_T) / width).alias(_BUCKET)
+    found = F.struct(F.col(_T).alias("time"), F.col("_record").alias("record")).alias(_FOUND)
+    records = records.select(_E, _T, F.lit(0).alias(_SIDE), number, found)
+    instants = instants.select(_E, _T, F.lit(1).alias(_SIDE), number)
+
+    last_ones = records.groupBy(_E, _BUCKET).agg(F.max_by(_FOUND, _T).alias("_tail"))
+    wanted = instants.select(_E, _BUCKET).distinct()
+    marks = last_ones.withColumn("_wanted", F.lit(0)).unionByName(
+        wanted.withColumn("_wanted", F.lit(1)), allowMissingColumns=True
     )
+    # A bucket that is asked for comes before its own last record.
     earlier = (
-        Window.partitionBy(_E).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(_E)
+        .orderBy(_BUCKET, F.desc("_wanted"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        summary.withColumn(_FOUND, F.last("_tail", ignorenulls=True).over(earlier))
+        marks.withColumn(_FOUND, F.last("_tail", ignorenulls=True).over(earlier))
         .filter((F.col("_wanted") == 1) & F.col(_FOUND).isNotNull())
         .select(_E, F.col(_FOUND)["time"].alias(_T), F.lit(0).alias(_SIDE), _BUCKET, _FOUND)
     )
@@ -58,13 +60,37 @@ def _resolve(instants: DataFrame, records: DataFrame, bucket: str) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        points.unionByName(carried)
+        records.unionByName(carried)
+        .unionByName(instants, allowMissingColumns=True)
         .withColumn(_FOUND, F.last(_FOUND, ignorenulls=True).over(so_far))
         .filter((F.col(_SIDE) == 1) & F.col(_FOUND).isNotNull())
         .select(_E, _T, _FOUND)
     )
 
 
+BUCKETS = ["30 days", "1 day", "1 hour", "1 minute", "1 second"]
+
+
+def choose_bucket(keys: list[tuple[DataFrame, str, str]], limit: int = 5_000_000) -> str:
+    """The widest bucket in which no entity has more than ``limit`` rows.
+
+    ``keys`` lists frames with their entity and time columns. Each width tried is
+    one count over these two columns, summed by the tasks before the shuffle; the
+    narrowest holds a million distinct times at most, so it needs no count.
+    """
+    points = None
+    for df, entity, time in keys:
+        part = df.select(F.col(entity).cast("string").alias(_E), F.col(time).alias(_T))
+        points = part if points is None else points.unionByName(part)
+    points = points.filter(F.col(_E).isNotNull() & F.col(_T).isNotNull())
+    for bucket in BUCKETS[:-1]:
+        number = F.floor(F.unix_micros(_T) / F.lit(seconds(bucket) * 1_000_000))
+        sizes = points.groupBy(_E, number.alias(_BUCKET)).agg(F.count("*").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= limit:
+            return bucket
+    return BUCKETS[-1]
+
+
 def as_of_join(
     spine: DataFrame,
     features: DataFrame,
@@ -85,13 +111,16 @@ def as_of_join(
     is not filled from an older one. Records must be unique per entity and time,
     as feature tables are; otherwise name the ``sequence`` column that decides.
     ``max_age`` leaves older records out. ``matched_time`` names an output column
-    for the time of the record found.
+    for the time of the record found. ``bucket`` bounds the search groups; with
+    ``"auto"`` it is chosen by counting rows first.
 
     Only the distinct (entity, time) pairs of the spine take part in the search,
     so repeated requests collapse before the shuffle. The answers return to the
     rows by an equality join, which adaptive execution turns into a broadcast
     when the answers are small and splits when one pair holds many rows.
     """
+    if bucket == "auto":
+        bucket = choose_bucket([(spine, entity, time), (features, feature_entity, feature_time)])
     records = features.filter(F.col(feature_entity).isNotNull() & F.col(feature_time).isNotNull())
     if sequence:
         records = newest_versions(records, [feature_entity, feature_time], sequence)

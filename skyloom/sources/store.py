@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
+from skyloom.operators.windows import seconds
 from skyloom.schemas import Feature, FeatureGroup
 
 _REGISTRY = "group string, position int, feature string, value_type string, description string, about string"
@@ -86,7 +89,9 @@ class FeatureStore:
         must not hold a key twice with different values. Running the same ingest
         again changes nothing. Only the days present in ``source`` are read and
         rewritten, and each of them is replaced as a whole when the job commits;
-        a lost executor repeats tasks that still see the old files.
+        a lost executor repeats tasks that still see the old files. A day with
+        many rows is written by many tasks, each sorted by entity, so that reads
+        of named entities skip row groups.
         """
         wanted = group.select(feature_ids)
         for name in wanted:
@@ -112,6 +117,7 @@ class FeatureStore:
         merged = newest_versions(kept.unionByName(incoming), [*_KEYS, _DAY], _SEQUENCE)
         (
             merged.hint("rebalance", _DAY)
+            .sortWithinPartitions(_DAY, *_KEYS)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(_DAY)
@@ -143,18 +149,34 @@ class FeatureStore:
             sequence=sequence,
         )
 
-    def read(self, group: FeatureGroup, feature_ids: list[str] | None = None) -> DataFrame:
-        """All records of a group."""
-        return self._stored(group).select(*_KEYS, *group.select(feature_ids))
+    def read(
+        self,
+        group: FeatureGroup,
+        feature_ids: list[str] | None = None,
+        start: datetime | None = None,
+        end: datetime | None = None,
+    ) -> DataFrame:
+        """The records of a group, all or those in ``[start, end)``; only those days are listed."""
+        stored = self._stored(group)
+        if start is not None:
+            stored = stored.filter((F.col(_DAY) >= F.lit(start.date())) & (F.col("feature_time") >= F.lit(start)))
+        if end is not None:
+            stored = stored.filter((F.col(_DAY) <= F.lit(end.date())) & (F.col("feature_time") < F.lit(end)))
+        return stored.select(*_KEYS, *group.select(feature_ids))
 
     def read_latest(
         self,
         group: FeatureGroup,
         feature_ids: list[str] | None = None,
         entity_ids: list[str] | None = None,
+        start: datetime | None = None,
     ) -> DataFrame:
-        """L2: the newest record of each entity, or of the entities named."""
-        return latest_records(self.read(group, feature_ids), entity_ids)
+        """L2: the newest record of each entity, or of the entities named.
+
+        ``start`` leaves out entities without a record since then, and with them
+        the scan of older days.
+        """
+        return latest_records(self.read(group, feature_ids, start), entity_ids)
 
     def serve(
         self,
@@ -165,16 +187,22 @@ class FeatureStore:
         exact: tuple[str, ...] = (),
         max_age: str | None = None,
         bucket: str = "1 day",
+        between: tuple[datetime, datetime] | None = None,
     ) -> DataFrame:
         """Join each named group to the spine column of the same name as of ``time``.
 
         Groups in ``exact`` have a record at every spine time and take the
-        equality join.
+        equality join. ``between`` states the range ``[first, end)`` of the spine
+        times, if known: later days of the tables are then not read, and with
+        ``max_age`` earlier ones neither.
         """
         for name, feature_ids in wanted.items():
             group = self.group(name)
             columns = group.select(feature_ids)
-            features = self.read(group, columns)
+            first, end = between or (None, None)
+            if first is not None and name not in exact:
+                first = first - timedelta(seconds=seconds(max_age)) if max_age else None
+            features = self.read(group, columns, first, end)
             if name in exact:
                 spine = exact_time_join(spine, features, entity=name, time=time, columns=columns)
             else:

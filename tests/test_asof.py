@@ -4,7 +4,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
+from skyloom.operators.asof import (
+    BUCKETS,
+    as_of_join,
+    choose_bucket,
+    exact_time_join,
+    newest_versions,
+)
 
 START = datetime(2024, 1, 1)
 
@@ -67,7 +73,7 @@ def data():
     return spine, features
 
 
-@pytest.mark.parametrize("bucket", ["1 hour", "1 day", "30 days"])
+@pytest.mark.parametrize("bucket", ["1 second", "1 hour", "1 day", "30 days", "auto"])
 def test_against_brute_force(spark, data, bucket):
     spine, features = data
     got = join(spine_of(spark, spine), features_of(spark, features), bucket=bucket)
@@ -126,3 +132,16 @@ def test_newest_versions_keeps_column_order(spark):
     got = newest_versions(df, ["e", "t"], "s")
     assert got.columns == ["s", "e", "t", "v"]
     assert [tuple(r) for r in got.collect()] == [(2, "a", 1, "v")]
+
+
+def test_bucket_narrows_until_no_entity_is_too_dense(spark):
+    rows = [(i, "hot" if i % 3 else "b", at(i)) for i in range(3000)]
+    spine = spine_of(spark, rows)
+    key = [(spine, "e", "t")]
+    assert choose_bucket(key, limit=2000) == "30 days"
+    assert choose_bucket(key, limit=1000) == "1 day"
+    assert choose_bucket(key, limit=40) == "1 hour"
+    assert choose_bucket(key, limit=1) == "1 minute"
+    assert choose_bucket([(spine.withColumn("t", F.lit(None).cast("timestamp")), "e", "t")]) == BUCKETS[0]
+    same = spine.withColumn("t", F.timestamp_seconds(F.lit(5)))
+    assert choose_bucket([(same, "e", "t")], limit=10) == BUCKETS[-1]

@@ -82,3 +82,37 @@ def test_confusion_matrix_shuffles_four_counts(spark):
     df = spark.range(100).select((F.col("id") > 3).alias("target"), (F.col("id") > 9).alias("prediction"))
     text = plan(confusion_matrix(df))
     assert "partial_count" in text and text.count("Exchange") == 1
+
+
+@pytest.fixture
+def small_skew_limits(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5000",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_hot_request_is_split_by_adaptive_execution(spark, small_skew_limits):
+    """A third of the requests have one entity and one time."""
+    hot = F.col("id") % 3 == 0
+    time = F.timestamp_seconds(F.when(hot, 500_000).otherwise(F.col("id") * 60))
+    rows = spark.range(0, 60_000, 1, 16).select(
+        "id", F.when(hot, "hot").otherwise((F.col("id") % 50).cast("string")).alias("e"), time.alias("t")
+    )
+    features = spark.range(0, 20_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("entity_id"),
+        F.timestamp_seconds(F.col("id") * 90).alias("feature_time"),
+        F.col("id").alias("x"),
+    )
+    joined = as_of_join(rows, features, entity="e", time="t", columns=["x"])
+    assert len(joined.collect()) == 60_000
+    assert "SortMergeJoin(skew=true)" in plan(joined)

@@ -121,3 +121,31 @@ def test_serve_two_groups(spark, tmp_path):
     assert {r.id: (r.x, r.z) for r in got.collect()} == {
         1: (1.0, 2.0), 2: (None, 1.0), 3: (1.0, None),
     }
+
+
+def test_range_reads_only_its_days(store):
+    ingest(store, [("a", at(h), float(h), None, 0) for h in range(96)])
+    part = store.read(GROUP, ["x"], at(30), at(50))
+    assert sorted(r.x for r in part.collect()) == [float(h) for h in range(30, 50)]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "feature_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("max_age", [None, "5 hours"])
+def test_serve_with_a_known_range(spark, store, max_age):
+    ingest(store, [("a", at(h), float(h), None, 0) for h in (0, 28, 60)])
+    spine = spark.createDataFrame(
+        [(1, "a", at(26)), (2, "a", at(29)), (3, "a", at(40))], "id int, g string, t timestamp_ntz"
+    ).withColumn("t", F.col("t").cast("timestamp"))
+    options = dict(time="t", max_age=max_age)
+    known = store.serve(spine, {"g": ["x"]}, between=(at(26), at(41)), **options)
+    unknown = store.serve(spine, {"g": ["x"]}, **options)
+    found = {r.id: r.x for r in known.collect()}
+    assert found == {r.id: r.x for r in unknown.collect()}
+    assert found == ({1: 0.0, 2: 28.0, 3: 28.0} if max_age is None else {1: None, 2: 28.0, 3: None})
+
+
+def test_a_large_day_is_spread_over_tasks(store):
+    ingest(store, [("a", at(0), 1.0, None, 0)])
+    merged = store.read(GROUP).hint("rebalance", "feature_time")
+    assert "REBALANCE" in merged._jdf.queryExecution().executedPlan().toString()
