@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 
 from skyloom.catalog.archives import pack_lines
 from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
-from skyloom.operators.clean import clean_flights, read_instances, rejected_flights
+from skyloom.operators.clean import (
+    SOURCE_COLUMNS,
+    clean_flights,
+    read_instances,
+    rejected_flights,
+)
 from skyloom.operators.dataset import (
     JOINED_FEATURES,
     RAW_FEATURES,
@@ -165,7 +170,7 @@ def read_instance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines packed into zip archives by month, unpacked again and cleaned."""
     archives = pack_lines(raw_lines(scan_events(use_utc(spark), sf_dir)))
-    rows = decode_lines(extract_lines(archives))
+    rows = decode_lines(extract_lines(archives), SOURCE_COLUMNS)
     return present(clean_flights(rows, ["file_year", "file_month"]))
 
 
@@ -196,7 +201,7 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = ",".join(RAW_SCHEMA.names)
     lines.write.text(path)
     spark.range(1).select(F.lit(header).alias("line")).write.mode("append").text(path)
-    return present(clean_flights(decode_lines(scan_lines(spark, path))))
+    return present(clean_flights(decode_lines(scan_lines(spark, path), SOURCE_COLUMNS)))
 
 
 # Event-time features

@@ -16,6 +16,22 @@ from skyloom.schemas import FLIGHT_SCHEMA
 
 HEADER_REASON = "header"
 
+# The raw columns a flight is made of.
+SOURCE_COLUMNS = [
+    "Year",
+    "FlightDate",
+    "Reporting_Airline",
+    "Flight_Number_Reporting_Airline",
+    "OriginAirportID",
+    "DepDelay",
+    "TaxiOut",
+    "WheelsOff",
+    "ArrDelay",
+    "Cancelled",
+    "Diverted",
+    "Distance",
+]
+
 _NUMBERS = {
     "departure_delay_minutes": "DepDelay",
     "arrival_delay_minutes": "ArrDelay",

@@ -67,6 +67,9 @@ def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
 
 
 def write_extracted(lines: DataFrame, path: str) -> None:
-    """Text files below ``year=/month=``, so that later scans prune by month."""
-    months = lines.withColumnsRenamed({"file_year": "year", "file_month": "month"})
-    months.write.mode("overwrite").partitionBy("year", "month").text(path)
+    """Text files below ``file_year=/file_month=``, so that later scans prune by month.
+
+    The folder names differ from the raw columns ``Year`` and ``Month``, which a
+    folder column of the same name would replace on reading.
+    """
+    lines.write.mode("overwrite").partitionBy("file_year", "file_month").text(path)

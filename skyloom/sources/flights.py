@@ -16,17 +16,22 @@ def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def decode_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Lines to the 109 text columns by position.
-
-    Missing fields are null and fields beyond the last are ignored. The parsed
-    struct is opened by name, so only the columns used later are converted.
+def decode_lines(
+    lines: DataFrame, columns: list[str] | None = None, line: str = "line"
+) -> DataFrame:
+    """Lines to text columns by position, all 109 or those named.
+
+    Missing fields are null and fields beyond the last are ignored. ``from_csv``
+    converts every field of its schema, so the schema ends at the last column
+    wanted.
     """
-    ddl = ", ".join(f"`{name}` STRING" for name in RAW_SCHEMA.names)
+    wanted = columns or RAW_SCHEMA.names
+    last = max(RAW_SCHEMA.names.index(name) for name in wanted)
+    ddl = ", ".join(f"`{name}` STRING" for name in RAW_SCHEMA.names[: last + 1])
     parsed = F.from_csv(F.col(line), ddl, CSV_DIALECT)
     others = [c for c in lines.columns if c != line]
     return lines.withColumn("_raw", parsed).select(
-        *others, *[F.col("_raw")[name].alias(name) for name in RAW_SCHEMA.names]
+        *others, *[F.col("_raw")[name].alias(name) for name in wanted]
     )
 
 

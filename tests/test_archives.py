@@ -2,7 +2,10 @@ import zipfile
 
 import pytest
 
+from skyloom.operators.clean import clean_flights, rejected_flights
+from skyloom.schemas import RAW_COLUMNS
 from skyloom.sources.archives import extract_lines, scan_archives, write_extracted
+from skyloom.sources.flights import scan_raw
 
 
 def make_zip(path, members):
@@ -26,7 +29,7 @@ def test_extract(spark, tmp_path):
     out = str(tmp_path / "out")
     write_extracted(lines, out)
     back = spark.read.text(out)
-    assert back.filter("year = 2021 and month = 12").count() == 45_000
+    assert back.filter("file_year = 2021 and file_month = 12").count() == 45_000
 
 
 @pytest.mark.parametrize("members", [{"a.csv": "1", "b.csv": "2"}, {"a.txt": "1"}])
@@ -40,3 +43,23 @@ def test_name_without_month(spark, tmp_path):
     make_zip(tmp_path / "flights.zip", {"a.csv": "1"})
     with pytest.raises(Exception, match="no month"):
         extract_lines(scan_archives(spark, str(tmp_path))).collect()
+
+
+def test_extracted_months_feed_the_feature_job(spark, tmp_path):
+    row = dict.fromkeys(RAW_COLUMNS, "")
+    row.update(
+        Year="2021", FlightDate="2021-12-20", Reporting_Airline="AA",
+        Flight_Number_Reporting_Airline="7", OriginAirportID="1", DepDelay="3", ArrDelay="4",
+        TaxiOut="5", WheelsOff="0930", Cancelled="0", Diverted="0", Distance="100",
+    )
+    text = "\n".join([",".join(RAW_COLUMNS), ",".join(row.values()), ""])
+    for month in (11, 12):
+        make_zip(tmp_path / f"f_2021_{month}.zip", {"f.csv": text})
+    out = str(tmp_path / "out")
+    write_extracted(extract_lines(scan_archives(spark, str(tmp_path))), out)
+    raw = scan_raw(spark, out)
+    assert clean_flights(raw).count() == 2 and rejected_flights(raw).count() == 0
+    december = clean_flights(raw.filter("file_month = 12"), ["file_month"])
+    assert december.count() == 1
+    plan = december._jdf.queryExecution().executedPlan().toString()
+    assert "file_month" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -1,0 +1,52 @@
+from skyloom.__main__ import main
+from skyloom.session import scratch_path
+from skyloom.sources.events import raw_flights, raw_lines, scan_events
+from skyloom.sources.tables import write_csv
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_all_jobs_in_order(spark):
+    base = scratch_path(spark, "cli")
+    events = scan_events(spark, SF)
+    raw_lines(events).select("line").write.text(f"{base}/raw")
+    write_csv(raw_flights(events).drop("event_id"), f"{base}/csv")
+    main(
+        ["features", "--input", f"{base}/raw", "--output-airports", f"{base}/airports",
+         "--output-flights", f"{base}/flights", "--output-read-instances", f"{base}/spine"]
+    )
+    main(["setup-store", "--store", f"{base}/store"])
+    main(
+        ["ingest", "--store", f"{base}/store", "--flights", f"{base}/flights",
+         "--airports", f"{base}/airports"]
+    )
+    main(
+        ["train-joined", "--store", f"{base}/store", "--read-instances", f"{base}/spine",
+         "--test-split-date", "2024-01-20", "--output", f"{base}/joined"]
+    )
+    main(
+        ["train-raw", "--training-data", f"{base}/csv", "--test-split-date", "2024-01-20",
+         "--output", f"{base}/part1"]
+    )
+    for run in ("joined", "part1"):
+        assert spark.read.parquet(f"{base}/{run}/metrics/confusion_matrix").count() == 2
+        assert spark.read.parquet(f"{base}/{run}/metrics/roc_curve").count() > 2
+
+    requests = spark.sql(
+        "select 481.0D distance_miles, -6.0D departure_delay_minutes, 13.0D taxi_out_minutes, "
+        "'10008' airport_id"
+    )
+    requests.write.parquet(f"{base}/requests")
+    main(
+        ["score", "--requests", f"{base}/requests", "--model", f"{base}/joined/model",
+         "--output", f"{base}/scored", "--store", f"{base}/store"]
+    )
+    row = spark.read.parquet(f"{base}/scored").first()
+    assert row.prediction is False and 0 < row.score < 0.5
+    vectors = spark.sql("select -4.0D DepDelay, 16.0D TaxiOut, 153.0D Distance")
+    vectors.write.parquet(f"{base}/vectors")
+    main(
+        ["score", "--requests", f"{base}/vectors", "--model", f"{base}/part1/model",
+         "--output", f"{base}/scored1"]
+    )
+    assert spark.read.parquet(f"{base}/scored1").count() == 1
