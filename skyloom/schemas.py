@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 from types import NoneType, UnionType
-from typing import NamedTuple, Optional, Union, get_args, get_origin, get_type_hints
+from typing import Union, get_args, get_origin, get_type_hints
 
 from pyspark.sql import types as T
 
@@ -41,29 +41,6 @@ Div5TotalGTime Div5LongestGTime Div5WheelsOff Div5TailNum
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
 
-class Flight(NamedTuple):
-    timestamp: Optional[datetime]
-    flight_number: str
-    origin_airport_id: str
-    is_cancelled: bool
-    departure_delay_minutes: float
-    arrival_delay_minutes: float
-    taxi_out_minutes: float
-    distance_miles: float
-
-
-class AirportFeatures(NamedTuple):
-    timestamp: Optional[datetime]
-    origin_airport_id: str
-    average_departure_delay: float
-
-
-class ReadInstance(NamedTuple):
-    flight: str
-    airport: str
-    timestamp: Optional[datetime]
-
-
 _SPARK_TYPES = {
     str: T.StringType(),
     bool: T.BooleanType(),
@@ -73,7 +50,7 @@ _SPARK_TYPES = {
 
 
 def record_schema(record: type) -> T.StructType:
-    """The ``StructType`` of a typed record; ``Optional`` fields are nullable."""
+    """The ``StructType`` of an annotated class; ``Optional`` fields are nullable."""
     fields = []
     for name, hint in get_type_hints(record).items():
         nullable = False
@@ -106,10 +83,6 @@ def avro_schema(schema: T.StructType, name: str, namespace: str) -> dict:
     return {"type": "record", "namespace": namespace, "name": name, "fields": fields}
 
 
-FLIGHT_SCHEMA = record_schema(Flight)
-AIRPORT_SCHEMA = record_schema(AirportFeatures)
-READ_INSTANCE_SCHEMA = record_schema(ReadInstance)
-
 # The feature value types of the registry.
 VALUE_TYPES = {
     "STRING": T.StringType(),
@@ -161,6 +134,16 @@ class FeatureGroup:
             ]
         )
 
+    def record_schema(self, entity: str, time: str = "timestamp") -> T.StructType:
+        """The schema of the files a group is loaded from; only the time may be missing."""
+        return T.StructType(
+            [
+                T.StructField(time, T.TimestampType(), True),
+                T.StructField(entity, T.StringType(), False),
+                *[T.StructField(f.name, VALUE_TYPES[f.value_type], False) for f in self.features],
+            ]
+        )
+
     def select(self, wanted: list[str] | None) -> list[str]:
         """Resolve a feature list; ``["*"]`` or nothing means every feature."""
         if not wanted or list(wanted) == ["*"]:
@@ -195,3 +178,13 @@ AIRPORT_GROUP = FeatureGroup(
     ),
     "One airport of departure",
 )
+
+FLIGHT_SCHEMA = FLIGHT_GROUP.record_schema("flight_number")
+AIRPORT_SCHEMA = AIRPORT_GROUP.record_schema("origin_airport_id")
+READ_INSTANCE_SCHEMA = T.StructType(
+    [
+        T.StructField("flight", T.StringType(), False),
+        T.StructField("airport", T.StringType(), False),
+        T.StructField("timestamp", T.TimestampType(), True),
+    ]
+)
