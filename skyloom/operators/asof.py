@@ -11,13 +11,15 @@ _E, _T, _SIDE, _BUCKET, _FOUND = "_entity", "_time", "_side", "_bucket", "_found
 
 
 def newest_versions(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """One row per key, the one with the highest sequence.
+    """One row per key, the one with the highest sequence; null is the lowest.
 
-    Each task reduces its own rows before the shuffle, so a key with many
-    versions costs one row per task and never one large group.
+    Rows with one sequence are told apart by a hash, so that a repeated task gives
+    the same row. Each task reduces its own rows before the shuffle: a key with
+    many versions costs one row per task and never one large group.
     """
     others = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(sequence)).alias("_best"))
+    rank = F.struct(F.col(sequence), F.xxhash64(*others))
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("_best"))
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in others]).select(*df.columns)
 
 

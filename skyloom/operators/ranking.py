@@ -84,17 +84,22 @@ class _Search:
         return keep
 
 
-def _narrow(values: DataFrame, searches: dict[str, _Search], accuracy: int) -> None:
-    """Replace each interval by one around its wanted ranks; two scans for all columns."""
+def _bracket(searches: dict[str, _Search], accuracy: int) -> list[Column]:
+    """Approximate quantiles on either side of the wanted ranks, one pair per column."""
     slack = 2.0 / accuracy
-    quantiles, names = [], list(searches)
-    for c in names:
-        s = searches[c]
+    pairs = []
+    for c, s in searches.items():
         at = [(r - s.below + 0.5) / s.inside for r in s.open_ranks]
         ends = [max(0.0, min(at) - slack), min(1.0, max(at) + slack)]
         inside = F.when(s.holds(F.col(c)), F.col(c))
-        quantiles.append(F.percentile_approx(inside, ends, accuracy).alias(c))
-    ends = values.agg(*quantiles).first()
+        pairs.append(F.percentile_approx(inside, ends, accuracy).alias(c))
+    return pairs
+
+
+def _narrow(values: DataFrame, searches: dict[str, _Search], accuracy: int) -> None:
+    """Replace each interval by one around its wanted ranks; two scans for all columns."""
+    names = list(searches)
+    ends = values.agg(*_bracket(searches, accuracy)).first()
     counts = []
     for c in names:
         low, high = ends[c]

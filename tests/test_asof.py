@@ -145,3 +145,10 @@ def test_bucket_narrows_until_no_entity_is_too_dense(spark):
     assert choose_bucket([(spine.withColumn("t", F.lit(None).cast("timestamp")), "e", "t")]) == BUCKETS[0]
     same = spine.withColumn("t", F.timestamp_seconds(F.lit(5)))
     assert choose_bucket([(same, "e", "t")], limit=10) == BUCKETS[-1]
+
+
+def test_null_sequence_is_the_lowest(spark):
+    rows = [("a", None, 1.0), ("a", 3, 2.0), ("b", None, 5.0)]
+    df = spark.createDataFrame(rows, "e string, s int, x double")
+    got = newest_versions(df, ["e"], "s").collect()
+    assert sorted((r.e, r.s, r.x) for r in got) == [("a", 3, 2.0), ("b", None, 5.0)]

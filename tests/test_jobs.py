@@ -12,6 +12,8 @@ from skyloom.sources.events import raw_flights, raw_lines, scan_events
 from skyloom.sources.flights import scan_flights
 from skyloom.sources.store import FeatureStore
 from skyloom.sources.tables import write_csv, write_dataset, write_features
+from skyloom.streaming.features import drain
+from skyloom.streaming.scoring import scored_requests
 
 SF = "/root/testdata/sf0.001"
 SPLIT = "2024-01-20"
@@ -85,6 +87,22 @@ def test_scoring_from_the_store(spark, store, outputs):
     assert got[1].average_departure_delay is None
 
 
+def test_stream_scores_equal_the_batch(spark, store, outputs):
+    flights = scan_flights(spark, outputs.flights)
+    features = ["distance_miles", "departure_delay_minutes", "taxi_out_minutes"]
+    model = fit_classifier(
+        flights.withColumn("target", F.col("arrival_delay_minutes") > 15), features
+    )
+    arriving = spark.readStream.schema(FLIGHT_SCHEMA).parquet(outputs.flights)
+    base = scratch_path(spark, "stream")
+    stream = scored_requests(arriving, store, model, "origin_airport_id")
+    got = drain(stream, f"{base}/out", f"{base}/checkpoint")
+    batch = score_from_store(flights, store, model, "origin_airport_id")
+    columns = ["flight_number", "average_departure_delay", "score", "prediction"]
+    assert got.count() == batch.count() == flights.count()
+    assert got.select(columns).exceptAll(batch.select(columns)).count() == 0
+
+
 def raw_frame(spark, rows):
     names = ["FlightDate", "DepDelay", "ArrDelay", "TaxiOut", "Distance", "Cancelled", "Diverted"]
     return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
