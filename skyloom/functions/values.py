@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,3 +53,8 @@ def departure_time(flight_date: Column, wheels_off: Column) -> Column:
 
 def iso_utc(timestamp: Column) -> Column:
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def utc(moment: datetime) -> datetime:
+    """A ``datetime`` without a zone is UTC, whatever the zone of the driver's machine."""
+    return moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.functions.values import utc
+
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -36,18 +38,18 @@ def _in_range(
 ) -> DataFrame:
     """Rows that can reach a window starting in ``[start, end)``; this filter reaches the scan."""
     if start is not None:
-        df = df.filter(F.col(time) >= F.lit(start))
+        df = df.filter(F.col(time) >= F.lit(utc(start)))
     if end is not None:
-        df = df.filter(F.col(time) < _shift(F.lit(end), seconds(size)))
+        df = df.filter(F.col(time) < _shift(F.lit(utc(end)), seconds(size)))
     return df
 
 
 def _starts_in_range(column: Column, start: datetime | None, end: datetime | None) -> Column:
     keep = F.lit(True)
     if start is not None:
-        keep = keep & (column >= F.lit(start))
+        keep = keep & (column >= F.lit(utc(start)))
     if end is not None:
-        keep = keep & (column < F.lit(end))
+        keep = keep & (column < F.lit(utc(end)))
     return keep
 
 

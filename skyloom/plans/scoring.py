@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from skyloom.operators.model import enrich, score
 from skyloom.sources.store import FeatureStore
@@ -26,3 +26,11 @@ def score_from_store(
 ) -> DataFrame:
     latest = store.read_latest(store.group("airport"))
     return enrich_and_score(requests, latest, model, entity=entity)
+
+
+def score_instances(
+    spark: SparkSession, instances: list[list[float]], features: list[str], model: PipelineModel
+) -> DataFrame:
+    """A few request vectors typed in by hand; ``features`` names their positions."""
+    schema = ", ".join(f"`{name}` double" for name in features)
+    return score(spark.createDataFrame([tuple(map(float, i)) for i in instances], schema), model)

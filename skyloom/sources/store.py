@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom.functions.values import utc
 from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
 from skyloom.operators.windows import seconds
 from skyloom.schemas import Feature, FeatureGroup
@@ -158,10 +159,11 @@ class FeatureStore:
     ) -> DataFrame:
         """The records of a group, all or those in ``[start, end)``; only those days are listed."""
         stored = self._stored(group)
+        time, day = F.col("feature_time"), F.col(_DAY)
         if start is not None:
-            stored = stored.filter((F.col(_DAY) >= F.lit(start.date())) & (F.col("feature_time") >= F.lit(start)))
+            stored = stored.filter((day >= F.lit(utc(start).date())) & (time >= F.lit(utc(start))))
         if end is not None:
-            stored = stored.filter((F.col(_DAY) <= F.lit(end.date())) & (F.col("feature_time") < F.lit(end)))
+            stored = stored.filter((day <= F.lit(utc(end).date())) & (time < F.lit(utc(end))))
         return stored.select(*_KEYS, *group.select(feature_ids))
 
     def read_latest(

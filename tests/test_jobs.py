@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from skyloom.operators.dataset import first_rows, raw_training_rows, split_parts, time_split
 from skyloom.operators.model import fit_classifier
 from skyloom.plans.features import FeatureOutputs, airport_delays, run_feature_job
-from skyloom.plans.scoring import score_from_store
+from skyloom.plans.scoring import score_from_store, score_instances
 from skyloom.plans.training import run_joined_training, run_raw_training
 from skyloom.schemas import AIRPORT_GROUP, AIRPORT_SCHEMA, FLIGHT_GROUP, FLIGHT_SCHEMA, RAW_COLUMNS
 from skyloom.session import scratch_path
@@ -65,6 +65,9 @@ def test_raw_training_evaluates_the_first_rows_on_request(spark):
     path = scratch_path(spark, "raw")
     write_csv(raw_flights(scan_events(spark, SF)).drop("event_id"), path)
     whole = run_raw_training(spark, path, SPLIT)
+    features = ["DepDelay", "TaxiOut", "Distance"]
+    got = score_instances(spark, [[-4.0, 16.0, 153], [300, 16, 3500]], features, whole.model)
+    assert [r.prediction for r in got.collect()] == [False, True]
     part = run_raw_training(spark, path, SPLIT, order=["DepDelay"], limit=50)
     assert part.scored.count() == 50 < whole.scored.count()
     assert whole.roc.filter("fpr = 1 and tpr = 1").count() == 1

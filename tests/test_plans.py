@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from skyloom.catalog.queries import flights, spine, written_flights
 from skyloom.operators.asof import as_of_join
+from skyloom.operators.clean import SOURCE_COLUMNS, clean_flights
 from skyloom.operators.metrics import confusion_matrix
 from skyloom.operators.ranking import running_totals
 from skyloom.plans.features import airport_delays
-from skyloom.sources.events import raw_lines, scan_events
-from skyloom.sources.flights import decode_lines
+from skyloom.schemas import FLIGHT_SCHEMA
+from skyloom.sources.events import raw_flights, raw_lines, scan_events
+from skyloom.sources.flights import decode_lines, scan_flights, scan_raw
+from skyloom.sources.tables import write_csv, write_features
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,3 +121,21 @@ def test_hot_request_is_split_by_adaptive_execution(spark, small_skew_limits):
     joined = as_of_join(rows, features, entity="e", time="t", columns=["x"])
     assert len(joined.collect()) == 60_000
     assert "SortMergeJoin(skew=true)" in plan(joined)
+
+
+def test_scans_read_only_the_columns_needed(spark, tmp_path):
+    write_csv(raw_flights(scan_events(spark, SF)).drop("event_id"), str(tmp_path / "csv"))
+    rows = clean_flights(scan_raw(spark, str(tmp_path / "csv")))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        text = plan(rows)
+        schema = re.search(r"ReadSchema: struct<(.*?)>", text)[1]
+        assert sorted(f.split(":")[0] for f in schema.split(",")) == sorted(SOURCE_COLUMNS)
+        write_features(rows, str(tmp_path / "flights"), FLIGHT_SCHEMA)
+        text = plan(airport_delays(scan_flights(spark, str(tmp_path / "flights"))))
+        schema = re.search(r"ReadSchema: struct<(.*?)>", text)[1]
+        assert sorted(f.split(":")[0] for f in schema.split(",")) == [
+            "departure_delay_minutes", "origin_airport_id", "timestamp",
+        ]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
