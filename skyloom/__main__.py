@@ -15,6 +15,7 @@ from skyloom.schemas import AIRPORT_GROUP, FLIGHT_GROUP
 from skyloom.session import build_session
 from skyloom.sources.archives import extract_lines, scan_archives, write_extracted
 from skyloom.sources.store import FeatureStore
+from skyloom.streaming.jobs import start_feature_stream
 
 
 def parser() -> argparse.ArgumentParser:
@@ -33,6 +34,11 @@ def parser() -> argparse.ArgumentParser:
         *["input", "output-airports", "output-flights", "output-read-instances", "output-rejects"],
         **{"output-rejects": None},
     )
+    job(
+        "stream-features",
+        "the same for files as they arrive, until stopped",
+        *["input", "output-airports", "output-flights", "checkpoint"],
+    )
     job("setup-store", "declare the feature groups", "store")
     job("ingest", "load feature files into the store", "store", "flights", "airports")
     job(
@@ -69,6 +75,10 @@ def main(argv: list[str] | None = None) -> None:
             args.output_rejects,
         )
         run_feature_job(spark, args.input, outputs)
+    elif args.job == "stream-features":
+        outputs = FeatureOutputs(args.output_airports, args.output_flights, "")
+        start_feature_stream(spark, args.input, outputs, args.checkpoint)
+        spark.streams.awaitAnyTermination()
     elif args.job == "setup-store":
         store = FeatureStore(spark, args.store)
         store.create(FLIGHT_GROUP)

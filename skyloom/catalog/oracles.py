@@ -283,6 +283,11 @@ FROM probability"""
 
 _AIRPORT_QUERY = f"WITH {_AIRPORTS} {_AIRPORT_SELECT} FROM airports"
 
+# The windows that a watermark of one hour has closed at the end of the input.
+_CLOSED_WINDOWS = f"""
+{_AIRPORT_QUERY}
+WHERE timestamp + INTERVAL 4 HOUR <= (SELECT max(timestamp) - INTERVAL 1 HOUR FROM flights)"""
+
 _DATASET_COLUMNS = """
   round("DepDelay", 8) AS "DepDelay", round("TaxiOut", 8) AS "TaxiOut",
   round("Distance", 8) AS "Distance", target"""
@@ -332,9 +337,8 @@ FROM flights""",
     "feature_job": _AIRPORT_QUERY,
     "airport_sliding_mean": _AIRPORT_QUERY,
     "airport_sliding_mean_rows": _AIRPORT_QUERY,
-    "airport_sliding_stream": f"""
-{_AIRPORT_QUERY}
-WHERE timestamp + INTERVAL 4 HOUR <= (SELECT max(timestamp) - INTERVAL 1 HOUR FROM flights)""",
+    "airport_sliding_stream": _CLOSED_WINDOWS,
+    "feature_stream_job": _CLOSED_WINDOWS,
     "feature_ingest_dedup": f"""
 WITH {_FLIGHTS},
 ingested AS (
@@ -362,6 +366,14 @@ WITH {_FLIGHTS},{_NEWEST_FLIGHTS}
 {_PIT_FLIGHT_SELECT}
 FROM flights f LEFT JOIN newest n
   ON n.flight_number = f.flight_number AND n.timestamp = f.timestamp""",
+    "serve_two_groups": f"""
+WITH {_AIRPORTS},{_NEWEST_FLIGHTS}
+{_PIT_FLIGHT_SELECT},
+       round(a.average_departure_delay, 8) AS average_departure_delay
+FROM flights f
+ASOF LEFT JOIN newest n ON n.flight_number = f.flight_number AND n.timestamp <= f.timestamp
+ASOF LEFT JOIN airports a
+  ON a.origin_airport_id = f.origin_airport_id AND a.timestamp <= f.timestamp""",
     "latest_airport_features": f"""
 WITH {_AIRPORTS}
 SELECT max(timestamp) AS timestamp, origin_airport_id,
@@ -390,6 +402,14 @@ FROM flights WHERE NOT is_cancelled GROUP BY 1""",
 WITH {_PART1}
 SELECT event_id, {_DATASET_COLUMNS}
 FROM rows WHERE day >= '{SPLIT}' ORDER BY event_id LIMIT 1000""",
+    "feature_statistics": "\nUNION ALL\n".join(
+        f"""
+SELECT '{name}' AS feature, round(m, 6) AS median, round(avg(coalesce(x, m)), 6) AS mean,
+       round(stddev_pop(coalesce(x, m)), 6) AS std
+FROM (WITH {_PART1} SELECT "{name}" AS x, (SELECT median("{name}") FROM rows) AS m FROM rows)
+GROUP BY m"""
+        for name in ("DepDelay", "TaxiOut", "Distance")
+    ),
     "median_impute": f"""
 WITH {_PART1},
 middle AS (

@@ -47,6 +47,7 @@ from skyloom.sources.flights import decode_lines, scan_flights, scan_lines
 from skyloom.sources.store import FeatureStore, latest_records
 from skyloom.sources.tables import write_csv, write_features
 from skyloom.streaming.features import drain, streaming_airport_delays
+from skyloom.streaming.jobs import start_feature_stream
 from skyloom.streaming.sources import stream_events
 
 SPLIT = "2024-01-20"
@@ -233,6 +234,16 @@ def airport_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(drain(streaming_airport_delays(rows), f"{base}/out", f"{base}/checkpoint"))
 
 
+@query
+def feature_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature job on text files that arrive on a stream: its airport output."""
+    base = scratch_path(use_utc(spark), "feature-stream")
+    raw_lines(scan_events(spark, sf_dir)).select("line").write.text(f"{base}/raw")
+    outputs = FeatureOutputs(f"{base}/airports", f"{base}/flights", f"{base}/read_instances")
+    start_feature_stream(spark, f"{base}/raw", outputs, f"{base}/checkpoint", available_now=True)
+    return present(spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports))
+
+
 # Feature tables and point-in-time joins
 
 
@@ -320,6 +331,13 @@ def pit_flight_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def serve_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both groups of the store joined as of the request times, buckets chosen by count."""
+    store, rows = loaded_store(spark, flights(spark, sf_dir))
+    return present(store.serve(spine(rows), {"flight": ["*"], "airport": ["*"]}, bucket="auto"))
+
+
 @query
 def latest_airport_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(
@@ -373,6 +391,16 @@ def _labelled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(rows, "labelled")
 
 
+@query
+def feature_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median, and mean and population deviation after imputation."""
+    prepared = fit_preparation(_labelled_table(spark, sf_dir), RAW_FEATURES)
+    return spark.createDataFrame(
+        [(name, *(round(x, 6) for x in numbers)) for name, numbers in prepared.statistics.items()],
+        "feature string, median double, mean double, std double",
+    )
+
+
 @query
 def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled_table(spark, sf_dir)

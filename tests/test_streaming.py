@@ -9,8 +9,11 @@ from skyloom.operators.model import enrich, fit_classifier, score
 from skyloom.operators.windows import sliding_mean
 from skyloom.session import materialise, scratch_path
 from skyloom.sources.tables import write_csv
-from skyloom.schemas import RAW_COLUMNS
+from skyloom.plans.features import FeatureOutputs, airport_delays
+from skyloom.schemas import AIRPORT_SCHEMA, RAW_COLUMNS
+from skyloom.sources.flights import scan_flights
 from skyloom.streaming.features import drain, streaming_airport_delays
+from skyloom.streaming.jobs import start_feature_stream
 from skyloom.streaming.sources import stream_raw
 
 START = datetime(2024, 1, 1)
@@ -100,3 +103,22 @@ def test_model_on_a_stream(spark, files):
     columns = ["flight_number", "score", "prediction"]
     assert got.count() == expected.count() == 600
     assert got.select(columns).exceptAll(expected.select(columns)).count() == 0
+
+
+@pytest.mark.parametrize("available_now", [True, False])
+def test_feature_job_on_a_stream(spark, files, available_now):
+    base = scratch_path(spark, "stream-job")
+    outputs = FeatureOutputs(f"{base}/airports", f"{base}/flights", "")
+    queries = start_feature_stream(
+        spark, f"{files}/*", outputs, f"{base}/checkpoint", available_now=available_now
+    )
+    for query in queries:
+        if query.isActive:
+            query.processAllAvailable()
+            query.stop()
+    flights = scan_flights(spark, outputs.flights)
+    assert flights.count() == 600
+    last = flights.agg(F.max("timestamp").cast("timestamp_ntz")).first()[0]
+    whole = windows(airport_delays(flights))
+    closed = {k: v for k, v in whole.items() if k[0] + timedelta(hours=4) <= last - timedelta(hours=1)}
+    assert windows(spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports)) == closed

@@ -1,4 +1,5 @@
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -31,6 +32,15 @@ def test_parse_double_takes_what_python_takes(spark):
             assert value == expected, text
 
 
+def test_parse_double_on_random_texts(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("00123.eE+-_ dfxXnaiN", k=rng.randrange(1, 7))) for _ in range(20_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for text, value in df.select("t", parse_double(F.col("t"))).collect():
+        expected = as_python(text)
+        assert (value == expected) or (value != value and expected != expected), (text, value)
+
+
 TIMES = [
     ("2021-12-20", "0930", datetime(2021, 12, 20, 9, 30)),
     ("2021-12-20", "0000", datetime(2021, 12, 20)),
