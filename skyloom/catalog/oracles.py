@@ -322,7 +322,7 @@ SELECT event_id,
        CASE k WHEN 0 THEN 'wheels_off_length' WHEN 1 THEN 'arrival_delay_minutes'
               WHEN 2 THEN 'time' ELSE 'no_distance' END AS reason
 FROM raw WHERE k IN (0, 1, 2, 5)""",
-    "read_instance_rows": f"""
+    "read_instances": f"""
 WITH {_FLIGHTS}
 SELECT event_id, flight_number AS flight, origin_airport_id AS airport,
        strftime(timestamp, '%Y-%m-%dT%H:%M:%SZ') AS timestamp
@@ -335,8 +335,8 @@ FROM flights""",
     "text_scan": f"WITH {_FLIGHTS} {_FLIGHT_SELECT} FROM flights",
     "feature_roundtrip": f"WITH {_FLIGHTS} {_FLIGHT_SELECT} FROM flights",
     "feature_job": _AIRPORT_QUERY,
+    "airport_sliding_mean_panes": _AIRPORT_QUERY,
     "airport_sliding_mean": _AIRPORT_QUERY,
-    "airport_sliding_mean_rows": _AIRPORT_QUERY,
     "airport_sliding_stream": _CLOSED_WINDOWS,
     "feature_stream_job": _CLOSED_WINDOWS,
     "feature_ingest_dedup": f"""
@@ -435,8 +435,8 @@ SELECT event_id,
        round((c - avg(c) OVER ()) / stddev_pop(c) OVER (), 8) AS "Distance", target
 FROM filled""",
     "score_fixed_weights": f"WITH {_SCORED} SELECT event_id, target, score, prediction FROM scored",
-    "confusion_matrix_fixed": f"WITH {_SCORED} {_CONFUSION}",
-    "roc_curve_all": _roc(thinned=False),
+    "confusion_matrix": f"WITH {_SCORED} {_CONFUSION}",
+    "roc_curve": _roc(thinned=False),
     "roc_curve_thinned": _roc(thinned=True),
     "enrich_and_score": _ENRICHED,
     "stream_enrich_score": _ENRICHED,
@@ -446,14 +446,14 @@ SELECT unnest(['DepDelay', 'TaxiOut', 'Distance', 'intercept']) AS feature,
        unnest([round(w0, 4), round(w1, 4), round(w2, 4), round(w3, 4)]) AS weight
 FROM fit""",
     "train_and_evaluate_raw": f"WITH {_RAW_FIT},{_fit_scored(_RAW_NAMES, 'test')} {_CONFUSION}",
-    "train_and_evaluate_joined": f"""
+    "train_and_evaluate": f"""
 WITH {_SERVED},
 train AS (SELECT * FROM joined WHERE timestamp < TIMESTAMP '{SPLIT}'),
 test AS (SELECT * FROM joined WHERE timestamp >= TIMESTAMP '{SPLIT}'),
 {_newton("train", _JOINED_NAMES)},
 {_fit_scored(_JOINED_NAMES, "test")}
 {_CONFUSION}""",
-    "stream_model_score": f"""
+    "stream_score": f"""
 WITH {_RAW_FIT},{_fit_scored(_RAW_NAMES, "rows")}
 SELECT event_id, target, prediction FROM scored""",
 }

@@ -66,7 +66,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the name of the function, without the ending that keeps it apart."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -163,7 +164,7 @@ def flights_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def read_instance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_instances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_instances(flights(spark, sf_dir), ["event_id"])
 
 
@@ -209,12 +210,12 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def airport_sliding_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def airport_sliding_mean_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(airport_delays(flights(spark, sf_dir)))
 
 
 @query
-def airport_sliding_mean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def airport_sliding_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(
         sliding_mean_rows(
             flights(spark, sf_dir),
@@ -377,7 +378,7 @@ def time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def first_n_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 1,000 test rows in file order, which the reference evaluates."""
+    """The first 1,000 test rows in file order: the sample that is evaluated."""
     rows = raw_training_rows(raw(spark, sf_dir), ["event_id"])
     _, test = time_split(rows, "FlightDate", SPLIT)
     return present(first_rows(test, ["event_id"], 1000))
@@ -425,12 +426,12 @@ def score_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def confusion_matrix_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def confusion_matrix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusion_matrix(_scored(flights(spark, sf_dir)))
 
 
 @query
-def roc_curve_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def roc_curve_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(roc_curve(_scored(flights(spark, sf_dir)), drop_intermediate=False), 9)
 
 
@@ -506,7 +507,7 @@ def train_and_evaluate_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def train_and_evaluate_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_and_evaluate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training job on the feature store: its confusion matrix."""
     store, rows = loaded_store(spark, flights(spark, sf_dir))
     joined = joined_rows(store, spine(rows), exact=("flight",))
@@ -514,7 +515,7 @@ def train_and_evaluate_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted model applied to a stream of raw rows."""
     train, _ = _raw_train(spark, sf_dir)
     model = fit_classifier(materialise(train, "train"), RAW_FEATURES)

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Numbers as the reference grammar takes them: blanks around the text, digits that
+# The grammar of numbers: blanks around the text, digits that
 # may be grouped with single underscores, infinities and a signed nan. Type suffixes
 # and hexadecimal floats, which the JVM parser would take, are not numbers.
 _BLANK = r"[ \t\n\r\x0b\x0c]*"
