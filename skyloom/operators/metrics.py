@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.operators.ranking import running_totals
+from skyloom.operators.ranking import bucket_count, running_totals
 from skyloom.session import materialise
 
 
@@ -40,7 +40,7 @@ def roc_curve(
     score: str = "score",
     *,
     drop_intermediate: bool = True,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """A5: ``fpr, tpr, threshold``, one point per distinct score and the point (0, 0).
 
@@ -48,6 +48,8 @@ def roc_curve(
     has the highest score plus one as its threshold. ``drop_intermediate`` leaves
     out the points between two equal steps, which lie on a straight line; the
     first and the last score always stay. A rate whose class has no rows is NaN.
+    ``buckets`` is the number of parts the ordering is cut into, by default chosen
+    from the number of distinct scores.
     """
     actual = F.col(label).cast("boolean")
     counts = materialise(
@@ -56,14 +58,19 @@ def roc_curve(
         ),
         "roc",
     )
-    ranked = running_totals(
-        counts, "threshold", ["pos", "neg"], descending=True, buckets=buckets
-    )
     ends = counts.agg(
+        F.count("*").alias("scores"),
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
         F.max("threshold").alias("top"),
     ).first()
+    ranked = running_totals(
+        counts,
+        "threshold",
+        ["pos", "neg"],
+        descending=True,
+        buckets=buckets or bucket_count(ends.scores),
+    )
 
     def rate(cumulated, total):
         return cumulated / F.lit(float(total)) if total else F.lit(float("nan"))

@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 from skyloom.functions.values import nan_to_null
 
 
+# Rows one bucket should hold, and the most buckets ever made.
+BUCKET_ROWS, MOST_BUCKETS = 200_000, 20_000
+
+
+def bucket_count(rows: int) -> int:
+    """Enough buckets to keep each small, and few enough for their sums to be broadcast."""
+    return min(MOST_BUCKETS, max(64, rows // BUCKET_ROWS))
+
+
 def running_totals(
     df: DataFrame,
     order: str,
     totals: list[str],
     *,
     descending: bool = False,
-    buckets: int = 256,
+    buckets: int = 64,
 ) -> DataFrame:
     """Running sums ``cum_<c>`` along ``order``, and the next row's ``next_<c>``.
 

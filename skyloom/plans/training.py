@@ -54,7 +54,7 @@ def evaluate(
     *,
     order: list[str] | None = None,
     limit: int | None = None,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> Evaluation:
     """M5 to M7, A4, A5 on the test set, or on its first ``limit`` rows in ``order``.
 

@@ -4,7 +4,13 @@ import random
 import numpy as np
 import pytest
 
-from skyloom.operators.ranking import column_medians, column_moments, running_totals
+from skyloom.operators.ranking import (
+    MOST_BUCKETS,
+    bucket_count,
+    column_medians,
+    column_moments,
+    running_totals,
+)
 
 
 def columns():
@@ -78,3 +84,9 @@ def test_running_totals_of_one_and_no_row(spark):
     df = spark.createDataFrame([(0.5, 2)], "s double, a long")
     assert [r.cum_a for r in running_totals(df, "s", ["a"]).collect()] == [2]
     assert running_totals(df.filter("a < 0"), "s", ["a"]).count() == 0
+
+
+def test_bucket_count_is_bounded():
+    assert bucket_count(0) == bucket_count(5_000) == 64
+    assert bucket_count(10**9) == 5_000
+    assert bucket_count(10**15) == MOST_BUCKETS
