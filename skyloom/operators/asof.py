@@ -106,6 +106,7 @@ def as_of_join(
     max_age: str | None = None,
     bucket: str = "1 day",
     matched_time: str | None = None,
+    requests: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of each spine row to the newest record at or before its time.
 
@@ -114,15 +115,18 @@ def as_of_join(
     as feature tables are; otherwise name the ``sequence`` column that decides.
     ``max_age`` leaves older records out. ``matched_time`` names an output column
     for the time of the record found. ``bucket`` bounds the search groups; with
-    ``"auto"`` it is chosen by counting rows first.
+    ``"auto"`` it is chosen by counting rows first. ``requests`` is a frame with
+    the same entities and times as the spine, for a spine that is costly to compute
+    more than once, such as the result of an earlier join.
 
     Only the distinct (entity, time) pairs of the spine take part in the search,
     so repeated requests collapse before the shuffle. The answers return to the
     rows by an equality join, which adaptive execution turns into a broadcast
     when the answers are small and splits when one pair holds many rows.
     """
+    requests = spine if requests is None else requests
     if bucket == "auto":
-        bucket = choose_bucket([(spine, entity, time), (features, feature_entity, feature_time)])
+        bucket = choose_bucket([(requests, entity, time), (features, feature_entity, feature_time)])
     records = features.filter(F.col(feature_entity).isNotNull() & F.col(feature_time).isNotNull())
     if sequence:
         records = newest_versions(records, [feature_entity, feature_time], sequence)
@@ -132,7 +136,7 @@ def as_of_join(
         F.struct(*columns).alias("_record"),
     )
     instants = (
-        spine.select(F.col(entity).alias(_E), F.col(time).alias(_T))
+        requests.select(F.col(entity).alias(_E), F.col(time).alias(_T))
         .filter(F.col(_E).isNotNull() & F.col(_T).isNotNull())
         .distinct()
     )

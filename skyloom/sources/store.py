@@ -198,6 +198,7 @@ class FeatureStore:
         times, if known: later days of the tables are then not read, and with
         ``max_age`` earlier ones neither.
         """
+        requests = spine
         for name, feature_ids in wanted.items():
             group = self.group(name)
             columns = group.select(feature_ids)
@@ -210,7 +211,7 @@ class FeatureStore:
             else:
                 spine = as_of_join(
                     spine, features, entity=name, time=time, columns=columns,
-                    max_age=max_age, bucket=bucket,
+                    max_age=max_age, bucket=bucket, requests=requests,
                 )
         return spine
 
