@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.components import connected_components
@@ -75,8 +75,13 @@ def _bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def text_key(text: Column) -> Column:
+    """Names a text; null counts as empty."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): SimHash of the word shingles, as a signed long."""
+    """(doc_id, text_key, fp): SimHash of the word shingles, as a signed long."""
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -109,11 +114,13 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(first, len(texts)),
+                        "text_key": batch.column(2).slice(first, len(texts)),
                         "fp": pa.array(fp.view(np.int64)),
                     }
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("text_key"))
+    return rows.mapInArrow(run, "doc_id long, text_key string, fp long")
 
 
 def _masks(level: int, blocks: int, free: tuple[int, ...] = tuple(range(64)), fixed: int = 0):
@@ -206,7 +213,10 @@ def fingerprint_links(distinct: DataFrame, radius: int = MAX_BITS, largest: int
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
+    """(doc_id, fingerprint, component_id, component, text_key) of every document.
+
+    ``component`` names a group even where none of its documents has an id.
+    """
     prints = materialise(fingerprints(docs, shingle), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     components = connected_components(fingerprint_links(distinct, max_bits))
@@ -214,7 +224,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(names, "component").select("fp", "component_id")
+    named = labelled.join(names, "component").select("fp", "component", "component_id")
     return prints.join(materialise(named, "groups"), "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+        "component",
+        "text_key",
     )
+
+
+def keep_one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The row with the smallest doc_id of each group; ids that are null come last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    kept = groups.groupBy("component").agg(first).select("first.doc_id", "first.text_key")
+    kept = materialise(kept.select(name.alias("_name"), F.col("text_key").alias("_key")), "kept")
+    rows = docs.withColumns({"_name": name, "_key": text_key(F.col("text"))})
+    # the first of equal rows
+    order = Window.partitionBy("_name", "_key").orderBy(F.lit(0))
+    rows = rows.join(kept, ["_name", "_key"]).withColumn("_n", F.row_number().over(order))
+    return rows.where("_n = 1").select(docs.columns)

@@ -44,6 +44,8 @@ _HELD = 400_000
 STEMS = (4, 5, 6)
 #: Training documents that must be toxic and hold a feature.
 LEAST_DOCUMENTS = 4
+#: Weight decay of a feature that one toxic document has.
+RESTRAINT = 2e-4
 THRESHOLD = 0.3
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -102,8 +104,8 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _telling(counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, int]:
-    """The kept features and their numbers."""
+def _telling(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[dict[str, int], np.ndarray]:
+    """The kept features and their numbers; the toxic documents that hold each."""
 
     def term(seen: Column, expected: Column) -> Column:
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
@@ -119,12 +121,13 @@ def _telling(counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, int]:
     ahead = F.col("toxic") * n_clean > 3 * F.col("clean") * n_toxic
     best = (
         counts.where(ahead & (F.col("toxic") >= LEAST_DOCUMENTS))
-        .select("feature", gain.alias("gain"))
+        .select("feature", "toxic", gain.alias("gain"))
         .where(F.col("gain") > 15)
         .orderBy(F.desc("gain"), "feature")
         .limit(MOST_FEATURES)
     )
-    return {row.feature: k for k, row in enumerate(best.collect())}
+    rows = best.collect()
+    return {r.feature: k for k, r in enumerate(rows)}, np.array([r.toxic for r in rows], float)
 
 
 def sentences(text: str | None) -> list[str]:
@@ -180,8 +183,13 @@ class NoisyOr:
         self.weights, self.bias = weights, bias
 
     @classmethod
-    def fit(cls, documents: list[tuple[int, int, list[list[int]]]], n_features: int, rounds: int = 400):
-        """Gradient steps (Adam) on the log-likelihood of (label, plain sentences, bags)."""
+    def fit(cls, documents: list[tuple[int, int, list[list[int]]]], support: np.ndarray, rounds: int = 1500):
+        """Gradient steps (Adam) on the log-likelihood of (label, plain sentences, bags).
+
+        ``support`` has the toxic documents behind each feature; weights of features
+        that few of them have are held back more.
+        """
+        n_features = len(support)
         label = np.array([d[0] > 0 for d in documents], float)
         plain = np.array([d[1] for d in documents], float)
         owner = np.array([k for k, d in enumerate(documents) for _ in d[2]], np.int64)
@@ -207,7 +215,7 @@ class NoisyOr:
             gradient = np.zeros_like(theta)
             gradient[:-1] = np.bincount(col, by_sentence[row], n_features)
             gradient[-1] = by_sentence.sum() - (slope * plain).sum() / (1 + math.exp(-theta[-1]))
-            gradient[:-1] += 1e-5 * theta[:-1]
+            gradient[:-1] += RESTRAINT / support * theta[:-1]
             mean = 0.9 * mean + 0.1 * gradient
             square = 0.999 * square + 0.001 * gradient**2
             theta -= 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
@@ -255,14 +263,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
     n_toxic, n_clean = counts.get(True, 0), counts.get(False, 0)
     if not n_toxic or not n_clean:
         return ToxicityModel({}, None, 1.0 if n_toxic else 0.0)
-    number = _telling(_feature_counts(rows), n_toxic, n_clean)
+    number, support = _telling(_feature_counts(rows), n_toxic, n_clean)
     shared = rows.sparkSession.sparkContext.broadcast(number)
     # the documents with the lowest hashes: a sample that does not depend on the layout
     some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     documents = [
         (r.toxic, r.plain, r.bags) for r in _bags(some, shared).toLocalIterator()
     ]
-    return ToxicityModel(number, NoisyOr.fit(documents, len(number)), n_toxic / (n_toxic + n_clean))
+    return ToxicityModel(number, NoisyOr.fit(documents, support), n_toxic / (n_toxic + n_clean))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:

@@ -2,8 +2,11 @@
 
 Host names run words together. Each label of a distinct host is split into words by the
 Viterbi path of a unigram model, whose counts come from the words of all pages. A
-multinomial naive Bayes model then scores host words and path tokens as block or allow;
-it learns from the pages that the rules decide.
+multinomial naive Bayes model then scores host words and path tokens as block or allow.
+It learns from the pages that the rules decide, one vote for each host and list of path
+tokens, so that busy hosts do not outvote others, and without the tokens that the rules
+themselves name; and from short lists of words that stand for the two kinds; a listed word
+counts as much as ``SEED_SHARE`` of all votes.
 
 Everything is counted over all rows. Hosts and token lists are scored once each and
 joined back, so a host with a third of all pages is one row until the last join, which
@@ -32,6 +35,22 @@ RULES = [
     ("block", "example.com/de/"),
     ("allow", "org/fr/"),
 ]
+#: Words that stand for unwanted and for wanted pages, where no rule decides.
+SEEDS = {
+    "block": """adult ads affiliate bet bets betting bingo bitcoin casino cheap click clickbait coupon crack
+        crypto dating debt deals escort farm forex free fuck gamble gambling hack hentai jackpot keygen loan
+        loans lottery malware nude payday phishing pharma pills piracy poker popup porn prize promo proxy rich
+        scam sex sexy slots spam spyware stream torrent track tracker tracking viagra virus warez win winner
+        xxx""".split(),
+    "allow": """academy archive article blog book books college community docs edu education encyclopedia
+        forum gov guide health help history journal lab library magazine museum news paper research school
+        science study university weather wiki""".split(),
+}
+SEED_SHARE = 0.5
+#: Smoothing of both classes' counts, as a share of all votes.
+SMOOTHING = 0.01
+#: Log-odds from which a page that no rule decides is blocked.
+BLOCK_FROM = 3.0
 #: Characters of the longest word that a label is split into.
 LONGEST_WORD = 24
 
@@ -95,13 +114,17 @@ def segment_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """(label, words): distinct labels split along their Viterbi paths."""
     total = counts.agg(F.sum("n").alias("n")).first().n or 1
 
+    # a listed word is known to the splitting even where no page holds it
+    listed = {w: max(1, total // 10_000) for words in SEEDS.values() for w in words}
+
     def run(batches: Iterator):
         import pyarrow as pa
 
         for batch in batches:
             rows = batch.to_pylist()
             words = [
-                split_label(r["label"], {k["word"]: k["n"] for k in r["known"] or ()}, total) for r in rows
+                split_label(r["label"], listed | {k["word"]: k["n"] for k in r["known"] or ()}, total)
+                for r in rows
             ]
             yield pa.RecordBatch.from_pydict(
                 {"label": batch.column(0), "words": pa.array(words, pa.list_(pa.string()))}
@@ -128,19 +151,32 @@ def segment_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _token_weights(tokens: DataFrame) -> DataFrame:
+def _token_weights(tokens: DataFrame, rules, votes: float) -> DataFrame:
     """(token, weight): log-likelihood ratio of block to allow, from (token, block, allow) counts."""
+    named = {f"host:{w}" for _, r in rules for w in r.partition("/")[0].split(".")}
+    named |= {f"path:{w}" for _, r in rules for w in r.partition("/")[2].split("/") if w}
     counts = tokens.groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
-    counts = materialise(counts, "token-counts")
+    counts = materialise(counts.where(~F.col("token").isin(sorted(named))), "token-counts")
     total = counts.agg(
         F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count("*").alias("tokens")
     ).first()
-    size = total.tokens + 1
-    return counts.select(
+    alpha = max(1.0, SMOOTHING * votes)
+    seeds = counts.sparkSession.createDataFrame(
+        [
+            (f"{place}:{word}", *[SEED_SHARE * max(votes, 2.0) * (kind == k) for k in ("block", "allow")])
+            for kind, words in SEEDS.items()
+            for word in words
+            for place in ("host", "path")
+        ],
+        "token string, block double, allow double",
+    )
+    every = counts.union(seeds).groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
+    size = alpha * (total.tokens + sum(map(len, SEEDS.values())))
+    return every.select(
         "token",
         (
-            F.log((F.col("block") + 1) / float((total.block or 0) + size))
-            - F.log((F.col("allow") + 1) / float((total.allow or 0) + size))
+            F.log((F.col("block") + alpha) / float((total.block or 0) + size))
+            - F.log((F.col("allow") + alpha) / float((total.allow or 0) + size))
         ).alias("weight"),
     )
 
@@ -148,8 +184,8 @@ def _token_weights(tokens: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every page.
 
-    ``score`` is the log-odds of block against allow; where no rule fits, a positive
-    score blocks.
+    ``score`` is the log-odds of block against allow; where no rule fits, a score of
+    ``BLOCK_FROM`` or more blocks.
     """
     verdicts = {rule: verdict for verdict, rule in rules}
     host, path = host_and_path(F.col("url").cast("string"))
@@ -162,10 +198,15 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = rows.withColumn("shape", F.array_join(path_tokens(F.col("path")), " "))
     rows = materialise(rows.withColumn("given", by_rule), "urls")
 
-    block = F.sum(F.when(F.col("given") == "block", 1).otherwise(0)).alias("block")
-    allow = F.sum(F.when(F.col("given") == "allow", 1).otherwise(0)).alias("allow")
-    hosts = materialise(rows.groupBy("host").agg(block, allow), "hosts")
-    shapes = materialise(rows.groupBy("shape").agg(block, allow), "shapes")
+    votes = rows.groupBy("host", "shape").agg(
+        F.max((F.col("given") == "block").cast("int")).alias("block"),
+        F.max((F.col("given") == "allow").cast("int")).alias("allow"),
+    )
+    votes = materialise(votes.na.fill(0, ["block", "allow"]), "votes")
+    sums = [F.sum("block").alias("block"), F.sum("allow").alias("allow")]
+    hosts, shapes = votes.groupBy("host").agg(*sums), votes.groupBy("shape").agg(*sums)
+    judged = votes.agg(*sums).first()
+    cast = ((judged.block or 0), (judged.allow or 0))
 
     host_labels = hosts.select(
         "host", "block", "allow", F.explode(F.split("host", r"[^\p{L}]+")).alias("label")
@@ -181,15 +222,14 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         "shape", "block", "allow", F.concat(F.lit("path:"), "word").alias("token")
     )
     columns = ["token", "block", "allow"]
-    weights = materialise(_token_weights(host_tokens.select(columns).union(shape_tokens.select(columns))), "weights")
+    weights = materialise(_token_weights(host_tokens.select(columns).union(shape_tokens.select(columns)), rules, float(sum(cast))), "weights")
 
     def scored(tokens: DataFrame, key: str, name: str) -> DataFrame:
         return materialise(
             tokens.join(weights, "token").groupBy(key).agg(F.sum("weight").alias(name)), "scores"
         )
 
-    judged = hosts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
-    prior = math.log(((judged.block or 0) + 1) / ((judged.allow or 0) + 1))
+    prior = math.log((cast[0] + 1) / (cast[1] + 1))
     score = F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0)) + F.lit(prior)
     return (
         rows.join(scored(host_tokens, "host", "host_score"), "host", "left")
@@ -199,7 +239,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
             "host",
             "path",
             "rule",
-            F.coalesce("given", F.when(score > 0, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+            F.coalesce("given", F.when(score >= BLOCK_FROM, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
             score.alias("score"),
         )
     )
