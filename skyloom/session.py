@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +35,41 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Scratch tables written by this process and not yet deleted.
+_written: list[str] = []
+
+
+def use_scratch(spark: SparkSession, folder: str = "/tmp/checkpoints/skyloom") -> SparkSession:
+    """Give a local session that names no shared folder one, for tests and trials."""
+    if not _shared_folder(spark) and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(folder)
+    return spark
+
+
+def _shared_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named in ``spark.checkpoint.dir``.
 
-    A machine-local temporary folder is used only by a local session that
-    names none; executors of a cluster could not read it.
+    All executors and the driver must reach that folder, so there is no other choice.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _shared_folder(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="skyloom-")
-    return f"{base.rstrip('/')}/skyloom-{label}-{uuid4().hex}"
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    path = f"{base.rstrip('/')}/skyloom-{label}-{uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this process; results that read them end with it."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
