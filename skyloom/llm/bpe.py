@@ -25,22 +25,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.encoding import VOCABULARY, UnitEncoder, text_slices, worker_encoder
+from skyloom.llm.encoding import VOCABULARY, UnitEncoder, byte_characters, text_slices, worker_encoder
 
 SHORT = 64
 _NONE = np.iinfo(np.int32).max
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shown = {b: chr(b) for b in kept}
-    for b in range(256):
-        if b not in shown:
-            shown[b] = chr(256 + len(shown) - len(kept))
-    return [shown[b] for b in range(256)]
-
-
 class MergeTable:
     """(left id, right id) to (rank, merged id), by open addressing, for whole arrays."""
 
@@ -80,6 +70,7 @@ class RankArrayEncoder(UnitEncoder):
 
     def __init__(self, path: str = VOCABULARY, **options):
         super().__init__(path, **options)
+        self.known: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocabulary = spec["model"]["vocab"]
@@ -100,18 +91,19 @@ class RankArrayEncoder(UnitEncoder):
             self.token_bytes[id_] = token.encode()
         self.decimal = [str(k) for k in range(size)]
 
-    def units(self, text: str) -> list[str]:
-        found = [token for token in self.special if token in text]
-        if not found:
-            return super().units(text)
-        at, token = min((text.index(token), token) for token in found)
-        return [
-            *(super().units(text[:at]) if at else []),
-            token,
-            *(self.units(text[at + len(token) :]) if at + len(token) < len(text) else []),
-        ]
-
-    def fill(self, units):
+    def encode(self, texts):
+        cut = [self.units(text) if text else [] for text in texts]
+        new = set().union(*cut).difference(self.known)
+        if len(self.known) + len(new) > self.kept_units:
+            self.known.clear()
+            new = set().union(*cut)
+        if new:
+            self.known.update(self.fill(new))
+        get = self.known.__getitem__
+        return [b"".join(map(get, units)) for units in cut]
+
+    def fill(self, units) -> dict[str, bytes]:
+        """Ids of units: the merges of all their new words are worked on at once."""
         cut = {unit: self.pieces(unit) for unit in units if unit not in self.special}
         words = {piece.encode() for pieces in cut.values() for piece in pieces}
         ids = self.merge(words)

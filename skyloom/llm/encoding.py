@@ -14,47 +14,72 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterable
 
 import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Units kept by one Python worker, about 250 bytes each.
-KEPT_UNITS = 600_000
-_SPACED = re.compile(r"\s ")
+KEPT_UNITS = 500_000
+#: White space before a space.
+_PAIRS = [c + " " for c in map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+          0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+
+
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {b: chr(b) for b in kept}
+    for b in range(256):
+        if b not in shown:
+            shown[b] = chr(256 + len(shown) - len(kept))
+    return [shown[b] for b in range(256)]
 
 
 class UnitEncoder:
-    """Texts to ids; ``fill`` of a subclass encodes units not seen yet."""
+    """Texts to ids; a subclass encodes units not seen yet."""
 
     def __init__(self, path: str = VOCABULARY, kept_units: int = KEPT_UNITS):
         import regex
 
         self.path = path
         self.kept_units = kept_units
-        self.known: dict[str, bytes] = {}
+        self.special: dict[str, int] = {}
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
 
     def units(self, text: str) -> list[str]:
-        if "\0" in text or _SPACED.search(text):
+        for token in self.special:
+            if token in text:
+                return self._around_special(text)
+        if "\0" in text or any(pair in text for pair in _PAIRS):
             return self.pieces(text)
         units = text.replace(" ", "\0 ").split("\0")
         return units if units[0] else units[1:]
 
-    def fill(self, units: Iterable[str]) -> dict[str, bytes]:
-        raise NotImplementedError
+    def _around_special(self, text: str) -> list[str]:
+        """Special tokens are units of their own, found from left to right."""
+        out, at = [], 0
+        for found in re.finditer("|".join(map(re.escape, self.special)), text):
+            if found.start() > at:
+                out += self.units(text[at : found.start()])
+            out.append(found[0])
+            at = found.end()
+        return out + (self.units(text[at:]) if at < len(text) else [])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers; null counts as empty."""
-        cut = [self.units(text) if text else [] for text in texts]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > self.kept_units:
-            self.known.clear()
-            new = set().union(*cut)
-        if new:
-            self.known.update(self.fill(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, units)) for units in cut]
+        raise NotImplementedError
+
+
+class Known(dict):
+    """What is known of a key, made by ``make`` where it is asked for the first time."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        made = self[key] = self.make(key)
+        return made
 
 
 class LibraryEncoder(UnitEncoder):
@@ -65,26 +90,29 @@ class LibraryEncoder(UnitEncoder):
         from tokenizers import Tokenizer
 
         super().__init__(path, kept_units)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def units(self, text: str) -> list[str]:
-        if any(token in text for token in self.special) and _SPACED.search(text):
-            return [text]
-        return super().units(text)
-
-    def fill(self, units):
-        units = list(units)
-        found = {}
-        for k in range(0, len(units), 20_000):
-            part = units[k : k + 20_000]
-            for unit, got in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                found[unit] = little_endian(got.ids)
-        return found
+        tokenizer = Tokenizer.from_file(path)
+        self.special = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items()}
+        self.tokenize = tokenizer.model.tokenize
+        self.shown = dict(enumerate(byte_characters()))
+        self.known = Known(self._unit)
+        self.known_pieces = Known(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece.encode().decode("latin-1").translate(self.shown)
+        return little_endian([token.id for token in self.tokenize(shown)])
+
+    def _unit(self, unit: str) -> bytes:
+        if unit in self.special:
+            return little_endian([self.special[unit]])
+        return b"".join(map(self.known_pieces.__getitem__, self.pieces(unit)))
+
+    def encode(self, texts):
+        get = self.known.__getitem__
+        encoded = [b"".join(map(get, self.units(text))) if text else b"" for text in texts]
+        for known in (self.known, self.known_pieces):
+            if len(known) > self.kept_units:
+                known.clear()
+        return encoded
 
 
 def little_endian(ids: list[int]) -> bytes:

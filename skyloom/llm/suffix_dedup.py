@@ -8,10 +8,12 @@ judged on the input.
    last of equal ones) are its anchor. Equal strings have equal anchors at the same
    place, and neighbouring strings mostly share one, so about one anchor per 85 bytes
    stands for all strings: its *segment* is the bytes of the strings it stands for.
-2. *Segments of anchors that occur again* are gathered by anchor. A fixed-size bit map
-   of the repeated anchors' hashes keeps the rest from being sent; its false positives
-   are settled by the next step. Equal segments are counted before the shuffle, so a
-   passage that fills a third of all documents is one row with a count.
+2. *Segments of anchors that occur again* are counted by a hash of their bytes; a bit map
+   of bounded size of the repeated anchors keeps the rest from being sent, and its false
+   positives are settled by the counts. A segment that occurs again is repeated as a
+   whole. Counting is partial before the shuffle, so a passage that fills a third of all
+   documents is one row with a count. The bytes are sent only of segments whose anchor
+   has differing ones, once for each of these.
 3. *Column-wise construction.* The differing segments of an anchor form a collection of
    short documents, aligned on the anchor. Each round inserts one symbol per document,
    from the last column to the first, and updates the order of the suffixes (stable by
@@ -164,9 +166,20 @@ def repeated_anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
 
 
-def anchor_map(anchors: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit map over the upper bits of the hashes, and the number of those bits."""
-    wanted = 16 * max(anchors.count(), 1)
+def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Places in the map: bits below the top ones, which are low in every anchor."""
+    return ((hashes >> np.uint64(52 - bits)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _marked(mapped: tuple[np.ndarray, int], hashes: np.ndarray) -> np.ndarray:
+    marks, bits = mapped
+    slot = _slots(hashes, bits)
+    return np.flatnonzero((marks[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+
+
+def bit_map(hashes: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit map over ``bits`` bits of the hashes (one long column), and that number."""
+    wanted = 16 * max(hashes.count(), 1)
     bits = min(max(16, (wanted - 1).bit_length()), MOST_BITS)
     size = 1 << 15
 
@@ -175,8 +188,7 @@ def anchor_map(anchors: DataFrame) -> tuple[np.ndarray, int]:
 
         chunks: dict[int, np.ndarray] = {}
         for batch in batches:
-            slot = np.asarray(batch.column(0)).view(np.uint64) >> np.uint64(64 - bits)
-            slot = np.sort(slot.astype(np.int64))
+            slot = np.sort(_slots(np.asarray(batch.column(0)).view(np.uint64), bits))
             for chunk in np.unique(slot >> 15).tolist():
                 a, b = np.searchsorted(slot, [chunk << 15, (chunk + 1) << 15])
                 chunks.setdefault(chunk, np.zeros(size, bool))[slot[a:b] & (size - 1)] = True
@@ -184,11 +196,10 @@ def anchor_map(anchors: DataFrame) -> tuple[np.ndarray, int]:
         rows["bits"] = pa.array([np.packbits(c).tobytes() for c in chunks.values()], pa.binary())
         yield pa.RecordBatch.from_pydict(rows)
 
-    # a range of hashes per task, so every chunk comes from one or two tasks
+    # a range of the map per task, so every chunk comes from one or two tasks
     parts = max(1, min(1 << (bits - 15), 64))
-    chunks = anchors.repartitionByRange(
-        parts, F.shiftrightunsigned("anchor", 64 - bits)
-    ).mapInArrow(run, "chunk long, bits binary")
+    slot = F.shiftrightunsigned(F.col(hashes.columns[0]), 52 - bits).bitwiseAND((1 << bits) - 1)
+    chunks = hashes.repartitionByRange(parts, slot).mapInArrow(run, "chunk long, bits binary")
     whole = np.zeros(1 << (bits - 3), np.uint8)
     for row in chunks.toLocalIterator():
         at = row.chunk * (size >> 3)
@@ -196,53 +207,102 @@ def anchor_map(anchors: DataFrame) -> tuple[np.ndarray, int]:
     return whole, bits
 
 
-_SEGMENT = "anchor long, id binary, doc binary, place long, lead int, content binary"
+def _segment_id(lead: int, content: bytes) -> int:
+    return int.from_bytes(hashlib.md5(lead.to_bytes(4, "big") + content).digest()[:8], "big", signed=True)
+
+
+def _place_hash(anchor: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """One hash of where a segment is; ``doc`` holds the first 8 bytes of a document's name."""
+    mixed = (anchor ^ (doc * _ODD[4])) + place.astype(np.uint64) * _ODD[0]
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * _ODD[5]
+    return mixed ^ (mixed >> np.uint64(29))
 
 
-def _segment_id(lead: int, content: bytes) -> bytes:
-    return hashlib.md5(lead.to_bytes(4, "big") + content).digest()
+def _name(text: bytes) -> bytes:
+    return hashlib.md5(text).digest()
 
 
 def segments(docs: DataFrame, mapped, length: int = LENGTH) -> DataFrame:
-    """Segments of anchors in the map: where they are, how much leads, and their bytes."""
+    """(anchor, id, doc, place, lead, size): segments of anchors in the map.
+
+    ``id`` is a hash of the bytes and of how many of them lead the anchor; with the
+    anchor's own hash it names a segment by 128 bits.
+    """
 
     def run(batches: Iterator):
         import pyarrow as pa
 
-        marks, bits = mapped.value
         for batch in batches:
             for _, texts in _texts(batch, "text"):
-                rows: dict[str, list] = {n: [] for n in ("anchor", "id", "doc", "place", "lead", "content")}
                 name: dict[int, bytes] = {}
                 for row, shift, data, (hashes, place, first, last) in _document_anchors(texts, length):
-                    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-                    kept = np.flatnonzero(marks[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+                    kept = _marked(mapped.value, hashes)
+                    raw, ids = data.tobytes(), []
+                    lead = place[kept] - first[kept]
+                    for a, b, n in zip(first[kept].tolist(), last[kept].tolist(), lead.tolist(), strict=True):
+                        ids.append(_segment_id(n, raw[a : b + length]))
+                    for r in set(row[kept].tolist()).difference(name):
+                        name[r] = _name(texts[r])
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "anchor": pa.array(hashes[kept].view(np.int64)),
+                            "id": pa.array(ids, pa.int64()),
+                            "doc": pa.array([name[r] for r in row[kept].tolist()], pa.binary()),
+                            "place": pa.array(place[kept] + shift[kept]),
+                            "lead": pa.array(lead.astype(np.int32)),
+                            "size": pa.array((last[kept] - first[kept] + length).astype(np.int32)),
+                        }
+                    )
+
+    return docs.select("text").mapInArrow(
+        run, "anchor long, id long, doc binary, place long, lead int, size int"
+    )
+
+
+def segment_bytes(docs: DataFrame, mapped, length: int = LENGTH) -> DataFrame:
+    """(anchor, id, lead, content): the segments at the places in the map, and a few others."""
+
+    def run(batches: Iterator):
+        import pyarrow as pa
+
+        for batch in batches:
+            seen: set[tuple[int, int]] = set()
+            for _, texts in _texts(batch, "text"):
+                short = np.array([int.from_bytes(_name(t)[:8], "big") for t in texts], np.uint64)
+                for row, shift, data, (hashes, place, first, last) in _document_anchors(texts, length):
+                    kept = _marked(mapped.value, _place_hash(hashes, short[row], place + shift))
                     raw = data.tobytes()
-                    for r, s, h, p, a, b in zip(
-                        row[kept].tolist(), shift[kept].tolist(), hashes.view(np.int64)[kept].tolist(),
-                        place[kept].tolist(), first[kept].tolist(), last[kept].tolist(), strict=True,
+                    rows: list[tuple] = []
+                    for h, p, a, b in zip(
+                        hashes.view(np.int64)[kept].tolist(), place[kept].tolist(),
+                        first[kept].tolist(), last[kept].tolist(), strict=True,
                     ):
-                        if r not in name:
-                            name[r] = hashlib.md5(texts[r]).digest()
                         content = raw[a : b + length]
-                        rows["anchor"].append(h)
-                        rows["id"].append(_segment_id(p - a, content))
-                        rows["doc"].append(name[r])
-                        rows["place"].append(p + s)
-                        rows["lead"].append(p - a)
-                        rows["content"].append(content)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "anchor": pa.array(rows["anchor"], pa.int64()),
-                        "id": pa.array(rows["id"], pa.binary()),
-                        "doc": pa.array(rows["doc"], pa.binary()),
-                        "place": pa.array(rows["place"], pa.int64()),
-                        "lead": pa.array(rows["lead"], pa.int32()),
-                        "content": pa.array(rows["content"], pa.binary()),
-                    }
-                )
+                        id_ = _segment_id(p - a, content)
+                        if (h, id_) not in seen:
+                            seen.add((h, id_))
+                            rows.append((h, id_, p - a, content))
+                    columns = list(zip(*rows, strict=True)) or [()] * 4
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                        ["anchor", "id", "lead", "content"],
+                    )
+
+    return docs.select("text").mapInArrow(run, "anchor long, id long, lead int, content binary")
+
+
+def _place_hashes(places: DataFrame) -> DataFrame:
+    def run(batches: Iterator):
+        import pyarrow as pa
 
-    return docs.select("text").mapInArrow(run, _SEGMENT)
+        for batch in batches:
+            doc = [int.from_bytes(d[:8], "big") for d in batch.column(1).to_pylist()]
+            anchor = np.asarray(batch.column(0)).view(np.uint64)
+            hashes = _place_hash(anchor, np.array(doc, np.uint64), np.asarray(batch.column(2)))
+            yield pa.RecordBatch.from_pydict({"at": pa.array(hashes.view(np.int64))})
+
+    return places.select("anchor", "doc", "place").mapInArrow(run, "at long")
 
 
 def insert_columns(group: np.ndarray, lead: np.ndarray, contents: list[bytes], length: int = LENGTH):
@@ -301,7 +361,7 @@ def _sorted_collections(length: int):
             return pa.RecordBatch.from_pydict(
                 {
                     "anchor": pa.array(anchors[hit]),
-                    "id": pa.array([rows[k][1] for k in hit], pa.binary()),
+                    "id": pa.array([rows[k][1] for k in hit], pa.int64()),
                     "first": pa.array(first[hit].astype(np.int32)),
                     "end": pa.array(end[hit].astype(np.int32)),
                 }
@@ -323,6 +383,9 @@ def _sorted_collections(length: int):
     return run
 
 
+_LEVEL = "anchor long, id long, root_anchor long, root_id long, n long, lead int, content binary"
+
+
 def _narrowed(level: int, length: int):
     """Segments of a large collection, cut by ranges of string starts."""
     span = [43, 11, 3, 1][min(level, 3)]
@@ -331,6 +394,8 @@ def _narrowed(level: int, length: int):
         import pyarrow as pa
         import xxhash
 
+        names = [field.split()[0] for field in _LEVEL.split(", ")]
+        kinds = (*[pa.int64()] * 5, pa.int32(), pa.binary())
         for batch in batches:
             out: list[tuple] = []
             for row in batch.to_pylist():
@@ -343,70 +408,100 @@ def _narrowed(level: int, length: int):
                     inner = content[a - begin : b - begin + length]
                     shared = content[part * span + span - 1 - begin : part * span + length - begin]
                     key = b"%d,%d,%d," % (row["anchor"], level, part) + shared
-                    inner_lead = origin - a
                     out.append(
                         (
-                            xxhash.xxh64_intdigest(key) - (1 << 63), _segment_id(inner_lead, inner),
-                            row["doc"], row["place"], inner_lead, inner,
+                            xxhash.xxh64_intdigest(key) - (1 << 63), _segment_id(origin - a, inner),
+                            row["root_anchor"], row["root_id"], row["n"], origin - a, inner,
                         )
                     )
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary())
+            columns = list(zip(*out, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["anchor", "id", "doc", "place", "lead", "content"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
             )
 
     return run
 
 
+def _sorted_segments(distinct: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
+    return (
+        distinct.join(anchors, "anchor")
+        .select("anchor", "id", "lead", "content")
+        .repartition("anchor")
+        .sortWithinPartitions("anchor")
+        .mapInArrow(_sorted_collections(length), "anchor long, id long, first int, end int")
+    )
+
+
 def repeated_stretches(docs: DataFrame, length: int = LENGTH, largest: int = LARGEST) -> DataFrame:
-    """(doc, stretches): merged repeated byte ranges by the MD5 of the text."""
-    spark = docs.sparkSession
+    """(doc, stretches): repeated byte ranges by the MD5 of the text, sorted."""
+    broadcast = docs.sparkSession.sparkContext.broadcast
     docs = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     anchors = materialise(repeated_anchors(docs, length), "anchors")
-    mapped = spark.sparkContext.broadcast(anchor_map(anchors))
-    places = materialise(segments(docs, mapped, length), "segments")
-    stretches = None
-    for level in range(6):
-        differing = materialise(
-            places.groupBy("anchor", "id").agg(
-                F.count("*").alias("n"), F.first("lead").alias("lead"), F.first("content").alias("content")
-            ),
-            "collections",
-        )
-        sizes = differing.groupBy("anchor").agg(F.count("*").alias("differing")).where("differing > 1")
+    places = materialise(segments(docs, broadcast(bit_map(anchors)), length), "places")
+
+    counted = places.groupBy("anchor", "id").agg(
+        F.count("*").alias("n"),
+        F.max("lead").alias("lead"),
+        F.max("size").alias("size"),
+        F.min(F.struct("doc", "place")).alias("at"),
+    )
+    counted = materialise(counted, "counted")
+    mixed = counted.groupBy("anchor").agg(F.count("*").alias("differing")).where("differing > 1")
+    differing = counted.join(mixed.select("anchor"), "anchor")
+    differing = materialise(differing.select("anchor", "id", "n", "at.doc", "at.place"), "differing")
+    bytes_ = segment_bytes(docs, broadcast(bit_map(materialise(_place_hashes(differing), "at"))), length)
+    bytes_ = bytes_.groupBy("anchor", "id").agg(
+        F.first("lead").alias("lead"), F.first("content").alias("content")
+    )
+    rows = differing.join(bytes_, ["anchor", "id"]).select(
+        "anchor", "id", F.col("anchor").alias("root_anchor"), F.col("id").alias("root_id"), "n", "lead", "content"
+    )
+    rows = materialise(rows, "collections")
+
+    # a segment that occurs again is repeated as a whole, whatever the sorting found of it
+    found = counted.where("n > 1").select(
+        F.col("anchor").alias("root_anchor"),
+        F.col("id").alias("root_id"),
+        (-F.col("lead")).alias("first"),
+        (F.col("size") - F.col("lead")).alias("end"),
+    )
+    distinct = rows
+    for level in range(5):
+        sizes = distinct.groupBy("anchor").agg(F.count("*").alias("differing")).where("differing > 1")
+        sizes = materialise(sizes, "sizes")
         small = sizes.where(F.col("differing") <= largest).select("anchor")
         large = sizes.where(F.col("differing") > largest).select("anchor")
-        sorted_ = (
-            differing.join(small, "anchor")
-            .select("anchor", "id", "lead", "content")
-            .repartition("anchor")
-            .sortWithinPartitions("anchor")
-            .mapInArrow(_sorted_collections(length), "anchor long, id binary, first int, end int")
-        )
-        counted = differing.where("n > 1").select(
-            "anchor",
-            "id",
-            (-F.col("lead")).alias("first"),
-            (F.length("content") - F.col("lead")).alias("end"),
-        )
-        # a counted segment is repeated as a whole, whatever the sorting found of it
-        found = sorted_.unionByName(counted).groupBy("anchor", "id").agg(
-            F.min("first").alias("first"), F.max("end").alias("end")
-        )
-        here = places.select("anchor", "id", "doc", "place").join(found, ["anchor", "id"]).select(
-            "doc",
-            (F.col("place") + F.col("first")).alias("first"),
-            (F.col("place") + F.col("end")).alias("end"),
+        here = _sorted_segments(distinct, small, length)
+        if level:
+            here = here.union(
+                distinct.where("n > 1").select(
+                    "anchor",
+                    "id",
+                    (-F.col("lead")).alias("first"),
+                    (F.length("content") - F.col("lead")).alias("end"),
+                )
+            )
+        roots = rows.select("anchor", "id", "root_anchor", "root_id")
+        found = found.union(
+            roots.join(here, ["anchor", "id"]).select("root_anchor", "root_id", "first", "end")
         )
-        stretches = here if stretches is None else stretches.unionByName(here)
         if large.isEmpty():
             break
-        places = materialise(
-            places.join(large, "anchor").select(*places.columns).mapInArrow(_narrowed(level, length), _SEGMENT),
-            "segments",
+        rows = materialise(rows.join(large, "anchor").select(*rows.columns).mapInArrow(
+            _narrowed(level, length), _LEVEL
+        ), "narrowed")
+        distinct = materialise(
+            rows.groupBy("anchor", "id").agg(
+                F.sum("n").alias("n"), F.first("lead").alias("lead"), F.first("content").alias("content")
+            ),
+            "collections",
         )
+    # all strings of a segment hold its anchor, so their union is one stretch
+    found = found.groupBy("root_anchor", "root_id").agg(F.min("first").alias("first"), F.max("end").alias("end"))
+    found = found.withColumnsRenamed({"root_anchor": "anchor", "root_id": "id"})
+    stretches = places.select("anchor", "id", "doc", "place").join(found, ["anchor", "id"]).select(
+        "doc", (F.col("place") + F.col("first")).alias("first"), (F.col("place") + F.col("end")).alias("end")
+    )
     return (
         stretches.distinct()
         .groupBy("doc")
