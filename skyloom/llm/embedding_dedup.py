@@ -39,7 +39,7 @@ COSINE = 0.9
 RECALL = 0.999
 COUNT = 2
 #: Rows beyond the cut of one projection, for each root of the number of rows.
-ROOT_SHARE = 0.2
+ROOT_SHARE = 0.08
 SEED = 1729
 #: Half the width of a window, in standard deviations of a linked pair's difference.
 REACH = 3.0

@@ -18,8 +18,8 @@ from array import array
 import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Units kept by one Python worker, about 250 bytes each.
-KEPT_UNITS = 500_000
+#: Units kept by one Python worker, twice over at most, about 250 bytes each.
+KEPT_UNITS = 450_000
 #: White space before a space.
 _PAIRS = [c + " " for c in map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
           0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
@@ -71,16 +71,29 @@ class UnitEncoder:
 
 
 class Known(dict):
-    """What is known of a key, made by ``make`` where it is asked for the first time."""
+    """What is known of a key, made by ``make`` where it is asked for the first time.
 
-    def __init__(self, make):
+    Two generations of at most about ``most`` keys: keys asked for again outlive the older.
+    """
+
+    def __init__(self, make, most: int):
         super().__init__()
         self.make = make
+        self.most = most
+        self.older: dict = {}
 
     def __missing__(self, key):
-        made = self[key] = self.make(key)
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
+        self[key] = made
         return made
 
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.older = self.copy()
+            self.clear()
+
 
 class LibraryEncoder(UnitEncoder):
     """Units are encoded by the tokenizers library; special tokens in a text are special."""
@@ -94,8 +107,8 @@ class LibraryEncoder(UnitEncoder):
         self.special = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items()}
         self.tokenize = tokenizer.model.tokenize
         self.shown = dict(enumerate(byte_characters()))
-        self.known = Known(self._unit)
-        self.known_pieces = Known(self._piece)
+        self.known = Known(self._unit, kept_units)
+        self.known_pieces = Known(self._piece, kept_units * 2 // 3)
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(self.shown)
@@ -109,9 +122,8 @@ class LibraryEncoder(UnitEncoder):
     def encode(self, texts):
         get = self.known.__getitem__
         encoded = [b"".join(map(get, self.units(text))) if text else b"" for text in texts]
-        for known in (self.known, self.known_pieces):
-            if len(known) > self.kept_units:
-                known.clear()
+        self.known.age()
+        self.known_pieces.age()
         return encoded
 
 

@@ -498,7 +498,8 @@ def repeated_stretches(docs: DataFrame, length: int = LENGTH, largest: int = LAR
         )
     # all strings of a segment hold its anchor, so their union is one stretch
     found = found.groupBy("root_anchor", "root_id").agg(F.min("first").alias("first"), F.max("end").alias("end"))
-    found = found.withColumnsRenamed({"root_anchor": "anchor", "root_id": "id"})
+    # written, so that the join deals out both sides anew and can split a segment of many places
+    found = materialise(found.withColumnsRenamed({"root_anchor": "anchor", "root_id": "id"}), "found")
     stretches = places.select("anchor", "id", "doc", "place").join(found, ["anchor", "id"]).select(
         "doc", (F.col("place") + F.col("first")).alias("first"), (F.col("place") + F.col("end")).alias("end")
     )
