@@ -1,6 +1,7 @@
 """A corpus pipeline: five stages over documents, each written and reread as the next one's input.
 
-Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; a stage
+deletes its predecessor's scratch tables, so results have to be written before it. All
 but the last return the columns of documents; further columns of the input are carried
 along. Null texts count as empty, and empty tables give empty tables.
 
@@ -17,13 +18,33 @@ along. Null texts count as empty, and empty tables give empty tables.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
-from skyloom.session import materialise
+from skyloom.session import materialise, release_scratch, scratch_tables
+
+#: Scratch tables of the stage called last.
+_last: list[str] = []
+
+
+def _staged(stage):
+    """The stage, deleting what its predecessor left: that result is written by now."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_scratch(spark, [path for path in _last if path in scratch_tables()])
+        before = set(scratch_tables())
+        result = stage(spark, docs, sf_dir)
+        _last[:] = [path for path in scratch_tables() if path not in before]
+        return result
+
+    return run
 
 
+@_staged
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels)
@@ -31,10 +52,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_score") < toxicity.THRESHOLD).select(docs.columns)
 
 
+@_staged
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one_of_each(docs, simhash.near_duplicates(docs))
 
 
+@_staged
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = [c for c in docs.columns if c not in ("text", "n_chars")]
     cut = suffix_dedup.remove_repeats(docs, with_text=True, keep=keep)
@@ -45,12 +68,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.select([values[c].alias(c) if c in values else F.col(c) for c in docs.columns])
 
 
+@_staged
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
     return docs.join(materialise(hit, "contaminated"), F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
 
 
+@_staged
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(docs, with_ids=True)
 

@@ -6,11 +6,13 @@ function of the words and word stems in it that tell toxic documents apart. The
 are fitted through the noisy-or from document labels alone, and the sentences with a
 high probability are the offending ones.
 
-1. Features (words, and their first four, five and six letters) are counted over all
-   labelled training documents; tasks send one row per feature. The ``MOST_FEATURES``
-   with the highest log-likelihood ratio that occur mostly in toxic documents stay.
-2. Weights are fitted on the driver to a sample of at most ``SAMPLE`` training
-   documents, held as counts of the kept features.
+1. At most ``SAMPLE`` training labels, those whose doc_ids hash lowest, are taken; that
+   bound is what lets them be broadcast, so no text is shuffled. Features (words, and
+   their first four, five and six letters) are counted over their documents, and the
+   ``MOST_FEATURES`` with the highest log-likelihood ratio that occur mostly in toxic
+   documents stay.
+2. Weights are fitted on the driver to these documents, held as their sentences' kept
+   features.
 3. Every document is scored whole; only the fitted weights, whose number is fixed, are
    broadcast.
 
@@ -39,7 +41,7 @@ from skyloom.session import materialise
 
 #: Features of the model, training documents it is fitted to, and rows counted at once.
 MOST_FEATURES = 3_000
-SAMPLE = 20_000
+SAMPLE = 50_000
 _HELD = 400_000
 STEMS = (4, 5, 6)
 #: Training documents that must be toxic and hold a feature.
@@ -60,15 +62,18 @@ def word_features(word: str) -> list[str]:
     return [word, *[f"{word[:n]}-" for n in STEMS if len(word) > n]]
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the training rows."""
+def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, text, toxic) of a bounded sample of the training rows."""
     known = (
         labels.where(F.col("toxic").isNotNull() & in_training_fold(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(sample)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.join(known, "doc_id").select("doc_id", "text", "toxic")
+    # at most ``sample`` rows of two numbers
+    return rows.join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic")
 
 
 def _feature_counts(rows: DataFrame) -> DataFrame:
@@ -256,7 +261,7 @@ class ToxicityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    rows = materialise(_labelled(docs, labels), "labelled")
+    rows = materialise(_labelled(docs, labels, sample), "labelled")
     counts = {r.toxic: r.n for r in rows.groupBy((F.col("toxic") > 0).alias("toxic")).agg(
         F.count("*").alias("n")
     ).collect()}
@@ -265,11 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
         return ToxicityModel({}, None, 1.0 if n_toxic else 0.0)
     number, support = _telling(_feature_counts(rows), n_toxic, n_clean)
     shared = rows.sparkSession.sparkContext.broadcast(number)
-    # the documents with the lowest hashes: a sample that does not depend on the layout
-    some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    documents = [
-        (r.toxic, r.plain, r.bags) for r in _bags(some, shared).toLocalIterator()
-    ]
+    documents = [(r.toxic, r.plain, r.bags) for r in _bags(rows, shared).toLocalIterator()]
     return ToxicityModel(number, NoisyOr.fit(documents, support), n_toxic / (n_toxic + n_clean))
 
 
