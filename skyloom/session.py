@@ -63,13 +63,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables of this process; results that read them end with it."""
+def scratch_tables() -> list[str]:
+    """Paths of the scratch tables of this process that are not yet deleted."""
+    return list(_written)
+
+
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch tables, all of this process by default; results that read them end."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in scratch_tables() if paths is None else paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        if name in _written:
+            _written.remove(name)
 
 
 def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
