@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARCHIVE_NAME = r"_(\d+)_(\d+)\.[^/]*$"
+#: Year and month end the name, alone or after another underscore.
+ARCHIVE_NAME = r"(?:^|[_/])(\d+)_(\d+)\.[^/]*$"
 
 
 def scan_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +70,14 @@ def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
 def write_extracted(lines: DataFrame, path: str) -> None:
     """Text files below ``file_year=/file_month=``, so that later scans prune by month.
 
+    Months that ``lines`` holds are replaced, all others stay.
+
     The folder names differ from the raw columns ``Year`` and ``Month``, which a
     folder column of the same name would replace on reading.
     """
-    lines.write.mode("overwrite").partitionBy("file_year", "file_month").text(path)
+    (
+        lines.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file_year", "file_month")
+        .text(path)
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +46,16 @@ def scan_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def scan_by_header(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV bound by the names in its header row; every value stays text.
 
-    Types are never inferred: a clock text such as ``0930`` would become 930.
+    All files must have the header of the first: one with other names, or the same in
+    another order, stops the job. Header rows repeated inside a file are dropped. Types
+    are never inferred: a clock text such as ``0930`` would become 930.
     """
-    df = spark.read.options(**CSV_DIALECT, header=True, inferSchema=False).csv(path)
-    return df.select(*columns) if columns else df
+    options = {**CSV_DIALECT, "header": True, "inferSchema": False}
+    schema = spark.read.options(**options).csv(path).schema
+    df = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    df = df.select(*columns) if columns else df
+    repeated = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.lit(c)) for c in df.columns])
+    return df.where(~repeated)
 
 
 def scan_read_instances(spark: SparkSession, path: str) -> DataFrame:

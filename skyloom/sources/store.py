@@ -12,6 +12,7 @@ from skyloom.functions.values import utc
 from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
 from skyloom.operators.windows import seconds
 from skyloom.schemas import Feature, FeatureGroup
+from skyloom.session import materialise
 
 _REGISTRY = "group string, position int, feature string, value_type string, description string, about string"
 _KEYS = ["entity_id", "feature_time"]
@@ -85,7 +86,8 @@ class FeatureStore:
     ) -> None:
         """Merge records into a group; one record stays per entity and time.
 
-        On a double key the highest sequence wins, also against stored records;
+        With ``feature_ids`` only those features change, the others of a key keep their
+        stored values. On a double key the highest sequence wins, also against stored records;
         without a sequence column each ingest counts as newer than the last and
         must not hold a key twice with different values. Running the same ingest
         again changes nothing. Only the days present in ``source`` are read and
@@ -99,22 +101,29 @@ class FeatureStore:
             declared, found = group.schema[name].dataType, source.schema[name].dataType
             if declared != found:
                 raise TypeError(f"feature {name} is declared {declared}, the source has {found}")
-        stored = self._stored(group)
-        order = F.col(sequence).cast("long") if sequence else F.lit(self._next_sequence(stored))
+        order = F.col(sequence).cast("long") if sequence else F.lit(None).cast("long")
+        # the day in UTC, whatever the zone of the session
+        day = F.floor(F.unix_micros(F.col(feature_time).cast("timestamp")) / 86_400_000_000)
         incoming = source.select(
             F.col(entity_id).cast("string").alias("entity_id"),
             F.col(feature_time).alias("feature_time"),
             *[F.col(w) if w in wanted else F.lit(None).cast(group.schema[w].dataType).alias(w)
               for w in group.feature_names],
             order.alias(_SEQUENCE),
-            F.to_date(feature_time).alias(_DAY),
+            F.date_from_unix_date(day.cast("int")).alias(_DAY),
         ).filter(F.col("entity_id").isNotNull() & F.col("feature_time").isNotNull())
+        # read once: the days below are those of the rows written
+        incoming = materialise(incoming, "ingest")
 
         # One value per calendar day: the folders this ingest replaces.
         days = [r[0] for r in incoming.select(_DAY).distinct().collect()]
         if not days:
             return
-        kept = stored.filter(F.col(_DAY).isin(days))
+        kept = self._stored(group).filter(F.col(_DAY).isin(days))
+        if not sequence:
+            incoming = incoming.withColumn(_SEQUENCE, F.lit(self._next_sequence(kept)))
+        if set(wanted) != set(group.feature_names):
+            incoming = self._with_stored(group, incoming, kept, wanted)
         merged = newest_versions(kept.unionByName(incoming), [*_KEYS, _DAY], _SEQUENCE)
         (
             merged.hint("rebalance", _DAY)
@@ -125,6 +134,13 @@ class FeatureStore:
             .parquet(self._table_path(group))
         )
 
+    def _with_stored(self, group, incoming: DataFrame, kept: DataFrame, wanted: list[str]) -> DataFrame:
+        """Features that an ingest leaves out keep the value stored for the key."""
+        keys = [*_KEYS, _DAY]
+        others = [f for f in group.feature_names if f not in wanted]
+        known = newest_versions(kept, keys, _SEQUENCE).select(*keys, *others)
+        return incoming.drop(*others).join(known, keys, "left").select(incoming.columns)
+
     def _next_sequence(self, stored: DataFrame) -> int:
         top = stored.agg(F.max(_SEQUENCE)).first()[0]
         return 0 if top is None else top + 1

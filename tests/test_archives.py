@@ -32,6 +32,17 @@ def test_extract(spark, tmp_path):
     assert back.filter("file_year = 2021 and file_month = 12").count() == 45_000
 
 
+def test_a_month_is_added_to_those_extracted(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for month, text in ((11, "a\nb"), (12, "c"), (11, "d")):
+        folder = tmp_path / f"in-{text[0]}"
+        folder.mkdir()
+        make_zip(folder / f"2021_{month}.zip", {"f.csv": text})
+        write_extracted(extract_lines(scan_archives(spark, str(folder))), out)
+    rows = {(r.file_year, r.file_month, r.value) for r in spark.read.text(out).collect()}
+    assert rows == {(2021, 11, "d"), (2021, 12, "c")}
+
+
 @pytest.mark.parametrize("members", [{"a.csv": "1", "b.csv": "2"}, {"a.txt": "1"}])
 def test_exactly_one_csv(spark, tmp_path, members):
     make_zip(tmp_path / "f_2021_12.zip", members)

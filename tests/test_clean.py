@@ -121,3 +121,12 @@ def test_read_instances_round_trip(spark, folder, tmp_path):
     assert dict(back.dtypes) == {"flight": "string", "airport": "string", "timestamp": "timestamp"}
     assert back.count() == flights.count()
     assert back.filter("timestamp = '2021-12-20 09:30:00'").count() == flights.count()
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("p,q\n1,2\np,q\n3,4\n")
+    rows = {(r.q, r.p) for r in scan_by_header(spark, str(tmp_path), ["q", "p"]).collect()}
+    assert rows == {("2", "1"), ("4", "3")}
+    (tmp_path / "b.csv").write_text("q,p\n5,6\n")
+    with pytest.raises(Exception, match="header"):
+        scan_by_header(spark, str(tmp_path)).collect()

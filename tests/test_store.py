@@ -77,6 +77,14 @@ def test_feature_subset_leaves_the_others_null(store):
     assert content(store.read(GROUP)) == [("a", at(0), 1.0, None)]
 
 
+def test_feature_subset_keeps_stored_features(store):
+    ingest(store, [("a", at(0), 1.0, "k", 0), ("b", at(1), 2.0, "m", 0)])
+    ingest(store, [("a", at(0), 5.0, "ignored", 1), ("c", at(1), 7.0, "ignored", 1)], feature_ids=["x"])
+    assert sorted(content(store.read(GROUP))) == [
+        ("a", at(0), 5.0, "k"), ("b", at(1), 2.0, "m"), ("c", at(1), 7.0, None),
+    ]
+
+
 def test_wrong_type_is_refused(store):
     df = source(store.spark, [("a", at(0), 1.0, "1", 0)]).withColumn("x", F.lit("text"))
     with pytest.raises(TypeError):
