@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.encoding import VOCABULARY, LibraryEncoder, text_slices, worker_encoder
+from skyloom.session import materialise
 
 #: Lengths in a block.
 BLOCK = 1024
@@ -92,7 +93,8 @@ def with_suffix_sums(counts: DataFrame) -> DataFrame:
 
 
 def length_histogram(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    return with_suffix_sums(length_counts(docs, path))
+    # read twice, for the blocks and for the lengths; texts are encoded once
+    return with_suffix_sums(materialise(length_counts(docs, path), "lengths"))
 
 
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
