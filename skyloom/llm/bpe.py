@@ -91,20 +91,18 @@ class RankArrayEncoder(UnitEncoder):
             self.token_bytes[id_] = token.encode()
         self.decimal = [str(k) for k in range(size)]
 
-    def encode(self, texts):
-        cut = [self.units(text) if text else [] for text in texts]
-        new = set().union(*cut).difference(self.known)
+    def unit_ids(self, units):
+        new = set(units).difference(self.known)
         if len(self.known) + len(new) > self.kept_units:
             self.known.clear()
-            new = set().union(*cut)
+            new = set(units)
         if new:
             self.known.update(self.fill(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, units)) for units in cut]
+        return list(map(self.known.__getitem__, units))
 
     def fill(self, units) -> dict[str, bytes]:
         """Ids of units: the merges of all their new words are worked on at once."""
-        cut = {unit: self.pieces(unit) for unit in units if unit not in self.special}
+        cut = {unit: self.cut(unit) for unit in units if unit not in self.special}
         words = {piece.encode() for pieces in cut.values() for piece in pieces}
         ids = self.merge(words)
         found = {unit: b"".join([ids[p.encode()] for p in pieces]) for unit, pieces in cut.items()}

@@ -5,7 +5,9 @@ ids are kept, so a unit costs one dictionary lookup after its first sight.
 
 Cutting: every piece the pattern finds starts with at most one space, so where no
 white space stands before a space, each space starts a unit. A text in which some
-white space precedes a space is cut by the pattern itself.
+white space precedes a space is cut by the pattern itself. A line feed without white
+space on either side is a piece, so texts whose line feeds are all such are cut there too,
+and words at the ends of lines are not units of their own.
 """
 
 from __future__ import annotations
@@ -15,14 +17,16 @@ import re
 import sys
 from array import array
 
+import numpy as np
 import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Units kept by one Python worker, twice over at most, about 250 bytes each.
 KEPT_UNITS = 450_000
-#: White space before a space.
-_PAIRS = [c + " " for c in map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-          0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+#: White space other than spaces and line feeds.
+_RARE = list(map(chr, (9, *range(11, 14), *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+             0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_STOPS = tuple(".,;:!?")
 
 
 def byte_characters() -> list[str]:
@@ -36,7 +40,7 @@ def byte_characters() -> list[str]:
 
 
 class UnitEncoder:
-    """Texts to ids; a subclass encodes units not seen yet."""
+    """Texts to ids; a subclass finds the ids of units."""
 
     def __init__(self, path: str = VOCABULARY, kept_units: int = KEPT_UNITS):
         import regex
@@ -46,27 +50,71 @@ class UnitEncoder:
         self.special: dict[str, int] = {}
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
 
+    def marked(self, text: str) -> str | None:
+        """The text with a NUL between units; none where the pattern has to find the units."""
+        if "\0" in text or any(token in text for token in self.special):
+            return None
+        white = [" ", "\n", *(c for c in _RARE if c in text)]
+        if any(c + " " in text for c in white):
+            return None
+        marked = text.replace(" ", "\0 ")
+        if "\n" in text and not any(c + "\n" in text or "\n" + c in text for c in white):
+            marked = marked.replace("\n", "\0\n\0")
+        return marked
+
     def units(self, text: str) -> list[str]:
-        for token in self.special:
-            if token in text:
-                return self._around_special(text)
-        if "\0" in text or any(pair in text for pair in _PAIRS):
-            return self.pieces(text)
-        units = text.replace(" ", "\0 ").split("\0")
-        return units if units[0] else units[1:]
-
-    def _around_special(self, text: str) -> list[str]:
-        """Special tokens are units of their own, found from left to right."""
+        """The units of any text; special tokens are units of their own, found from left to right."""
         out, at = [], 0
-        for found in re.finditer("|".join(map(re.escape, self.special)), text):
-            if found.start() > at:
-                out += self.units(text[at : found.start()])
-            out.append(found[0])
+        tokens = "|".join(map(re.escape, self.special)) or "(?!)"
+        for found in re.finditer(tokens, text):
+            out += [*self.pieces(text[at : found.start()]), found[0]]
             at = found.end()
-        return out + (self.units(text[at:]) if at < len(text) else [])
+        return out + self.pieces(text[at:])
+
+    def cut(self, unit: str) -> list[str]:
+        """The pieces of a unit; plain words, alone or before a stop, need no pattern."""
+        word = unit[1:] if unit[:1] == " " else unit
+        if word.isalpha():
+            return [unit]
+        if word[-1:] in _STOPS and word[:-1].isalpha():
+            return [unit[:-1], unit[-1]]
+        return self.pieces(unit)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers; null counts as empty."""
+        """For each text its ids as little-endian unsigned 32-bit integers; null counts as empty.
+
+        The units of all texts are numbered first, so that each is looked up once a call.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        encoded, marked, rows = [b""] * len(texts), [], []
+        for row, text in enumerate(texts):
+            plain = self.marked(text) if text else None
+            if plain is not None:
+                marked.append(plain)
+                rows.append(row)
+            elif text:
+                encoded[row] = b"".join(self.unit_ids(self.units(text)))
+        if rows:
+            units = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+            numbered = units.values.dictionary_encode()
+            found = self.unit_ids(numbered.dictionary.to_pylist())
+            number = numbered.indices.to_numpy()
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            start = np.cumsum(size) - size
+            ids = np.frombuffer(b"".join(found), "<u4")
+            after = np.concatenate([[0], np.cumsum(size[number])])
+            at = np.repeat(start[number] - after[:-1], size[number])
+            at += np.arange(at.size)
+            flat = ids[at]
+            ends = after[np.asarray(units.offsets)]
+            for row, first, last in zip(rows, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                encoded[row] = flat[first:last].tobytes()
+        return encoded
+
+    def unit_ids(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit; a subclass has its own way to find them."""
         raise NotImplementedError
 
 
@@ -108,23 +156,26 @@ class LibraryEncoder(UnitEncoder):
         self.tokenize = tokenizer.model.tokenize
         self.shown = dict(enumerate(byte_characters()))
         self.known = Known(self._unit, kept_units)
-        self.known_pieces = Known(self._piece, kept_units * 2 // 3)
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(self.shown)
+        if piece.isascii() and piece.isprintable():
+            shown = piece.replace(" ", self.shown[32])
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.shown)
         return little_endian([token.id for token in self.tokenize(shown)])
 
     def _unit(self, unit: str) -> bytes:
         if unit in self.special:
             return little_endian([self.special[unit]])
-        return b"".join(map(self.known_pieces.__getitem__, self.pieces(unit)))
+        pieces = self.cut(unit)
+        if len(pieces) == 1:
+            return self._piece(unit)
+        return b"".join(map(self.known.__getitem__, pieces))
 
-    def encode(self, texts):
-        get = self.known.__getitem__
-        encoded = [b"".join(map(get, self.units(text))) if text else b"" for text in texts]
+    def unit_ids(self, units):
+        found = list(map(self.known.__getitem__, units))
         self.known.age()
-        self.known_pieces.age()
-        return encoded
+        return found
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -145,7 +196,7 @@ def worker_encoder(kind: type[UnitEncoder], path: str) -> UnitEncoder:
     return _workers[kind, path]
 
 
-def text_slices(batch, name: str = "text", rows: int = 512, size: int = 4 << 20):
+def text_slices(batch, name: str = "text", rows: int = 2048, size: int = 4 << 20):
     """(first row, texts) of runs of a batch's rows with about ``size`` characters at most."""
     column = batch.column(batch.schema.get_field_index(name))
     first, texts, held = 0, [], 0
