@@ -1,19 +1,25 @@
 """Main text of web pages by deducing the template that pages of a host share.
 
-Tokens of a page are its tags, told apart by the tags and classes around them. Tokens of
-a host with the same occurrence vector (how often each page has them) form an
-equivalence class. Vectors are compared by a sum of hashes over (page, number), which
-tasks add up before the shuffle, so no host's pages are ever gathered. The class of the
-tokens that every page has exactly once is the root of the template; classes with more
-occurrences nest in the slot of their parent token. A class is valid where its tokens
-nest: each token's parent is in the root or in a class that nests itself.
-
-The root's tokens cut a page into slots, and a slot belongs to the main text where the
-innermost root token around it is the article: an ``article`` or ``main`` element, or,
-where the host's template has none, everything outside page furniture. Tags and class
-names say what is furniture: menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments. Texts are never dropped for being equal on several pages, so copies
-of a page keep their text. A host with a single page has only its own tags as evidence.
+Tokens of a page are its tags, told apart by the tags and classes around them. A host's
+pages are counted by layout: the place of the first article, or, without one, of the block
+with most text. Tokens on more than ``SUPPORT`` of a layout's pages are its template;
+empty pages count for none. Tokens with the same occurrence vector (how often each page
+has them) form an equivalence class. Vectors are compared by a sum of hashes over (page,
+number), which tasks add up before the shuffle, so no host's pages are ever gathered. The
+class of the tokens that occur exactly once on a page is the root of the template; classes
+with more occurrences nest in the slot of their parent token. A class is valid where its
+tokens nest: each token's parent is in the root or in a class that nests itself.
+
+The tokens of valid classes cut a page into slots; a text belongs to the slot of the
+innermost block around it. Article slots lie in an ``article`` or ``main`` element of the
+root, or else of a valid class, or else of the page. Where a page has none, the main text
+is everything outside page furniture and outside constant slots: those of valid classes
+that hold one and the same text on all pages of a layout, of at least ``CONSTANT_FROM``
+pages that are not all copies of one. Headings are never constant, articles are kept
+whole, and a page without any other text keeps its constant slots. Tags and class names
+say what is furniture: menus, headers, footers, sidebars, notices, adverts, forms and
+reader comments. Copies of a page keep their text. A layout with a single page has only
+its own tags as evidence.
 
 Blocks are split at block-level tags; ``<br>`` is white space. Character references are
 decoded, white space runs become one space, blocks are trimmed and joined by an empty line.
@@ -78,7 +84,11 @@ _CLOSES = {
     "th": {"td", "th", "tr", "tbody", "tfoot"},
     "option": {"option"},
 }
-_INLINE = "inline"
+#: Share of a layout's pages that a token of its template exceeds.
+SUPPORT = 0.5
+#: Pages of a layout from which a slot with one text is constant.
+CONSTANT_FROM = 3
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 
 
 def _names(rest: str) -> list[str]:
@@ -115,7 +125,7 @@ def walk(page: str) -> Iterator[tuple[str, str, tuple[Element, ...], bool]]:
                     break
             else:
                 if name in BLOCK:  # a stray end still ends the block
-                    yield "tag", "/" + name, tuple(open_), True
+                    yield "tag", "//" + name, tuple(open_), True
             continue
         if name in BLOCK:
             # formatting elements do not hold a block open, nor does a paragraph
@@ -148,64 +158,127 @@ def occurrences(page: str) -> Counter[str]:
     return Counter(path for kind, path, _, _ in walk(page) if kind == "tag" and path[0] == "/" and path[1:2] != "/")
 
 
+def slot_texts(page: str) -> dict[str, str]:
+    """The text directly in each block token, of all its occurrences on the page."""
+    texts: dict[str, list[str]] = {}
+    for kind, value, open_, _ in walk(page):
+        if kind == "text" and not value.isspace() and not any(e.furniture for e in open_):
+            texts.setdefault(_slot(open_), []).append(" ".join(value.split()))
+    return {slot: " ".join(parts) for slot, parts in texts.items()}
+
+
+def _slot(open_: tuple[Element, ...]) -> str:
+    return next((e.path for e in reversed(open_) if e.tag in BLOCK), "")
+
+
+def layout_of(page: str, texts: dict[str, str]) -> str:
+    """Where the page's first article is, or else its block with most text, to three levels."""
+    for kind, value, open_, _ in walk(page):
+        if kind == "tag" and open_ and open_[-1].tag in MAIN and open_[-1].path == value:
+            if not any(e.furniture for e in open_):
+                return value
+    most = max(texts, key=lambda slot: (len(texts[slot]), slot), default="")
+    return "/".join(most.split("/")[:4])
+
+
+def with_layouts(pages: DataFrame) -> DataFrame:
+    """The columns of ``pages`` and the layout of each; pages without text or tags have null."""
+
+    def run(batches: Iterator):
+        import pyarrow as pa
+
+        for batch in batches:
+            at = batch.schema.get_field_index("html")
+            layouts = []
+            for page in batch.column(at):
+                page = page.as_py() or ""
+                layouts.append(layout_of(page, slot_texts(page)) if page and not page.isspace() else None)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(layouts, pa.string())], [*batch.schema.names, "layout"]
+            )
+
+    return pages.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in pages.dtypes) + ", layout string")
+
+
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, token, parent, vector, at_once): tokens on every page of their host.
+    """(host, layout, token, parent, vector, at_once, constant): the templates' tokens.
 
     ``vector`` is equal for tokens of one equivalence class. ``at_once`` tokens occur
-    exactly once on each page: they are the root class.
+    exactly once on each page that has them: they are the root class. ``constant`` tokens
+    hold the same text on every page that has them.
     """
 
     def run(batches: Iterator):
         import pyarrow as pa
         import xxhash
 
+        def digest(text: str) -> int:
+            return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+
         for batch in batches:
-            sums: dict[tuple[str, str], list[int]] = {}
-            pages_of: Counter[str] = Counter()
+            sums: dict[tuple[str, str, str], list[int]] = {}
             for host, number, page in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True
             ):
-                pages_of[host] += 1
-                for token, n in occurrences(page.as_py()).items():
-                    held = sums.setdefault((host, token), [0, 0, 0, 0])
+                page = page.as_py() or ""
+                if not page or page.isspace():
+                    continue
+                texts = slot_texts(page)
+                layout = layout_of(page, texts)
+                # the token "" stands for the whole page
+                whole = digest("\n".join(f"{slot} {text}" for slot, text in sorted(texts.items())))
+                for token, n in [*occurrences(page).items(), ("", 1)]:
+                    text = digest(texts.get(token, "")) if token else whole
+                    held = sums.setdefault((host, layout, token), [0, 0, 0, 0, text, text])
                     held[0] += 1
                     held[1] += n
                     held[2] = max(held[2], n)
                     held[3] += xxhash.xxh64_intdigest(b"%d %d" % (number, n)) >> 24
-            for host, n in pages_of.items():
-                sums[host, ""] = [n, 0, 0, 0]
+                    held[4], held[5] = min(held[4], text), max(held[5], text)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "host": pa.array([h for h, _ in sums], pa.string()),
-                    "token": pa.array([t for _, t in sums], pa.string()),
+                    **{
+                        name: pa.array([key[k] for key in sums], pa.string())
+                        for k, name in enumerate(("host", "layout", "token"))
+                    },
                     **{
                         name: pa.array([v[k] for v in sums.values()], pa.int64())
-                        for k, name in enumerate(("pages", "total", "most", "vector"))
+                        for k, name in enumerate(("pages", "total", "most", "vector", "least_text", "most_text"))
                     },
                 }
             )
 
     rows = pages.select("host", F.xxhash64("html").alias("number"), "html")
     counted = rows.mapInArrow(
-        run, "host string, token string, pages long, total long, most long, vector long"
+        run,
+        "host string, layout string, token string, pages long, total long, most long, vector long,"
+        " least_text long, most_text long",
     )
     counted = materialise(
-        counted.groupBy("host", "token").agg(
+        counted.groupBy("host", "layout", "token").agg(
             F.sum("pages").alias("pages"),
             F.sum("total").alias("total"),
             F.max("most").alias("most"),
             F.sum("vector").alias("vector"),
+            F.min("least_text").alias("least_text"),
+            F.max("most_text").alias("most_text"),
         ),
         "occurrences",
     )
-    whole = counted.where("token = ''").select("host", F.col("pages").alias("of"))
-    everywhere = counted.where("token <> ''").join(whole, "host").where("pages = of")
-    return everywhere.select(
+    whole = counted.where("token = ''").select(
+        "host", "layout", F.col("pages").alias("of"), (F.col("least_text") != F.col("most_text")).alias("differ")
+    )
+    frequent = counted.where("token <> ''").join(whole, ["host", "layout"]).where(F.col("pages") > SUPPORT * F.col("of"))
+    return frequent.select(
         "host",
+        "layout",
         "token",
         F.regexp_extract("token", r"^(.*)/[^/]*$", 1).alias("parent"),
         "vector",
         ((F.col("most") == 1) & (F.col("total") == F.col("pages"))).alias("at_once"),
+        (
+            F.col("differ") & (F.col("pages") >= CONSTANT_FROM) & (F.col("least_text") == F.col("most_text"))
+        ).alias("constant"),
     )
 
 
@@ -230,16 +303,34 @@ def nested(template: list[dict]) -> tuple[set[str], set[str]]:
         valid |= new
 
 
-def main_blocks(page: str, root: set[str]) -> list[str]:
+class Template:
+    """The slots of a layout: those of its articles, and those whose text is constant."""
+
+    def __init__(self, tokens: list[dict]):
+        root, valid = nested(tokens)
+        self.main = _articles(root) or _articles(valid)
+        self.constant = {
+            t["token"] for t in tokens if t["constant"] and t["token"] in valid and _tag(t["token"]) not in _HEADINGS
+        }
+
+
+def _tag(token: str) -> str:
+    return token.rpartition("/")[2].partition(".")[0]
+
+
+def _articles(tokens: set[str]) -> set[str]:
+    return {t for t in tokens if _tag(t) in MAIN}
+
+
+def main_blocks(page: str, template: Template) -> list[str]:
     """Blocks of the slots that belong to the main text."""
-    main = {t for t in root if t.rpartition("/")[2].partition(".")[0] in MAIN}
-    blocks: list[str] = []
-    rest: list[str] = []
-    run: tuple[list[str], list[str]] = ([], [])
+    # article slots, slots that vary, all slots outside furniture
+    blocks: tuple[list[str], ...] = ([], [], [])
+    run: tuple[list[str], ...] = ([], [], [])
     inside = False
 
     def finish() -> None:
-        for parts, into in zip(run, (blocks, rest), strict=True):
+        for parts, into in zip(run, blocks, strict=True):
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 into.append(text)
@@ -250,16 +341,20 @@ def main_blocks(page: str, root: set[str]) -> list[str]:
             if ends:
                 finish()
             elif open_ and open_[-1].tag == "br" and value[0] == "/" and value.endswith("/br"):
-                run[0].append(" ")
-                run[1].append(" ")
+                for parts in run:
+                    parts.append(" ")
             continue
         if any(e.furniture for e in open_):
             continue
-        slot = any(e.path in main if main else e.tag in MAIN for e in open_)
-        inside = inside or slot
-        run[0 if slot else 1].append(value)
+        if any(e.path in template.main if template.main else e.tag in MAIN for e in open_):
+            inside = True
+            run[0].append(value)
+            continue
+        run[2].append(value)
+        if _slot(open_) not in template.constant:
+            run[1].append(value)
     finish()
-    return blocks if inside else rest
+    return blocks[0] if inside else blocks[1] or blocks[2]
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -271,23 +366,23 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("html"),
         host.alias("host"),
     )
-    templates = host_templates(rows).groupBy("host").agg(
-        F.collect_list(F.struct("token", "parent", "vector", "at_once")).alias("template")
+    templates = host_templates(rows).groupBy("host", "layout").agg(
+        F.collect_list(F.struct("token", "parent", "vector", "at_once", "constant")).alias("template")
     )
 
     def run(batches: Iterator):
         import pyarrow as pa
 
-        roots: dict[str, set[str]] = {}
+        known: dict[tuple, Template] = {}
         for batch in batches:
             texts = []
-            for host, page, template in zip(*(batch.column(k) for k in (2, 3, 4)), strict=True):
-                name = host.as_py()
-                if name not in roots:
-                    if len(roots) > 1000:
-                        roots.clear()
-                    roots[name] = nested(template.as_py() or [])[0]
-                texts.append("\n\n".join(main_blocks(page.as_py(), roots[name])))
+            for host, layout, page, template in zip(*(batch.column(k) for k in (2, 3, 4, 5)), strict=True):
+                name = (host.as_py(), layout.as_py())
+                if name not in known:
+                    if len(known) > 1000:
+                        known.clear()
+                    known[name] = Template(template.as_py() or [])
+                texts.append("\n\n".join(main_blocks(page.as_py(), known[name])))
             yield pa.RecordBatch.from_pydict(
                 {
                     "page_id": batch.column(0),
@@ -297,7 +392,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 }
             )
 
-    joined = rows.join(materialise(templates, "templates"), "host", "left")
-    return joined.select("page_id", "url", "host", "html", "template").mapInArrow(
+    joined = with_layouts(rows).join(materialise(templates, "templates"), ["host", "layout"], "left")
+    return joined.select("page_id", "url", "host", "layout", "html", "template").mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )

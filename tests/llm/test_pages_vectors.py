@@ -145,6 +145,28 @@ def test_equal_vectors_share_a_class(spark):
     assert root <= valid and any(t.endswith("/article") for t in root)
 
 
+def test_template_survives_odd_pages(spark):
+    def page(k):
+        cards = "".join(f"<article class=card><p>Card {k} {n}</p></article>" for n in range(k % 3 + 2))
+        return f"<html><body><article class=story><p>Story {k}</p></article><div>{cards}</div></body></html>"
+
+    def plain(k):
+        return f"<html><body><div><p class=text>Words {k}</p><p class=again>Buy our book</p></div></body></html>"
+
+    rows = [(k, "http://h.example/x", page(k)) for k in range(6)]
+    rows += [(10, "http://h.example/x", None), (11, "http://h.example/x", " "), (12, "http://h.example/x", "<p>Broken")]
+    rows += [(13, "http://h.example/x", "<div><article><p>Other</p></article></div>")]
+    rows += [(20 + k, "http://h.example/x", plain(k)) for k in range(4)]
+    # copies of one page are no evidence of constant text
+    rows += [(30 + k, "http://c.example/x", plain(1)) for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_main_text(pages).collect()}
+    assert [found[k] for k in range(6)] == [f"Story {k}" for k in range(6)]
+    assert [found[k] for k in (10, 11, 12, 13)] == ["", "", "Broken", "Other"]
+    assert [found[20 + k] for k in range(4)] == [f"Words {k}" for k in range(4)]
+    assert {found[30 + k] for k in range(4)} == {"Words 1\n\nBuy our book"}
+
+
 def test_vectors_against_brute_force(spark):
     draw = np.random.default_rng(4)
     vectors = draw.normal(size=(400, 24))
