@@ -21,6 +21,12 @@ say what is furniture: menus, headers, footers, sidebars, notices, adverts, form
 reader comments. Copies of a page keep their text. A layout with a single page has only
 its own tags as evidence.
 
+A class, id or role name tells of furniture where all its words do ("cookie-notice"). One
+with such a word among others ("related-news") does so only for an element that holds no
+article and at most half of the page's text; so does a form, and words after "no" or "has"
+tell nothing. A header inside an article belongs to it. Where names leave less than a
+quarter of what their articles hold, elements around an article are not judged by names.
+
 Blocks are split at block-level tags; ``<br>`` is white space. Character references are
 decoded, white space runs become one space, blocks are trimmed and joined by an empty line.
 
@@ -49,7 +55,7 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?)(?:>|\Z)",
     re.S,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 # fixed values of HTML: elements without content, with raw content, that end a block
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,7 +67,7 @@ BLOCK = set(
 )
 #: Elements that hold page furniture.
 FURNITURE = set(
-    "nav header footer aside form menu dialog button select input label fieldset head title script style "
+    "nav header footer aside menu dialog button select input label fieldset head title script style "
     "noscript template iframe textarea svg math object embed canvas audio video search".split()
 )
 #: Words in class, id and role names that tell of furniture.
@@ -72,6 +78,10 @@ FURNITURE_NAMES = set(
     privacy promo promoted promotion related replies respond search share sharing sidebar social sponsor
     sponsored subscribe subscription toolbar topbar widget widgets""".split()
 )
+#: Words before a word that says what an element has or lacks, not what it is.
+_ABOUT = set("has have is no not with without hide show".split())
+#: How surely an element is furniture: by a part of a name or as a form, by a name, by its tag.
+PERHAPS, NAMED, SURE = 1, 2, 3
 MAIN = {"article", "main"}
 #: An element that is closed by the start of these.
 _CLOSES = {
@@ -91,28 +101,57 @@ CONSTANT_FROM = 3
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 
 
-def _names(rest: str) -> list[str]:
-    return [w for found in _NAMED.findall(rest) for w in re.split(r"[^a-z0-9]+", "".join(found).lower()) if w]
+def _names(rest: str) -> list[list[str]]:
+    """The words of each class, id and role name."""
+    if "=" not in rest:
+        return []
+    values = [
+        "".join(found[1:]).lower() for found in _ATTRIBUTE.findall(rest) if found[0].lower() in ("class", "id", "role")
+    ]
+    names = [[w for w in re.split(r"[^a-z0-9]+", name) if w] for value in values for name in value.split()]
+    return [words for words in names if words]
+
+
+def _level(name: str, names: list[list[str]], hidden: bool, in_article: bool) -> int:
+    """How surely an element with this tag and these names is furniture."""
+    heads = {"header", "masthead"} if in_article else set()
+    if hidden or name in FURNITURE and not (in_article and name == "header"):
+        return SURE
+    level = PERHAPS if name == "form" else 0
+    if name in MAIN or name in ("html", "body"):
+        return level
+    for words in names:
+        told = [w in FURNITURE_NAMES and w not in heads for w in words]
+        if words[0] not in _ABOUT and any(told):
+            level = max(level, NAMED if all(told) else PERHAPS)
+    return level
 
 
 class Element:
-    __slots__ = ("tag", "path", "furniture")
+    """``slot`` is the path of the innermost block; ``out`` says that furniture is around."""
+
+    __slots__ = ("tag", "path", "up", "level", "slot", "in_article", "holds", "size", "articles", "sure", "out", "main")
 
-    def __init__(self, tag: str, path: str, furniture: bool):
-        self.tag, self.path, self.furniture = tag, path, furniture
+    def __init__(self, tag: str, path: str, up: Element | None, level: int):
+        self.tag, self.path, self.up, self.level = tag, path, up, level
+        self.slot = path if tag in BLOCK else up.slot if up else ""
+        self.in_article = tag in MAIN or bool(up and up.in_article)
+        self.sure = level == SURE or bool(up and up.sure)
+        self.holds, self.size, self.articles = False, 0, 0
+        self.out = self.main = False
 
 
-def walk(page: str) -> Iterator[tuple[str, str, tuple[Element, ...], bool]]:
-    """Yields ("tag", path, open elements, ends block) and ("text", raw text, open elements, False)."""
+def walk(page: str) -> Iterator[tuple[str, str, Element | None, bool]]:
+    """Yields ("tag", path, innermost element, ends block) and ("text", raw text, innermost element, False)."""
     open_: list[Element] = []
     at, size = 0, len(page)
     while at < size:
         found = _TOKEN.search(page, at)
         if found is None:
-            yield "text", page[at:], tuple(open_), False
+            yield "text", page[at:], open_[-1] if open_ else None, False
             return
         if found.start() > at:
-            yield "text", page[at : found.start()], tuple(open_), False
+            yield "text", page[at : found.start()], open_[-1] if open_ else None, False
         at = found.end()
         name = (found["name"] or "").lower()
         if not name:
@@ -120,12 +159,12 @@ def walk(page: str) -> Iterator[tuple[str, str, tuple[Element, ...], bool]]:
         if found["close"]:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k].tag == name:
-                    yield "tag", "/" + open_[k].path, tuple(open_), any(e.tag in BLOCK for e in open_[k:])
+                    yield "tag", "/" + open_[k].path, open_[-1], any(e.tag in BLOCK for e in open_[k:])
                     del open_[k:]
                     break
             else:
                 if name in BLOCK:  # a stray end still ends the block
-                    yield "tag", "//" + name, tuple(open_), True
+                    yield "tag", "//" + name, open_[-1] if open_ else None, True
             continue
         if name in BLOCK:
             # formatting elements do not hold a block open, nor does a paragraph
@@ -137,15 +176,11 @@ def walk(page: str) -> Iterator[tuple[str, str, tuple[Element, ...], bool]]:
                 elif open_[k].tag not in _CLOSES:
                     break
         names = _names(found["rest"])
-        parent = next((e.path for e in reversed(open_) if e.tag in BLOCK), "")
-        path = f"{parent}/{name}" + "".join("." + n for n in names if not n.isdigit())
-        furniture = (
-            name in FURNITURE
-            or (name not in MAIN and name not in ("html", "body") and not FURNITURE_NAMES.isdisjoint(names))
-            or bool(_HIDDEN.search(found["rest"]))
-        )
-        element = Element(name, path, furniture)
-        yield "tag", path, (*open_, element), name in BLOCK
+        up = open_[-1] if open_ else None
+        path = f"{up.slot if up else ''}/{name}" + "".join("." + w for n in names for w in n if not w.isdigit())
+        hidden = bool(_HIDDEN.search(found["rest"]))
+        element = Element(name, path, up, _level(name, names, hidden, bool(up and up.in_article)))
+        yield "tag", path, element, name in BLOCK
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else size
@@ -153,30 +188,76 @@ def walk(page: str) -> Iterator[tuple[str, str, tuple[Element, ...], bool]]:
             open_.append(element)
 
 
-def occurrences(page: str) -> Counter[str]:
+def _opens(event: tuple) -> bool:
+    kind, value, top, _ = event
+    return kind == "tag" and top is not None and value == top.path
+
+
+def settled(page: str) -> list[tuple[str, str, Element | None, bool]]:
+    """The events of ``walk``, with ``out`` of every element settled from the whole page."""
+    events = list(walk(page))
+    opened = [event[2] for event in events if _opens(event)]
+    total = 0
+    for e in opened:
+        if e.tag in MAIN and not e.sure:
+            while e is not None and not e.holds:
+                e.holds, e = True, e.up
+    for kind, value, top, _ in events:
+        if kind == "text" and not (top and top.sure):
+            n = len(value.strip())
+            total += n
+            if top:
+                top.size += n
+                top.articles += n * top.in_article
+    for e in reversed(opened):
+        if e.up:
+            e.up.size += e.size
+            e.up.articles += e.articles
+
+    def settle(by_name: bool) -> tuple[int, int]:
+        """Text that is left, and text of articles that names leave out."""
+        left, lost, inner = total, 0, 0
+        for e in opened:
+            away = bool(e.up and e.up.out)
+            e.out = away or e.level == SURE
+            if not e.out and e.level == NAMED:
+                e.out = by_name or not e.holds
+            elif not e.out and e.level == PERHAPS:
+                e.out = not e.holds and 2 * e.size <= left_of_page
+            if e.out and not away and not e.sure:
+                inner += e.size
+                lost += e.articles if e.holds else 0
+        return left - inner, lost
+
+    # text in named furniture is no part of the page's
+    left_of_page = total
+    left_of_page, _ = settle(True)
+    left, lost = settle(True)
+    if lost > 4 * left:
+        left_of_page = total
+        settle(False)
+    return events
+
+
+def occurrences(events: list[tuple]) -> Counter[str]:
     """How often each tag token occurs; texts and closing tags are no tokens of the template."""
-    return Counter(path for kind, path, _, _ in walk(page) if kind == "tag" and path[0] == "/" and path[1:2] != "/")
+    return Counter(event[1] for event in events if _opens(event))
 
 
-def slot_texts(page: str) -> dict[str, str]:
+def slot_texts(events: list[tuple]) -> dict[str, str]:
     """The text directly in each block token, of all its occurrences on the page."""
     texts: dict[str, list[str]] = {}
-    for kind, value, open_, _ in walk(page):
-        if kind == "text" and not value.isspace() and not any(e.furniture for e in open_):
-            texts.setdefault(_slot(open_), []).append(" ".join(value.split()))
+    for kind, value, top, _ in events:
+        if kind == "text" and not value.isspace() and not (top and top.out):
+            texts.setdefault(top.slot if top else "", []).append(" ".join(value.split()))
     return {slot: " ".join(parts) for slot, parts in texts.items()}
 
 
-def _slot(open_: tuple[Element, ...]) -> str:
-    return next((e.path for e in reversed(open_) if e.tag in BLOCK), "")
-
-
-def layout_of(page: str, texts: dict[str, str]) -> str:
+def layout_of(events: list[tuple], texts: dict[str, str]) -> str:
     """Where the page's first article is, or else its block with most text, to three levels."""
-    for kind, value, open_, _ in walk(page):
-        if kind == "tag" and open_ and open_[-1].tag in MAIN and open_[-1].path == value:
-            if not any(e.furniture for e in open_):
-                return value
+    for event in events:
+        if _opens(event) and event[2].tag in MAIN and not event[2].out:
+            return event[1]
     most = max(texts, key=lambda slot: (len(texts[slot]), slot), default="")
     return "/".join(most.split("/")[:4])
 
@@ -192,7 +273,8 @@ def with_layouts(pages: DataFrame) -> DataFrame:
             layouts = []
             for page in batch.column(at):
                 page = page.as_py() or ""
-                layouts.append(layout_of(page, slot_texts(page)) if page and not page.isspace() else None)
+                events = settled(page)
+                layouts.append(layout_of(events, slot_texts(events)) if page and not page.isspace() else None)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(layouts, pa.string())], [*batch.schema.names, "layout"]
             )
@@ -223,11 +305,12 @@ def host_templates(pages: DataFrame) -> DataFrame:
                 page = page.as_py() or ""
                 if not page or page.isspace():
                     continue
-                texts = slot_texts(page)
-                layout = layout_of(page, texts)
+                events = settled(page)
+                texts = slot_texts(events)
+                layout = layout_of(events, texts)
                 # the token "" stands for the whole page
                 whole = digest("\n".join(f"{slot} {text}" for slot, text in sorted(texts.items())))
-                for token, n in [*occurrences(page).items(), ("", 1)]:
+                for token, n in [*occurrences(events).items(), ("", 1)]:
                     text = digest(texts.get(token, "")) if token else whole
                     held = sums.setdefault((host, layout, token), [0, 0, 0, 0, text, text])
                     held[0] += 1
@@ -336,22 +419,26 @@ def main_blocks(page: str, template: Template) -> list[str]:
                 into.append(text)
             parts.clear()
 
-    for kind, value, open_, ends in walk(page):
+    for event in settled(page):
+        kind, value, top, ends = event
         if kind == "tag":
             if ends:
                 finish()
-            elif open_ and open_[-1].tag == "br" and value[0] == "/" and value.endswith("/br"):
-                for parts in run:
-                    parts.append(" ")
+            if _opens(event):
+                article = top.path in template.main if template.main else top.tag in MAIN
+                top.main = article or bool(top.up and top.up.main)
+                if top.tag == "br":
+                    for parts in run:
+                        parts.append(" ")
             continue
-        if any(e.furniture for e in open_):
+        if top and top.out:
             continue
-        if any(e.path in template.main if template.main else e.tag in MAIN for e in open_):
+        if top and top.main:
             inside = True
             run[0].append(value)
             continue
         run[2].append(value)
-        if _slot(open_) not in template.constant:
+        if (top.slot if top else "") not in template.constant:
             run[1].append(value)
     finish()
     return blocks[0] if inside else blocks[1] or blocks[2]

@@ -167,6 +167,29 @@ def test_template_survives_odd_pages(spark):
     assert {found[30 + k] for k in range(4)} == {"Words 1\n\nBuy our book"}
 
 
+WRAPPED = [
+    ('<div class="layout has-sidebar"><article>{}</article></div>', "T\n\nText"),
+    ('<div class="content no-comments"><article>{}</article></div>', "T\n\nText"),
+    ('<div id="share-price-report"><main>{}</main></div>', "T\n\nText"),
+    ('<div class="post related-news"><div>{}</div></div>', "T\n\nText"),
+    ('<div data-id="sidebar" data-role="menu"><article>{}</article></div>', "T\n\nText"),
+    ("<form action=x><article>{}</article><input></form>", "T\n\nText"),
+    ("<form><div>{}</div></form>", "T\n\nText"),
+    ('<div class="widget"><article>{}</article></div>', "T\n\nText"),
+    ('<article><header class="entry-header"><h1>Head</h1></header>{}</article>', "Head\n\nT\n\nText"),
+    ('<div class="related"><article>No</article></div><article>{}</article>', "T\n\nText"),
+    ('<article>{}<div class="related-links">No</div><form>No</form></article>', "T\n\nText"),
+    ('<header>No</header><div class="cookie-notice">No</div><div>{}</div>', "T\n\nText"),
+]
+
+
+def test_furniture_spares_what_holds_the_article(spark):
+    rows = [(k, f"http://h{k}.example/", f"<body>{p.format('<h1>T</h1><p>Text</p>')}</body>") for k, (p, _) in enumerate(WRAPPED)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_main_text(pages).collect()}
+    assert [found[k] for k in range(len(WRAPPED))] == [text for _, text in WRAPPED]
+
+
 def test_vectors_against_brute_force(spark):
     draw = np.random.default_rng(4)
     vectors = draw.normal(size=(400, 24))
