@@ -5,8 +5,9 @@ Viterbi path of a unigram model, whose counts come from the words of all pages.
 multinomial naive Bayes model then scores host words and path tokens as block or allow.
 It learns from the pages that the rules decide, one vote for each host and list of path
 tokens, so that busy hosts do not outvote others, and without the tokens that the rules
-themselves name; and from short lists of words that stand for the two kinds; a listed word
-counts as much as ``SEED_SHARE`` of all votes.
+themselves name and the path segments they look at, which tell the rule and not the page;
+and from short lists of words that stand for the two kinds; a listed word starts with
+``SEED_VOTES`` votes. Counts are smoothed by one, whatever the number of votes.
 
 Everything is counted over all rows. Hosts and token lists are scored once each and
 joined back, so a host with a third of all pages is one row until the last join, which
@@ -46,10 +47,11 @@ SEEDS = {
         forum gov guide health help history journal lab library magazine museum news paper research school
         science study university weather wiki""".split(),
 }
-SEED_SHARE = 0.5
-#: Smoothing of both classes' counts, as a share of all votes.
-SMOOTHING = 0.01
-#: Log-odds from which a page that no rule decides is blocked.
+#: Votes that a listed word starts with; what is learned can outvote them.
+SEED_VOTES = 50.0
+#: Added to each token's count in both classes.
+SMOOTHING = 1.0
+#: Log-odds of the posterior from which a page that no rule decides is blocked: 0.95.
 BLOCK_FROM = 3.0
 #: Characters of the longest word that a label is split into.
 LONGEST_WORD = 24
@@ -151,7 +153,7 @@ def segment_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _token_weights(tokens: DataFrame, rules, votes: float) -> DataFrame:
+def _token_weights(tokens: DataFrame, rules) -> DataFrame:
     """(token, weight): log-likelihood ratio of block to allow, from (token, block, allow) counts."""
     named = {f"host:{w}" for _, r in rules for w in r.partition("/")[0].split(".")}
     named |= {f"path:{w}" for _, r in rules for w in r.partition("/")[2].split("/") if w}
@@ -160,10 +162,9 @@ def _token_weights(tokens: DataFrame, rules, votes: float) -> DataFrame:
     total = counts.agg(
         F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count("*").alias("tokens")
     ).first()
-    alpha = max(1.0, SMOOTHING * votes)
     seeds = counts.sparkSession.createDataFrame(
         [
-            (f"{place}:{word}", *[SEED_SHARE * max(votes, 2.0) * (kind == k) for k in ("block", "allow")])
+            (f"{place}:{word}", *[SEED_VOTES * (kind == k) for k in ("block", "allow")])
             for kind, words in SEEDS.items()
             for word in words
             for place in ("host", "path")
@@ -171,12 +172,12 @@ def _token_weights(tokens: DataFrame, rules, votes: float) -> DataFrame:
         "token string, block double, allow double",
     )
     every = counts.union(seeds).groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
-    size = alpha * (total.tokens + sum(map(len, SEEDS.values())))
+    size = SMOOTHING * (total.tokens + sum(map(len, SEEDS.values())))
     return every.select(
         "token",
         (
-            F.log((F.col("block") + alpha) / float((total.block or 0) + size))
-            - F.log((F.col("allow") + alpha) / float((total.allow or 0) + size))
+            F.log((F.col("block") + SMOOTHING) / float((total.block or 0) + size))
+            - F.log((F.col("allow") + SMOOTHING) / float((total.allow or 0) + size))
         ).alias("weight"),
     )
 
@@ -194,8 +195,14 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     by_rule = F.lit(None).cast("string")
     for rule, verdict in verdicts.items():
         by_rule = F.when(F.col("rule") == rule, F.lit(verdict)).otherwise(by_rule)
-    # the token list without numbers stands for the path
-    rows = rows.withColumn("shape", F.array_join(path_tokens(F.col("path")), " "))
+    # the token list without numbers stands for the path; "/" marks tokens where rules look
+    depth = max((len([w for w in r.partition("/")[2].split("/") if w]) for r in verdicts), default=0)
+    lead = F.regexp_extract("path", rf"^((?:/+[^/]*){{0,{depth}}})", 1)
+    rest = F.expr("substring(path, length(lead) + 1)")
+    marked = F.transform(path_tokens(F.col("lead")), lambda t: F.concat(F.lit("/"), t))
+    rows = rows.withColumn("lead", lead).withColumn(
+        "shape", F.array_join(F.concat(marked, path_tokens(rest)), " ")
+    ).drop("lead")
     rows = materialise(rows.withColumn("given", by_rule), "urls")
 
     votes = rows.groupBy("host", "shape").agg(
@@ -219,10 +226,12 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     shape_tokens = shapes.select(
         "shape", "block", "allow", F.explode(F.split("shape", " ")).alias("word")
     ).where("word <> ''").select(
-        "shape", "block", "allow", F.concat(F.lit("path:"), "word").alias("token")
+        "shape",
+        *[F.when(F.col("word").startswith("/"), 0).otherwise(F.col(k)).alias(k) for k in ("block", "allow")],
+        F.concat(F.lit("path:"), F.ltrim("word", F.lit("/"))).alias("token"),
     )
     columns = ["token", "block", "allow"]
-    weights = materialise(_token_weights(host_tokens.select(columns).union(shape_tokens.select(columns)), rules, float(sum(cast))), "weights")
+    weights = materialise(_token_weights(host_tokens.select(columns).union(shape_tokens.select(columns)), rules), "weights")
 
     def scored(tokens: DataFrame, key: str, name: str) -> DataFrame:
         return materialise(

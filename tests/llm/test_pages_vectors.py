@@ -67,6 +67,21 @@ def test_unwanted_hosts_are_blocked(spark):
     assert [found[k] for k in range(4)] == ["block", "block", "allow", "allow"]
 
 
+def test_unlisted_words_are_learned_from_rules(spark):
+    pages = spark.createDataFrame(
+        [(k, f"http://zorblax.h{k}.net/es/{k}", "zorblax quillon") for k in range(40)]
+        + [(50 + k, f"http://quillon.h{k}.org/fr/{k}", "x") for k in range(40)]
+        # votes that hold neither word do not dilute it
+        + [(1000 + k, f"http://w{chr(97 + k % 26)}{chr(97 + k // 26)}.{'net/es' if k % 2 else 'org/fr'}/", "x") for k in range(600)]
+        + [(100, "http://zorblax.example.com/en/1", "x"), (101, "http://quillon.example.com/en/1", "x")]
+        # the segment that rules look at tells nothing
+        + [(102, "http://morning.example.org/es/1", "x"), (103, "http://casino.example.org/en/1", "x")],
+        "page_id long, url string, html string",
+    )
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages).collect()}
+    assert [found[k] for k in range(100, 104)] == [(None, "block"), (None, "allow"), (None, "allow"), (None, "block")]
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     draw = random.Random(2)
