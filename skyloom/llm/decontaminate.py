@@ -10,8 +10,9 @@ back by the term's place in the phrase, gives candidate starts, and the candidat
 intersected with the other lists, rarer ones first, each moved by its own place. A
 phrase with a term that has no list in the shard is dropped at once.
 
-The benchmark is worked on in blocks of at most ``BLOCK_WORDS`` words, so what is sent
-to the tasks has a fixed bound, however large the benchmark is.
+The benchmark is worked on in blocks of at most ``BLOCK_WORDS`` words (an item longer than
+that is a block of its own). Documents are numbered once; with several blocks they are
+written with their numbers first, so that all blocks share one numbering.
 
 Defined cases: null and empty texts, in either table, have no words; items with fewer
 words than a window are one window, items without words are none; repeated items and
@@ -27,6 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.llm.simhash import text_key
 from skyloom.session import materialise
 
 WINDOW = 10
@@ -37,7 +39,7 @@ SHARD_CHARS = 8 << 20
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_INDEX = """shard string, doc_ids array<long>, lengths array<int>,
+_INDEX = """rows array<long>, doc_ids array<long>, text_keys array<string>, lengths array<int>,
             terms array<int>, starts array<int>, postings binary"""
 
 
@@ -79,8 +81,18 @@ class Phrases:
         ]
 
 
-def build_index(docs: DataFrame, vocabulary) -> DataFrame:
-    """One row per shard: its documents and the positions of each term of the vocabulary.
+def numbered(docs: DataFrame, with_key: bool = False) -> DataFrame:
+    """(row, doc_id, text, text_key): ``row`` is a number that holds once this is written."""
+    return docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        (text_key(F.col("text")) if with_key else F.lit(None).cast("string")).alias("text_key"),
+    )
+
+
+def build_index(source: DataFrame, vocabulary) -> DataFrame:
+    """One row per shard: its ``numbered`` documents and the positions of each term of the vocabulary.
 
     ``vocabulary`` is a broadcast of {word: number}; words outside it can be in no
     match, they only take up a position.
@@ -88,10 +100,9 @@ def build_index(docs: DataFrame, vocabulary) -> DataFrame:
 
     def run(batches: Iterator):
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        get, task, made = vocabulary.value.get, TaskContext.get().partitionId(), 0
-        ids, lengths, numbers, held = [], [], [], 0
+        get = vocabulary.value.get
+        rows, ids, keys, lengths, numbers, held = [], [], [], [], [], 0
 
         def shard():
             terms = np.concatenate([*numbers, np.zeros(0, np.int32)])
@@ -100,8 +111,9 @@ def build_index(docs: DataFrame, vocabulary) -> DataFrame:
             found, first = np.unique(terms[place][order], return_index=True)
             return pa.RecordBatch.from_pydict(
                 {
-                    "shard": pa.array([f"{task}-{made}"]),
+                    "rows": pa.array([rows], pa.list_(pa.int64())),
                     "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+                    "text_keys": pa.array([keys], pa.list_(pa.string())),
                     "lengths": pa.array([lengths], pa.list_(pa.int32())),
                     "terms": pa.array([found.astype(np.int32)], pa.list_(pa.int32())),
                     "starts": pa.array([first.astype(np.int32)], pa.list_(pa.int32())),
@@ -110,22 +122,23 @@ def build_index(docs: DataFrame, vocabulary) -> DataFrame:
             )
 
         for batch in batches:
-            texts = batch.column(1)
-            for row, doc_id in enumerate(batch.column(0).to_pylist()):
-                text = texts[row].as_py()
+            texts = batch.column(2)
+            for k, (row, doc_id, key) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)), strict=True)):
+                text = texts[k].as_py()
                 found = words(text)
+                rows.append(row)
                 ids.append(doc_id)
+                keys.append(key)
                 lengths.append(len(found))
                 numbers.append(np.array([get(w, -1) for w in found] + [-1], np.int32))
                 held += len(text or "")
                 if held >= SHARD_CHARS:
                     yield shard()
-                    made += 1
-                    ids, lengths, numbers, held = [], [], [], 0
+                    rows, ids, keys, lengths, numbers, held = [], [], [], [], [], 0
         if ids:
             yield shard()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _INDEX)
+    return source.mapInArrow(run, _INDEX)
 
 
 class Shard:
@@ -196,7 +209,7 @@ class Shard:
 
 
 def search(index: DataFrame, phrases, reach: int | None = None) -> DataFrame:
-    """Matches by document: (shard, row, spans, items); spans are [first, end) in words.
+    """Matches by document: (row, spans, items); spans are [first, end) in words.
 
     ``phrases`` is a broadcast of ``Phrases``. With ``reach`` a match is an occurrence
     of a window's rarest term that has all its other terms within so many words, in any
@@ -231,8 +244,7 @@ def search(index: DataFrame, phrases, reach: int | None = None) -> DataFrame:
                 docs = sorted(spans)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "shard": pa.array([row["shard"]] * len(docs), pa.string()),
-                        "row": pa.array(docs, pa.int32()),
+                        "row": pa.array([row["rows"][d] for d in docs], pa.int64()),
                         "spans": pa.array(
                             [[{"first": a, "end": b} for a, b in sorted(spans[d])] for d in docs],
                             pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])),
@@ -245,7 +257,7 @@ def search(index: DataFrame, phrases, reach: int | None = None) -> DataFrame:
                 )
 
     return index.mapInArrow(
-        run, "shard string, row int, spans array<struct<first: bigint, end: bigint>>, items array<string>"
+        run, "row long, spans array<struct<first: bigint, end: bigint>>, items array<string>"
     )
 
 
@@ -255,30 +267,37 @@ def find_contamination(
     window: int = WINDOW,
     reach: int | None = None,
     block_words: int = BLOCK_WORDS,
+    with_key: bool = False,
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, spans, items, contaminated) for every document.
 
     ``spans`` are the matched word ranges and ``items`` the ids of items with a match,
-    sorted as strings, both empty for clean documents.
+    sorted as strings, both empty for clean documents. ``with_key`` adds the document's
+    ``text_key``, which tells apart texts that share a doc_id.
     """
     spark = docs.sparkSession
-    sparse, everything = None, None
-    for block in benchmark_blocks(benchmark, block_words):
+    source, sparse, everything = numbered(docs, with_key), None, None
+    blocks = benchmark_blocks(benchmark, block_words)
+    block, following = next(blocks, []), next(blocks, None)
+    if following is not None:
+        source = materialise(source, "numbered")
+    while block is not None:
         phrases = Phrases(block, window)
-        index = materialise(build_index(docs, spark.sparkContext.broadcast(phrases.term)), "postings")
+        index = materialise(build_index(source, spark.sparkContext.broadcast(phrases.term)), "postings")
         matches = search(index, spark.sparkContext.broadcast(phrases), reach)
         sparse = matches if sparse is None else sparse.unionByName(matches)
         everything = everything or index
-    if everything is None:
-        everything = materialise(build_index(docs, spark.sparkContext.broadcast({})), "postings")
-        sparse = search(everything, spark.sparkContext.broadcast(Phrases([], window)), reach)
-    sparse = sparse.groupBy("shard", "row").agg(
+        block, following = following, next(blocks, None)
+    sparse = sparse.groupBy("row").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    listed = everything.select(
-        "shard", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("row", "doc")
-    ).select("shard", "row", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.lengths").alias("n_words"))
+    listed = everything.select(F.explode(F.arrays_zip("rows", "doc_ids", "text_keys", "lengths")).alias("doc")).select(
+        F.col("doc.rows").alias("row"),
+        F.col("doc.doc_ids").alias("doc_id"),
+        F.col("doc.text_keys").alias("text_key"),
+        F.col("doc.lengths").alias("n_words"),
+    )
     zero = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("reach"))
     covered = F.aggregate(
         "spans",
@@ -290,7 +309,7 @@ def find_contamination(
         lambda s: s.hit,
     )
     return (
-        listed.join(sparse.withColumn("n_hit", covered), ["shard", "row"], "left")
+        listed.join(sparse.withColumn("n_hit", covered), "row", "left")
         .select(
             "doc_id",
             F.col("n_words").cast("long"),
@@ -298,6 +317,7 @@ def find_contamination(
             F.coalesce("spans", F.array().cast("array<struct<first: bigint, end: bigint>>")).alias("spans"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             F.col("n_hit").isNotNull().alias("contaminated"),
+            *(["text_key"] if with_key else []),
         )
     )
 

@@ -117,6 +117,28 @@ def test_contamination_against_brute_force(spark, docs, rows, block_words):
     _same(decontaminate.contamination_digest(found).collect(), expected)
 
 
+def test_blocks_share_one_numbering(spark, tmp_path, monkeypatch):
+    rows = [(k, f"a{k} b{k} c{k} " * (k + 1)) for k in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/docs")
+    benchmark = spark.createDataFrame([(k, f"a{k} b{k} c{k}") for k in range(30)], "item_id long, text string")
+    blocks = decontaminate.benchmark_blocks
+    name = "spark.sql.files.minPartitionNum"
+
+    def resplit(*given):
+        # the files are packed into other partitions for each block
+        for k, block in enumerate(blocks(*given)):
+            spark.conf.set(name, "1" if k % 2 else "64")
+            yield block
+
+    monkeypatch.setattr(decontaminate, "benchmark_blocks", resplit)
+    try:
+        found = decontaminate.find_contamination(spark.read.parquet(f"{tmp_path}/docs"), benchmark, block_words=30)
+        found = found.where("contaminated").collect()
+    finally:
+        spark.conf.unset(name)
+    assert sorted((r.doc_id, r.items) for r in found) == [(k, [str(k)]) for k in range(30)]
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame(
         [(1, "alpha x x beta"), (2, "beta alpha"), (3, "alpha " + "x " * 9 + "beta"), (4, "alpha")],
