@@ -12,7 +12,7 @@ along. Null texts count as empty, and empty tables give empty tables.
 * suffix_array_dedup: bytes of every 200-byte string that occurs again are cut out; text
   and n_chars change, no document goes.
 * benchmark_decontamination: documents with a benchmark window go; rows that share a
-  doc_id are judged together.
+  doc_id, or have none, are judged by their own texts.
 * bpe: the ids of each remaining text, with the digests of ids and decoded text.
 """
 
@@ -70,9 +70,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_staged
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(materialise(hit, "contaminated"), F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_contamination(docs, benchmark, with_key=True)
+    hit = found.where("contaminated").select(F.col("doc_id").alias("_hit"), F.col("text_key").alias("_hit_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_hit")) & (simhash.text_key(F.col("text")) == F.col("_hit_key"))
+    return docs.join(materialise(hit.distinct(), "contaminated"), same, "left_anti")
 
 
 @_staged

@@ -243,6 +243,15 @@ def test_vectors_against_brute_force(spark):
     assert embedding_dedup.near_duplicate_vectors(frame.where("false")).count() == 0
 
 
+def test_clean_rows_with_a_contaminated_id_stay(spark, tmp_path):
+    leak = " ".join(f"leak{k}" for k in range(12))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, leak), (None, "clean"), (None, None), (7, f"x {leak}"), (7, "clean"), (8, leak), (8, leak), (9, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert {tuple(r) for r in kept} == {(None, "clean"), (None, None), (7, "clean"), (9, "z")} and len(kept) == 4
+
+
 def test_pipeline_stages(spark, tmp_path):
     draw = random.Random(6)
     words = [f"w{k}" for k in range(500)]
