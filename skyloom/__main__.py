@@ -37,7 +37,8 @@ def parser() -> argparse.ArgumentParser:
     job(
         "stream-features",
         "the same for files as they arrive, until stopped",
-        *["input", "output-airports", "output-flights", "checkpoint"],
+        *["input", "output-airports", "output-flights", "output-read-instances", "output-rejects", "checkpoint"],
+        **{"output-read-instances": "", "output-rejects": ""},
     )
     job("setup-store", "declare the feature groups", "store")
     job("ingest", "load feature files into the store", "store", "flights", "airports")
@@ -76,7 +77,9 @@ def main(argv: list[str] | None = None) -> None:
         )
         run_feature_job(spark, args.input, outputs)
     elif args.job == "stream-features":
-        outputs = FeatureOutputs(args.output_airports, args.output_flights, "")
+        outputs = FeatureOutputs(
+            args.output_airports, args.output_flights, args.output_read_instances, args.output_rejects or None
+        )
         start_feature_stream(spark, args.input, outputs, args.checkpoint)
         spark.streams.awaitAnyTermination()
     elif args.job == "setup-store":

@@ -21,6 +21,7 @@ class FeatureOutputs:
     flights: str
     read_instances: str
     rejects: str | None = None
+    open_airports: str | None = None
 
 
 def airport_delays(

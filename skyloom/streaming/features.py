@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta, timezone
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skyloom.operators.windows import sliding_mean_rows
+from skyloom.operators.windows import seconds, sliding_mean, sliding_mean_rows
 
 
 def streaming_airport_delays(
@@ -34,12 +37,43 @@ def streaming_airport_delays(
     )
 
 
+def open_airport_delays(
+    flights: DataFrame, closed: DataFrame, *, delay: str = "1 hour", size: str = "4 hours"
+) -> DataFrame:
+    """The windows that a drained stream of ``flights`` has left open, with the rows they have so far.
+
+    Together with ``closed``, what the stream has written, these are all windows of the input.
+    Only flights that can reach an open window are read.
+    """
+    last = flights.agg(F.max("timestamp").alias("last")).first().last
+    if last is None:
+        return closed.limit(0)
+    watermark = last - timedelta(seconds=seconds(delay))
+    found = sliding_mean(
+        flights,
+        key="origin_airport_id",
+        time="timestamp",
+        value="departure_delay_minutes",
+        name="average_departure_delay",
+        size=size,
+        start=watermark.astimezone(timezone.utc) - timedelta(seconds=seconds(size)),
+    )
+    return found.join(closed, ["timestamp", "origin_airport_id"], "left_anti").select(*closed.columns)
+
+
 def write_stream(
-    df: DataFrame, path: str, checkpoint: str, *, available_now: bool = False
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    fmt: str = "parquet",
+    **options,
 ) -> StreamingQuery:
-    """Append to Parquet files; file log and checkpoint make each row appear once."""
+    """Append to files; file log and checkpoint make each row appear once."""
     writer = (
-        df.writeStream.format("parquet")
+        df.writeStream.format(fmt)
+        .options(**options)
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

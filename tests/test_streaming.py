@@ -122,3 +122,20 @@ def test_feature_job_on_a_stream(spark, files, available_now):
     whole = windows(airport_delays(flights))
     closed = {k: v for k, v in whole.items() if k[0] + timedelta(hours=4) <= last - timedelta(hours=1)}
     assert windows(spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports)) == closed
+
+
+def test_drained_job_writes_all_outputs(spark, files, tmp_path):
+    bad = dict(raw_rows(1)[0], Distance=None)
+    schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+    write_csv(spark.createDataFrame([tuple(bad.values())], schema).coalesce(1), f"{tmp_path}/in/bad")
+    write_csv(spark.read.schema(schema).option("header", True).csv(f"{files}/*"), f"{tmp_path}/in/good")
+    base = scratch_path(spark, "stream-job")
+    outputs = FeatureOutputs(*[f"{base}/{n}" for n in ("airports", "flights", "instances", "rejects", "open")])
+    start_feature_stream(spark, f"{tmp_path}/in/*", outputs, f"{base}/checkpoint", available_now=True)
+    flights = scan_flights(spark, outputs.flights)
+    instances = spark.read.option("header", True).csv(outputs.read_instances)
+    assert instances.columns == ["flight", "airport", "timestamp"] and instances.count() == 600
+    rejects = spark.read.parquet(outputs.rejects).collect()
+    assert [r.reason for r in rejects] == ["no_distance"]
+    closed, left = (windows(spark.read.schema(AIRPORT_SCHEMA).parquet(p)) for p in (outputs.airports, outputs.open_airports))
+    assert left and not closed.keys() & left.keys() and closed | left == windows(airport_delays(flights))
