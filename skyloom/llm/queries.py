@@ -12,6 +12,10 @@ from skyloom.llm import (
     embedding_dedup,
     html_extract,
     length_histogram,
+    line_dedup,
+    merkle_manifest,
+    oracles,
+    plane_clustering,
     simhash,
     suffix_dedup,
     token_orc,
@@ -68,6 +72,18 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plane_clustering.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.merkle_proofs(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,8 +97,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_html_extraction,
         op10_embedding_near_dedup,
+        op11_line_dedup,
+        op12_centroid_clustering,
+        op13_merkle_manifest,
     )
 }
 
-#: Tokenizers, learned scores, hashes and page structure cannot be said in DuckDB's SQL.
-ORACLES: dict[str, str] = {}
+#: Tokenizers, learned scores and page structure cannot be said in DuckDB's SQL.
+ORACLES: dict[str, str] = {
+    "op11_line_dedup": oracles.OP11,
+    "op12_centroid_clustering": oracles.OP12,
+    "op13_merkle_manifest": oracles.OP13,
+}
