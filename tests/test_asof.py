@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from skyloom.operators.asof import (
     BUCKETS,
     as_of_join,
+    bucket_widths,
     choose_bucket,
     exact_time_join,
     newest_versions,
 )
+from skyloom.operators.windows import seconds
 
 START = datetime(2024, 1, 1)
 
@@ -144,7 +146,53 @@ def test_bucket_narrows_until_no_entity_is_too_dense(spark):
     assert choose_bucket(key, limit=1) == "1 minute"
     assert choose_bucket([(spine.withColumn("t", F.lit(None).cast("timestamp")), "e", "t")]) == BUCKETS[0]
     same = spine.withColumn("t", F.timestamp_seconds(F.lit(5)))
-    assert choose_bucket([(same, "e", "t")], limit=10) == BUCKETS[-1]
+    assert choose_bucket([(same, "e", "t")], limit=10) == BUCKETS[0]  # repeated times are one row of a search
+    dense = spine.withColumn("t", F.timestamp_micros(F.lit(10**15) + F.col("id")))
+    assert choose_bucket([(dense, "e", "t")], limit=10) == BUCKETS[-1]
+
+
+def test_buckets_are_counted_by_one_job(spark):
+    spine = spine_of(spark, [(i, "hot", at(i)) for i in range(50)])
+    spark.sparkContext.setJobGroup("count-buckets", "")
+    try:
+        choose_bucket([(spine, "e", "t")], limit=1)
+    finally:
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("count-buckets")
+        spark.sparkContext.setJobGroup("", "")
+    assert 0 < len(jobs) <= 8  # the stages of one query, each a job under adaptive execution
+
+
+@pytest.mark.parametrize("bucket", ["1 second", "7 seconds", "1 minute", "1 hour", "1 day", "30 days"])
+def test_levels_of_buckets_are_bounded(bucket):
+    widths = bucket_widths(bucket)
+    assert widths[0] == seconds(bucket) and widths[-1] >= 86_400
+    for narrow, wide in zip(widths, widths[1:], strict=False):
+        assert wide % narrow == 0 and wide // narrow <= 3600
+
+
+@pytest.mark.parametrize("bucket", ["1 second", "1 minute"])
+def test_narrow_buckets_over_years(spark, bucket):
+    """Records and requests far apart, before and after the epoch, and on the edges of buckets."""
+    draw = random.Random(3)
+    edges = [datetime(1969, 12, 31, 23, 59, 59), datetime(1970, 1, 1), datetime(1970, 1, 1, 1), datetime(2030, 5, 31)]
+    times = edges + [START + timedelta(microseconds=draw.randrange(4 * 10**14)) for _ in range(150)]
+    features = [("hot", t, float(k), None) for k, t in enumerate(times)]
+    asked = [t + timedelta(microseconds=draw.choice([-1, 0, 1, 10**9])) for t in times] + [datetime(1950, 1, 1)]
+    spine = [(k, "hot", t) for k, t in enumerate(asked)]
+    got = join(spine_of(spark, spine), features_of(spark, features), bucket=bucket)
+    assert answers(got) == brute(spine, features)
+
+
+def test_fixed_width_versions_are_reduced_by_hash(spark):
+    rows = [("a", 1, 5.0, None, True), ("a", 3, None, at(1), False), ("a", 3, None, at(1), False), ("b", None, 2.0, None, None)]
+    df = frame(spark, rows, "e string, s long, x double, t timestamp_ntz, f boolean")
+    best = newest_versions(df, ["e"], "s")
+    text = best._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text
+    got = [tuple(r) for r in best.withColumn("t", F.col("t").cast("timestamp_ntz")).collect()]
+    assert sorted(got) == [("a", 3, None, at(1), False), ("b", None, 2.0, None, None)]
+    extremes = [("a", s, float(k), None, None) for k, s in enumerate([-(1 << 63), (1 << 63) - 1, 0])]
+    assert newest_versions(frame(spark, extremes, "e string, s long, x double, t timestamp_ntz, f boolean"), ["e"], "s").first().x == 1.0
 
 
 def test_null_sequence_is_the_lowest(spark):
