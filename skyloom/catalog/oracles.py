@@ -238,6 +238,25 @@ scored AS (
 )"""
 
 
+def _fitted_requests() -> str:
+    """Every flight with the latest mean of its airport, scored by the model fitted to the training rows."""
+    margin = _margin(_JOINED_NAMES, "r")
+    return f"""
+WITH {_SERVED},
+train AS (SELECT * FROM joined WHERE timestamp < TIMESTAMP '{SPLIT}'),
+{_newton("train", _JOINED_NAMES)},
+latest AS (
+  SELECT origin_airport_id, arg_max(average_departure_delay, timestamp) AS average_departure_delay
+  FROM airports GROUP BY origin_airport_id
+),
+requests AS (
+  SELECT f.*, l.average_departure_delay FROM flights f LEFT JOIN latest l USING (origin_airport_id)
+)
+SELECT event_id, round(r.average_departure_delay, 4) AS average_departure_delay,
+       {margin} > 0 AS prediction, round(1 / (1 + exp(-({margin}))), 4) AS score
+FROM requests r, fit, scale, middle"""
+
+
 def _pit_airport(shift_hours: int) -> str:
     return f"""
 WITH {_AIRPORTS},
@@ -354,6 +373,31 @@ kept AS (
 SELECT flight_number AS entity_id, timestamp AS feature_time, origin_airport_id, is_cancelled,
        {_FLIGHT_COLUMNS}
 FROM kept""",
+    "feature_ingest_subset": f"""
+WITH {_FLIGHTS},
+versions AS (
+  SELECT *, event_id * 2 AS one, CASE WHEN NOT is_cancelled THEN -2 * event_id END AS two,
+         event_id * 2 - 5001 AS three
+  FROM flights
+),
+taxi AS (
+  SELECT flight_number, timestamp, taxi_out_minutes AS taxi, two AS version FROM versions WHERE two IS NOT NULL
+  UNION ALL SELECT flight_number, timestamp, taxi_out_minutes + 1, three FROM versions
+),
+taxis AS (
+  SELECT flight_number, timestamp, arg_max(taxi, version) AS taxi FROM taxi GROUP BY ALL
+),
+merged AS (
+  SELECT flight_number, timestamp, arg_max(origin_airport_id, one) AS origin_airport_id,
+         arg_max(is_cancelled, one) AS is_cancelled,
+         arg_max(departure_delay_minutes, one) AS departure_delay_minutes,
+         arg_max(arrival_delay_minutes, two) FILTER (two IS NOT NULL) AS arrival_delay_minutes,
+         arg_max(distance_miles, three) AS distance_miles
+  FROM versions GROUP BY flight_number, timestamp
+)
+SELECT flight_number AS entity_id, timestamp AS feature_time, origin_airport_id, is_cancelled,
+       {_FLIGHT_COLUMNS.replace("round(taxi_out_minutes, 8)", "round(taxi, 8)")}
+FROM merged JOIN taxis USING (flight_number, timestamp)""",
     "pit_airport_window_start": _pit_airport(0),
     "pit_airport_window_end": _pit_airport(4),
     "pit_flight_asof": f"""
@@ -440,6 +484,8 @@ FROM filled""",
     "roc_curve_thinned": _roc(thinned=True),
     "enrich_and_score": _ENRICHED,
     "stream_enrich_score": _ENRICHED,
+    "score_from_store": _fitted_requests(),
+    "stream_score_from_store": _fitted_requests(),
     "train_weights": f"""
 WITH {_RAW_FIT}
 SELECT unnest(['DepDelay', 'TaxiOut', 'Distance', 'intercept']) AS feature,

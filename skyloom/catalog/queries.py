@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ from skyloom.operators.model import (
 )
 from skyloom.operators.windows import sliding_mean_rows
 from skyloom.plans.features import FeatureOutputs, airport_delays, run_feature_job
+from skyloom.plans.scoring import score_from_store
 from skyloom.plans.training import joined_rows, run_raw_training, train_and_evaluate
 from skyloom.schemas import AIRPORT_GROUP, AIRPORT_SCHEMA, FLIGHT_GROUP, FLIGHT_SCHEMA, RAW_SCHEMA
 from skyloom.session import materialise, scratch_path, use_utc
@@ -48,6 +50,7 @@ from skyloom.sources.store import FeatureStore, latest_records
 from skyloom.sources.tables import write_csv, write_features
 from skyloom.streaming.features import drain, streaming_airport_delays
 from skyloom.streaming.jobs import start_feature_stream
+from skyloom.streaming.scoring import score_stream
 from skyloom.streaming.sources import stream_events
 
 SPLIT = "2024-01-20"
@@ -271,6 +274,32 @@ def feature_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(store.read(store.group("flight")))
 
 
+@query
+def feature_ingest_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subsets of the features of the same keys, arriving out of order: each keeps its highest version."""
+    rows = written_flights(spark, sf_dir)
+    store = FeatureStore(spark, scratch_path(spark, "store"))
+    group = store.create(FLIGHT_GROUP)
+    seq = F.col("event_id") * 2
+    batches = [
+        (rows.withColumn("seq", seq), ["origin_airport_id", "is_cancelled", "departure_delay_minutes"]),
+        (
+            rows.filter("NOT is_cancelled").withColumn("seq", -seq),
+            ["arrival_delay_minutes", "taxi_out_minutes"],
+        ),
+        (
+            rows.withColumns({"seq": seq - 5001, "taxi_out_minutes": F.col("taxi_out_minutes") + 1}),
+            ["taxi_out_minutes", "distance_miles"],
+        ),
+    ]
+    for batch, feature_ids in batches:
+        store.ingest(
+            group, batch, entity_id="flight_number", feature_time="timestamp",
+            feature_ids=feature_ids, sequence="seq",
+        )
+    return present(store.read(store.group("flight")))
+
+
 def _pit_airport(spark: SparkSession, sf_dir: str, feature_time: str) -> DataFrame:
     rows = written_flights(spark, sf_dir)
     joined = as_of_join(
@@ -479,6 +508,38 @@ def stream_enrich_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(drain(scored, f"{base}/out", f"{base}/checkpoint"))
 
 
+def _requests(flights: DataFrame) -> DataFrame:
+    """Flights as requests for a score."""
+    return flights.select("event_id", *FLIGHT_WEIGHTS, F.col("origin_airport_id").alias("airport_id"))
+
+
+def _joined_model(spark: SparkSession, sf_dir: str) -> tuple[FeatureStore, PipelineModel, DataFrame]:
+    """A loaded store, the model fitted to its training set, and the flights."""
+    store, rows = loaded_store(spark, flights(spark, sf_dir))
+    train, _ = time_split(joined_rows(store, spine(rows), exact=("flight",)), "timestamp", SPLIT)
+    return store, fit_classifier(materialise(train, "train"), JOINED_FEATURES), rows
+
+
+_SCORED_COLUMNS = ["event_id", "average_departure_delay", "prediction", "score"]
+
+
+@query
+def score_from_store_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests enriched from the store's latest records and scored by the fitted model."""
+    store, model, rows = _joined_model(spark, sf_dir)
+    return present(score_from_store(_requests(rows), store, model).select(_SCORED_COLUMNS), 4)
+
+
+@query
+def stream_score_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for requests that arrive on a stream; each micro-batch reads the store."""
+    store, model, _ = _joined_model(spark, sf_dir)
+    arriving = _requests(clean_flights(raw_flights(stream_events(spark, sf_dir)), ["event_id"]))
+    base = scratch_path(spark, "stream")
+    score_stream(arriving, store, model, f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
+    return present(spark.read.parquet(f"{base}/out").select(_SCORED_COLUMNS), 4)
+
+
 # Training
 
 

@@ -22,10 +22,17 @@ def enrich_and_score(
 
 
 def score_from_store(
-    requests: DataFrame, store: FeatureStore, model: PipelineModel, entity: str = "airport_id"
+    requests: DataFrame,
+    store: FeatureStore,
+    model: PipelineModel,
+    entity: str = "airport_id",
+    *,
+    group: str = "airport",
+    columns: tuple[str, ...] = ("average_departure_delay",),
 ) -> DataFrame:
-    latest = store.read_latest(store.group("airport"))
-    return enrich_and_score(requests, latest, model, entity=entity)
+    """Requests with the current features of a group and their score; the history is not read."""
+    latest = store.read_latest(store.group(group), list(columns))
+    return enrich_and_score(requests, latest, model, entity=entity, columns=columns)
 
 
 def score_instances(

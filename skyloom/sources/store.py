@@ -1,22 +1,31 @@
-"""Feature tables: one folder per group, partitioned by the day of the feature time."""
+"""Feature tables: one folder per group, partitioned by the day of the feature time.
+
+Beside its history a group has a table of latest records, one row per entity, dealt over
+buckets by a hash of the entity. An ingest rewrites the buckets of the entities it touches, so
+reading current values never touches the history.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.functions.values import utc
-from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
+from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions, version_rank
 from skyloom.operators.windows import seconds
 from skyloom.schemas import Feature, FeatureGroup
 from skyloom.session import materialise
 
-_REGISTRY = "group string, position int, feature string, value_type string, description string, about string"
+_REGISTRY = (
+    "group string, position int, feature string, value_type string, description string, about string, buckets int"
+)
 _KEYS = ["entity_id", "feature_time"]
-_SEQUENCE, _DAY = "sequence", "feature_date"
+_VERSIONS, _DAY, _BUCKET = "versions", "feature_date", "bucket"
+#: The version of a value that came without a sequence number.
+_UNNUMBERED = -(1 << 63)
 
 
 class FeatureStore:
@@ -28,8 +37,13 @@ class FeatureStore:
 
     # Registry
 
-    def create(self, group: FeatureGroup) -> FeatureGroup:
-        """Declare a group: its features are saved, and its table exists from now on."""
+    def create(self, group: FeatureGroup, buckets: int = 16) -> FeatureGroup:
+        """Declare a group: its features are saved, and its tables exist from now on.
+
+        ``buckets`` is the number of folders that the latest records are dealt over; a group
+        that exists keeps the number it has.
+        """
+        buckets = self._declared_buckets(group.name) or buckets
         rows = [
             F.struct(
                 F.lit(group.name).alias("group"),
@@ -38,17 +52,24 @@ class FeatureStore:
                 F.lit(f.value_type).alias("value_type"),
                 F.lit(f.description).alias("description"),
                 F.lit(group.description).alias("about"),
+                F.lit(buckets).alias("buckets"),
             )
             for position, f in enumerate(group.features)
         ]
         registry = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
         registry.write.mode("overwrite").json(f"{self.path}/registry/{group.name}")
-        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._table_schema(group)]
-        self.spark.range(0).select(*empty).write.mode("append").partitionBy(_DAY).parquet(
-            self._table_path(group)
-        )
+        for path, day in ((self._table_path(group), _DAY), (self._latest_path(group), _BUCKET)):
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._schema(group, day)]
+            self.spark.range(0).select(*empty).write.mode("append").partitionBy(day).parquet(path)
         return group
 
+    def _declared_buckets(self, name: str) -> int | None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/registry/{name}")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return None
+        first = self.spark.read.schema(_REGISTRY).json(f"{self.path}/registry/{name}").select("buckets").first()
+        return first.buckets if first else None
+
     def group(self, name: str) -> FeatureGroup:
         """Read a declaration back; a handful of rows."""
         registry = self.spark.read.schema(_REGISTRY).json(f"{self.path}/registry/{name}")
@@ -64,15 +85,23 @@ class FeatureStore:
     def _table_path(self, group: FeatureGroup) -> str:
         return f"{self.path}/tables/{group.name}"
 
-    def _table_schema(self, group: FeatureGroup) -> T.StructType:
-        return (
-            T.StructType(list(group.schema.fields))
-            .add(_SEQUENCE, T.LongType())
-            .add(_DAY, T.DateType())
-        )
+    def _latest_path(self, group: FeatureGroup) -> str:
+        return f"{self.path}/latest/{group.name}"
+
+    def _schema(self, group: FeatureGroup, partition: str) -> T.StructType:
+        """Keys and features, the sequence number each feature was last written with, and the folder."""
+        versions = T.StructType([T.StructField(f, T.LongType()) for f in group.feature_names])
+        kind = T.DateType() if partition == _DAY else T.IntegerType()
+        return T.StructType(list(group.schema.fields)).add(_VERSIONS, versions).add(partition, kind)
 
     def _stored(self, group: FeatureGroup) -> DataFrame:
-        return self.spark.read.schema(self._table_schema(group)).parquet(self._table_path(group))
+        return self.spark.read.schema(self._schema(group, _DAY)).parquet(self._table_path(group))
+
+    def _latest(self, group: FeatureGroup) -> DataFrame:
+        return self.spark.read.schema(self._schema(group, _BUCKET)).parquet(self._latest_path(group))
+
+    def _bucket(self, group: FeatureGroup, entity: Column) -> Column:
+        return F.pmod(F.xxhash64(entity), F.lit(self._declared_buckets(group.name))).cast("int")
 
     def ingest(
         self,
@@ -86,15 +115,19 @@ class FeatureStore:
     ) -> None:
         """Merge records into a group; one record stays per entity and time.
 
-        With ``feature_ids`` only those features change, the others of a key keep their
-        stored values. On a double key the highest sequence wins, also against stored records;
-        without a sequence column each ingest counts as newer than the last and
+        Every feature of a key has a version of its own. With ``feature_ids`` only those features
+        are written, the others of a key keep their stored values. Of several values of one feature
+        that with the highest sequence wins, also against stored ones and in whatever order they
+        arrive; without a sequence column each ingest counts as newer than the last and
         must not hold a key twice with different values. Running the same ingest
         again changes nothing. Only the days present in ``source`` are read and
         rewritten, and each of them is replaced as a whole when the job commits;
         a lost executor repeats tasks that still see the old files. A day with
         many rows is written by many tasks, each sorted by entity, so that reads
         of named entities skip row groups.
+
+        The latest records of the entities in ``source`` are renewed in a second commit; if the
+        application dies in between, the same ingest run again completes it.
         """
         wanted = group.select(feature_ids)
         for name in wanted:
@@ -109,7 +142,7 @@ class FeatureStore:
             F.col(feature_time).alias("feature_time"),
             *[F.col(w) if w in wanted else F.lit(None).cast(group.schema[w].dataType).alias(w)
               for w in group.feature_names],
-            order.alias(_SEQUENCE),
+            F.coalesce(order, F.lit(_UNNUMBERED).cast("long")).alias("order"),
             F.date_from_unix_date(day.cast("int")).alias(_DAY),
         ).filter(F.col("entity_id").isNotNull() & F.col("feature_time").isNotNull())
         # read once: the days below are those of the rows written
@@ -120,11 +153,12 @@ class FeatureStore:
         if not days:
             return
         kept = self._stored(group).filter(F.col(_DAY).isin(days))
-        if not sequence:
-            incoming = incoming.withColumn(_SEQUENCE, F.lit(self._next_sequence(kept)))
-        if set(wanted) != set(group.feature_names):
-            incoming = self._with_stored(group, incoming, kept, wanted)
-        merged = newest_versions(kept.unionByName(incoming), [*_KEYS, _DAY], _SEQUENCE)
+        number = F.col("order") if sequence else F.lit(self._next_sequence(group, kept))
+        written = [
+            (number if w in wanted else F.lit(None)).cast("long").alias(w) for w in group.feature_names
+        ]
+        arriving = incoming.withColumn(_VERSIONS, F.struct(*written)).select(kept.columns)
+        merged = self._merged(group, kept.unionByName(arriving))
         (
             merged.hint("rebalance", _DAY)
             .sortWithinPartitions(_DAY, *_KEYS)
@@ -133,17 +167,51 @@ class FeatureStore:
             .partitionBy(_DAY)
             .parquet(self._table_path(group))
         )
+        self._renew_latest(group, incoming.select("entity_id").distinct(), days)
 
-    def _with_stored(self, group, incoming: DataFrame, kept: DataFrame, wanted: list[str]) -> DataFrame:
-        """Features that an ingest leaves out keep the value stored for the key."""
-        keys = [*_KEYS, _DAY]
-        others = [f for f in group.feature_names if f not in wanted]
-        known = newest_versions(kept, keys, _SEQUENCE).select(*keys, *others)
-        return incoming.drop(*others).join(known, keys, "left").select(incoming.columns)
+    def _merged(self, group: FeatureGroup, rows: DataFrame) -> DataFrame:
+        """One row per key, each feature at its highest version.
 
-    def _next_sequence(self, stored: DataFrame) -> int:
-        top = stored.agg(F.max(_SEQUENCE)).first()[0]
-        return 0 if top is None else top + 1
+        A feature that a row does not write has no version there. Values of one version are told
+        apart by a hash of their row. Each task reduces its rows before the shuffle.
+        """
+        names = group.feature_names
+        values, versions = [], []
+        for name in names:
+            version = F.col(_VERSIONS)[name]
+            rank = F.when(version.isNotNull(), version_rank(version, *names))
+            values.append(F.max_by(name, rank).alias(name))
+            versions.append(F.max(version).alias(f"_v_{name}"))
+        best = rows.groupBy(*_KEYS, _DAY).agg(*values, *versions)
+        versions = F.struct(*[F.col(f"_v_{name}").alias(name) for name in names])
+        return best.select(*_KEYS, *names, versions.alias(_VERSIONS), _DAY)
+
+    def _renew_latest(self, group: FeatureGroup, touched: DataFrame, days: list) -> None:
+        """L2: the newer of the stored latest record and those of the days just written, per touched entity."""
+        columns = [*_KEYS, *group.feature_names, _VERSIONS]
+        bucket = self._bucket(group, F.col("entity_id")).alias(_BUCKET)
+        # at most as many numbers as there are buckets: the folders replaced
+        buckets = [r[0] for r in touched.select(bucket).distinct().collect()]
+        stored = self._latest(group).filter(F.col(_BUCKET).isin(buckets))
+        here = self._stored(group).filter(F.col(_DAY).isin(days)).join(touched, "entity_id", "left_semi")
+        rows = stored.select(*columns, F.lit(0).alias("_fresh")).unionByName(
+            here.select(*columns, F.lit(1).alias("_fresh"))
+        )
+        (
+            _newest(rows)
+            .select(*columns, bucket)
+            .hint("rebalance", _BUCKET)
+            .sortWithinPartitions(_BUCKET, "entity_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(_BUCKET)
+            .parquet(self._latest_path(group))
+        )
+
+    def _next_sequence(self, group: FeatureGroup, stored: DataFrame) -> int:
+        highest = [F.max(F.col(_VERSIONS)[name]) for name in group.feature_names]
+        tops = [top for top in stored.agg(*highest).first() if top is not None and top >= 0]
+        return max(tops) + 1 if tops else 0
 
     def ingest_files(
         self,
@@ -191,10 +259,16 @@ class FeatureStore:
     ) -> DataFrame:
         """L2: the newest record of each entity, or of the entities named.
 
-        ``start`` leaves out entities without a record since then, and with them
-        the scan of older days.
+        Read from the table of latest records; of named entities only their buckets are listed.
+        ``start`` leaves out entities without a record since then.
         """
-        return latest_records(self.read(group, feature_ids, start), entity_ids)
+        latest = self._latest(group)
+        if entity_ids is not None:
+            buckets = [self._bucket(group, F.lit(e)) for e in entity_ids]
+            latest = latest.filter(F.col("entity_id").isin(entity_ids) & F.col(_BUCKET).isin(*buckets))
+        if start is not None:
+            latest = latest.filter(F.col("feature_time") >= F.lit(utc(start)))
+        return latest.select(*_KEYS, *group.select(feature_ids))
 
     def serve(
         self,
@@ -232,6 +306,14 @@ class FeatureStore:
         return spine
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row per entity: the newest, and of equal times the fresh one. Reduced before the shuffle."""
+    others = [c for c in rows.columns if c != "entity_id"]
+    best = F.max_by(F.struct(*others), F.struct("feature_time", "_fresh")).alias("_best")
+    found = rows.groupBy("entity_id").agg(best)
+    return found.select("entity_id", *[F.col("_best")[c].alias(c) for c in others])
+
+
 def latest_records(
     features: DataFrame,
     entity_ids: list[str] | None = None,
@@ -239,7 +321,7 @@ def latest_records(
     entity: str = "entity_id",
     time: str = "feature_time",
 ) -> DataFrame:
-    """L2: one row per entity; each task reduces its rows before the shuffle."""
+    """L2 without a store: one row per entity; each task reduces its rows before the shuffle."""
     if entity_ids is not None:
         features = features.filter(F.col(entity).isin(entity_ids))
     return newest_versions(features.filter(F.col(time).isNotNull()), [entity], time)

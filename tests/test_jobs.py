@@ -12,8 +12,7 @@ from skyloom.sources.events import raw_flights, raw_lines, scan_events
 from skyloom.sources.flights import scan_flights
 from skyloom.sources.store import FeatureStore
 from skyloom.sources.tables import write_csv, write_dataset, write_features
-from skyloom.streaming.features import drain
-from skyloom.streaming.scoring import scored_requests
+from skyloom.streaming.scoring import score_stream
 
 SF = "/root/testdata/sf0.001"
 SPLIT = "2024-01-20"
@@ -98,8 +97,10 @@ def test_stream_scores_equal_the_batch(spark, store, outputs):
     )
     arriving = spark.readStream.schema(FLIGHT_SCHEMA).parquet(outputs.flights)
     base = scratch_path(spark, "stream")
-    stream = scored_requests(arriving, store, model, "origin_airport_id")
-    got = drain(stream, f"{base}/out", f"{base}/checkpoint")
+    score_stream(
+        arriving, store, model, f"{base}/out", f"{base}/checkpoint", available_now=True, entity="origin_airport_id"
+    ).awaitTermination()
+    got = spark.read.parquet(f"{base}/out")
     batch = score_from_store(flights, store, model, "origin_airport_id")
     columns = ["flight_number", "average_departure_delay", "score", "prediction"]
     assert got.count() == batch.count() == flights.count()

@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +87,60 @@ def test_feature_subset_keeps_stored_features(store):
     ]
 
 
+def test_feature_subsets_out_of_order(store):
+    """Each feature keeps its own highest version, in whatever order subsets arrive."""
+    ingest(store, [("a", at(0), 1.0, "no", 5), ("b", at(0), 1.0, "no", 5)], feature_ids=["x"], sequence="seq")
+    ingest(store, [("a", at(0), 9.0, "y", 3)], feature_ids=["y"], sequence="seq")
+    assert content(store.read(GROUP)) == [("a", at(0), 1.0, "y"), ("b", at(0), 1.0, None)]
+    ingest(store, [("a", at(0), 2.0, "z", 4)], sequence="seq")
+    assert content(store.read(GROUP))[0] == ("a", at(0), 1.0, "z")
+    ingest(store, [("a", at(0), None, "z", 6)], feature_ids=["x"], sequence="seq")
+    assert content(store.read(GROUP))[0] == ("a", at(0), None, "z")
+    ingest(store, [("a", at(0), 7.0, "w", None)], sequence="seq")
+    assert content(store.read(GROUP))[0] == ("a", at(0), None, "z")
+
+
+def test_an_unnumbered_ingest_follows_numbered_ones(store):
+    ingest(store, [("a", at(0), 1.0, "1", 5)], sequence="seq")
+    ingest(store, [("a", at(0), 2.0, "2", 0)], feature_ids=["x"])
+    assert content(store.read(GROUP)) == [("a", at(0), 2.0, "1")]
+
+
+def test_a_late_older_record_does_not_become_the_latest(store):
+    ingest(store, [("a", at(30), 1.0, "new", 1), ("b", at(2), 5.0, "b", 1)], sequence="seq")
+    ingest(store, [("a", at(1), 9.0, "old", 9)], sequence="seq")
+    assert content(store.read_latest(GROUP)) == [("a", at(30), 1.0, "new"), ("b", at(2), 5.0, "b")]
+    ingest(store, [("a", at(30), 7.0, "corrected", 2)], feature_ids=["x"], sequence="seq")
+    assert content(store.read_latest(GROUP, None, ["a"])) == [("a", at(30), 7.0, "new")]
+    assert content(store.read_latest(GROUP, None, None, at(10))) == [("a", at(30), 7.0, "new")]
+
+
+def test_latest_against_the_history(spark, tmp_path):
+    made = FeatureStore(spark, str(tmp_path / "few"))
+    made.create(GROUP, buckets=3)
+    assert made.create(GROUP) == GROUP and made._declared_buckets("g") == 3
+    draw = random.Random(2)
+    for step in range(5):
+        rows = [
+            (draw.choice("abcdefgh"), at(draw.randrange(100)), float(draw.randrange(9)), draw.choice("pqr"), draw.randrange(50))
+            for _ in range(25)
+        ]
+        ingest(made, rows, feature_ids=draw.choice([None, ["x"], ["y"]]), sequence="seq")
+        newest = {}
+        for row in content(made.read(GROUP)):
+            newest[row[0]] = max(newest.get(row[0], row), row, key=lambda r: r[1])
+        assert content(made.read_latest(GROUP)) == sorted(newest.values())
+
+
+def test_latest_reads_neither_the_history_nor_other_buckets(store):
+    ingest(store, [(f"e{k}", at(k), float(k), "", 0) for k in range(40)])
+    named = store.read_latest(GROUP, ["x"], ["e7", "none"])
+    text = named._jdf.queryExecution().executedPlan().toString()
+    assert "/tables/" not in text and text.count("FileScan") == 1
+    assert "bucket" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert content(named) == [("e7", at(7), 7.0)]
+
+
 def test_wrong_type_is_refused(store):
     df = source(store.spark, [("a", at(0), 1.0, "1", 0)]).withColumn("x", F.lit("text"))
     with pytest.raises(TypeError):

@@ -10,10 +10,12 @@ from skyloom.operators.windows import sliding_mean
 from skyloom.session import materialise, scratch_path
 from skyloom.sources.tables import write_csv
 from skyloom.plans.features import FeatureOutputs, airport_delays
-from skyloom.schemas import AIRPORT_SCHEMA, RAW_COLUMNS
+from skyloom.schemas import AIRPORT_GROUP, AIRPORT_SCHEMA, RAW_COLUMNS
 from skyloom.sources.flights import scan_flights
 from skyloom.streaming.features import drain, streaming_airport_delays
 from skyloom.streaming.jobs import start_feature_stream
+from skyloom.sources.store import FeatureStore
+from skyloom.streaming.scoring import score_stream
 from skyloom.streaming.sources import stream_raw
 
 START = datetime(2024, 1, 1)
@@ -139,3 +141,38 @@ def test_drained_job_writes_all_outputs(spark, files, tmp_path):
     assert [r.reason for r in rejects] == ["no_distance"]
     closed, left = (windows(spark.read.schema(AIRPORT_SCHEMA).parquet(p)) for p in (outputs.airports, outputs.open_airports))
     assert left and not closed.keys() & left.keys() and closed | left == windows(airport_delays(flights))
+
+
+def test_features_that_change_between_two_batches(spark, files, tmp_path):
+    """Each micro-batch is scored with the features that are current when it runs."""
+    store = FeatureStore(spark, str(tmp_path / "store"))
+    store.create(AIRPORT_GROUP)
+    batch = clean_flights(spark.read.option("header", True).csv(f"{files}/*"))
+    airports = batch.select(F.col("origin_airport_id").alias("id")).distinct()
+    seen = {}
+
+    def ingest(hour, value):
+        rows = airports.withColumns(
+            {"timestamp": F.lit(START + timedelta(hours=hour)).cast("timestamp"), "average_departure_delay": F.lit(value)}
+        )
+        store.ingest(AIRPORT_GROUP, rows, entity_id="id", feature_time="timestamp")
+
+    ingest(5, 10.0)
+    labelled = batch.withColumns(
+        {"target": F.col("departure_delay_minutes") > 30, "average_departure_delay": F.rand(1)}
+    )
+    model = fit_classifier(labelled, ["departure_delay_minutes", "average_departure_delay"])
+    base = str(tmp_path / "run")
+    for step, (hour, value) in enumerate([(None, None), (9, 20.0), (7, 30.0)]):
+        if hour:
+            ingest(hour, value)  # the last one is late and older
+        part = spark.read.schema(", ".join(f"{c} string" for c in RAW_COLUMNS)).option("header", True).csv(f"{files}/{step}")
+        write_csv(part, f"{base}/in/{step}")
+        arriving = clean_flights(stream_raw(spark, f"{base}/in/*"))
+        score_stream(
+            arriving, store, model, f"{base}/out", f"{base}/checkpoint", available_now=True, entity="origin_airport_id"
+        ).awaitTermination()
+        scored = spark.read.parquet(f"{base}/out")
+        assert scored.count() == 200 * (step + 1)
+        seen[step] = {r[0] for r in scored.filter(F.col("batch") == step).select("average_departure_delay").collect()}
+    assert seen == {0: {10.0}, 1: {20.0}, 2: {20.0}}
