@@ -36,9 +36,11 @@ def parser() -> argparse.ArgumentParser:
     )
     job(
         "stream-features",
-        "the same for files as they arrive, until stopped",
+        "the same for files as they arrive, until stopped; --available-now yes drains what is there",
         *["input", "output-airports", "output-flights", "output-read-instances", "output-rejects", "checkpoint"],
-        **{"output-read-instances": "", "output-rejects": ""},
+        *["output-open-airports", "available-now", "delay", "max-files"],
+        **{"output-read-instances": "", "output-rejects": "", "output-open-airports": ""},
+        **{"available-now": "no", "delay": "1 hour", "max-files": 0},
     )
     job("setup-store", "declare the feature groups", "store")
     job("ingest", "load feature files into the store", "store", "flights", "airports")
@@ -78,10 +80,16 @@ def main(argv: list[str] | None = None) -> None:
         run_feature_job(spark, args.input, outputs)
     elif args.job == "stream-features":
         outputs = FeatureOutputs(
-            args.output_airports, args.output_flights, args.output_read_instances, args.output_rejects or None
-        )
-        start_feature_stream(spark, args.input, outputs, args.checkpoint)
-        spark.streams.awaitAnyTermination()
+            args.output_airports, args.output_flights, args.output_read_instances,
+            args.output_rejects or None, args.output_open_airports or None,
+        )
+        drained = args.available_now == "yes"
+        start_feature_stream(
+            spark, args.input, outputs, args.checkpoint,
+            delay=args.delay, max_files=int(args.max_files) or None, available_now=drained,
+        )
+        if not drained:
+            spark.streams.awaitAnyTermination()
     elif args.job == "setup-store":
         store = FeatureStore(spark, args.store)
         store.create(FLIGHT_GROUP)

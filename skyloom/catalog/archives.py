@@ -21,7 +21,9 @@ def pack_lines(lines: DataFrame) -> DataFrame:
         import zipfile
 
         import pandas as pd
+        from pyspark import TaskContext
 
+        part = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             for (year, month), rows in batch.groupby(["year", "month"]):
                 packed = io.BytesIO()
@@ -29,7 +31,7 @@ def pack_lines(lines: DataFrame) -> DataFrame:
                     archive.writestr("flights.csv", "\n".join([header, *rows["line"], ""]))
                 yield pd.DataFrame(
                     {
-                        "path": [f"batch{number}_{year}_{month}.zip"],
+                        "path": [f"part{part}-{number}_{year}_{month}.zip"],
                         "content": [packed.getvalue()],
                     }
                 )
@@ -41,3 +43,22 @@ def pack_lines(lines: DataFrame) -> DataFrame:
         "line",
     )
     return dated.mapInPandas(pack, "path string, content binary")
+
+
+def write_archives(archives: DataFrame, folder: str) -> None:
+    """Each archive as a file of its own in a folder that tasks reach by a path or URI."""
+
+    def write(batches):
+        from pyarrow import fs
+
+        uri = folder if ":" in folder else f"file://{folder}"
+        uri = "file:///" + uri[5:].lstrip("/") if uri.startswith("file:") else uri
+        system, base = fs.FileSystem.from_uri(uri)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                with system.open_output_stream(f"{base}/{path}") as out:
+                    out.write(content)
+            yield batch[["path"]]
+
+    archives.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()

@@ -98,13 +98,18 @@ FROM (VALUES ('False', false), ('True', true)) a(actual, flag) LEFT JOIN scored
 GROUP BY a.actual"""
 
 
-def _roc(thinned: bool) -> str:
+_CORNERS = """
+SELECT round(fpr, 4) AS fpr, round(max(tpr), 4) AS tpr, round(min(threshold), 4) AS threshold
+FROM points GROUP BY points.fpr"""
+
+
+def _curve(source: str, thinned: bool, digits: int, after: str = "SELECT * FROM points") -> str:
+    """The ROC curve of a CTE with ``target`` and ``score``, as a CTE ``points`` and what comes after it."""
     keep = "rank = 1 OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg"
     return f"""
-WITH {_SCORED},
 steps AS (
   SELECT score, count(*) FILTER (target) AS pos, count(*) FILTER (NOT target) AS neg
-  FROM scored GROUP BY score
+  FROM {source} GROUP BY score
 ),
 curve AS (
   SELECT score, pos, neg,
@@ -112,13 +117,20 @@ curve AS (
          row_number() OVER w AS rank, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
          sum(pos) OVER () AS all_pos, sum(neg) OVER () AS all_neg
   FROM steps WINDOW w AS (ORDER BY score DESC)
-)
-SELECT round(CAST(fps AS DOUBLE) / CAST(all_neg AS DOUBLE), 9) AS fpr,
-       round(CAST(tps AS DOUBLE) / CAST(all_pos AS DOUBLE), 9) AS tpr,
-       round(score, 9) AS threshold
+),
+points AS (
+SELECT round(CAST(fps AS DOUBLE) / CAST(all_neg AS DOUBLE), {digits}) AS fpr,
+       round(CAST(tps AS DOUBLE) / CAST(all_pos AS DOUBLE), {digits}) AS tpr,
+       round(score, {digits}) AS threshold
 FROM curve {"WHERE " + keep if thinned else ""}
 UNION ALL
-SELECT 0.0::DOUBLE, 0.0::DOUBLE, round(max(score) + 1, 9) FROM steps"""
+SELECT 0.0::DOUBLE, 0.0::DOUBLE, round(max(score) + 1, {digits}) FROM steps
+)
+{after}"""
+
+
+def _roc(thinned: bool) -> str:
+    return f"WITH {_SCORED},{_curve('scored', thinned, 9)}"
 
 
 def _newton(source: str, names: list[str], steps: int = 16) -> str:
@@ -302,11 +314,6 @@ FROM probability"""
 
 _AIRPORT_QUERY = f"WITH {_AIRPORTS} {_AIRPORT_SELECT} FROM airports"
 
-# The windows that a watermark of one hour has closed at the end of the input.
-_CLOSED_WINDOWS = f"""
-{_AIRPORT_QUERY}
-WHERE timestamp + INTERVAL 4 HOUR <= (SELECT max(timestamp) - INTERVAL 1 HOUR FROM flights)"""
-
 _DATASET_COLUMNS = """
   round("DepDelay", 8) AS "DepDelay", round("TaxiOut", 8) AS "TaxiOut",
   round("Distance", 8) AS "Distance", target"""
@@ -351,13 +358,16 @@ WITH {_FLIGHTS}
 {_FLIGHT_SELECT}, CAST(year(timestamp) AS INTEGER) AS file_year,
        CAST(month(timestamp) AS INTEGER) AS file_month
 FROM flights""",
+    "flights_of_a_range": f"""
+WITH {_FLIGHTS} {_FLIGHT_SELECT} FROM flights
+WHERE timestamp >= TIMESTAMP '2024-01-09 17:30:00' AND timestamp < TIMESTAMP '2024-01-12'""",
     "text_scan": f"WITH {_FLIGHTS} {_FLIGHT_SELECT} FROM flights",
     "feature_roundtrip": f"WITH {_FLIGHTS} {_FLIGHT_SELECT} FROM flights",
     "feature_job": _AIRPORT_QUERY,
     "airport_sliding_mean_panes": _AIRPORT_QUERY,
     "airport_sliding_mean": _AIRPORT_QUERY,
-    "airport_sliding_stream": _CLOSED_WINDOWS,
-    "feature_stream_job": _CLOSED_WINDOWS,
+    "airport_sliding_stream": _AIRPORT_QUERY,
+    "feature_stream_job": _AIRPORT_QUERY,
     "feature_ingest_dedup": f"""
 WITH {_FLIGHTS},
 ingested AS (
@@ -436,6 +446,15 @@ SELECT event_id, round(departure_delay_minutes, 8) AS departure_delay_minutes,
        round(average_departure_delay, 8) AS average_departure_delay,
        target,
        CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN 'train' ELSE 'test' END AS part
+FROM joined""",
+    "training_set_from_files": f"""
+WITH {_SERVED}
+SELECT round(departure_delay_minutes, 8) AS departure_delay_minutes,
+       round(taxi_out_minutes, 8) AS taxi_out_minutes,
+       round(distance_miles, 8) AS distance_miles,
+       round(average_departure_delay, 8) AS average_departure_delay,
+       target,
+       CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN 'train' ELSE 'test' END AS part
 FROM joined""",
     "time_split_counts": f"""
 WITH {_FLIGHTS}
@@ -499,6 +518,20 @@ test AS (SELECT * FROM joined WHERE timestamp >= TIMESTAMP '{SPLIT}'),
 {_newton("train", _JOINED_NAMES)},
 {_fit_scored(_JOINED_NAMES, "test")}
 {_CONFUSION}""",
+    "train_and_evaluate_roc": f"""
+WITH {_SERVED},
+train AS (SELECT * FROM joined WHERE timestamp < TIMESTAMP '{SPLIT}'),
+test AS (SELECT * FROM joined WHERE timestamp >= TIMESTAMP '{SPLIT}'),
+{_newton("train", _JOINED_NAMES)},
+probability AS (
+  SELECT target, 1 / (1 + exp(-({_margin(_JOINED_NAMES, "r")}))) AS score FROM test r, fit, scale, middle
+),
+{_curve("probability", thinned=True, digits=16, after=_CORNERS)}""",
+    "fitted_scores": f"""
+WITH {_RAW_FIT}
+SELECT event_id, target, {_margin(_RAW_NAMES, "r")} > 0 AS prediction,
+       round(1 / (1 + exp(-({_margin(_RAW_NAMES, "r")}))), 5) AS score
+FROM test r, fit, scale, middle""",
     "stream_score": f"""
 WITH {_RAW_FIT},{_fit_scored(_RAW_NAMES, "rows")}
 SELECT event_id, target, prediction FROM scored""",

@@ -6,12 +6,13 @@ Times leave as ``timestamp_ntz`` and doubles are rounded, to compare with SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.catalog.archives import pack_lines
+from skyloom.catalog.archives import pack_lines, write_archives
 from skyloom.operators.asof import as_of_join, exact_time_join, newest_versions
 from skyloom.operators.clean import (
     SOURCE_COLUMNS,
@@ -43,12 +44,12 @@ from skyloom.plans.scoring import score_from_store
 from skyloom.plans.training import joined_rows, run_raw_training, train_and_evaluate
 from skyloom.schemas import AIRPORT_GROUP, AIRPORT_SCHEMA, FLIGHT_GROUP, FLIGHT_SCHEMA, RAW_SCHEMA
 from skyloom.session import materialise, scratch_path, use_utc
-from skyloom.sources.archives import extract_lines
+from skyloom.sources.archives import extract_lines, scan_archives, write_extracted
 from skyloom.sources.events import raw_flights, raw_lines, scan_events
-from skyloom.sources.flights import decode_lines, scan_flights, scan_lines
+from skyloom.sources.flights import decode_lines, scan_flights, scan_lines, scan_read_instances
 from skyloom.sources.store import FeatureStore, latest_records
-from skyloom.sources.tables import write_csv, write_features
-from skyloom.streaming.features import drain, streaming_airport_delays
+from skyloom.sources.tables import read_metrics, scan_features, write_csv, write_features
+from skyloom.streaming.features import drain, drain_airport_delays
 from skyloom.streaming.jobs import start_feature_stream
 from skyloom.streaming.scoring import score_stream
 from skyloom.streaming.sources import stream_events
@@ -173,9 +174,12 @@ def read_instances_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines packed into zip archives by month, unpacked again and cleaned."""
-    archives = pack_lines(raw_lines(scan_events(use_utc(spark), sf_dir)))
-    rows = decode_lines(extract_lines(archives), SOURCE_COLUMNS)
+    """Lines packed into zip archives by month, unpacked into text files by month and cleaned."""
+    base = scratch_path(use_utc(spark), "zip")
+    write_archives(pack_lines(raw_lines(scan_events(spark, sf_dir))), f"{base}/zip")
+    write_extracted(extract_lines(scan_archives(spark, f"{base}/zip")), f"{base}/text")
+    lines = spark.read.text(f"{base}/text").withColumnRenamed("value", "line")
+    rows = decode_lines(lines, SOURCE_COLUMNS)
     return present(clean_flights(rows, ["file_year", "file_month"]))
 
 
@@ -186,7 +190,7 @@ def feature_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_lines(scan_events(spark, sf_dir)).select("line").write.text(f"{base}/raw")
     outputs = FeatureOutputs(f"{base}/airports", f"{base}/flights", f"{base}/read_instances")
     run_feature_job(spark, f"{base}/raw", outputs)
-    return present(spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports))
+    return present(scan_features(spark, outputs.airports, AIRPORT_SCHEMA))
 
 
 @query
@@ -198,6 +202,15 @@ def feature_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(spark.read.schema(FLIGHT_SCHEMA).csv(f"{base}/csv", header=True))
 
 
+@query
+def flights_of_a_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights written by day; a range of times read back from its days."""
+    base = scratch_path(use_utc(spark), "by-day")
+    write_features(flights(spark, sf_dir), f"{base}/flights", FLIGHT_SCHEMA, by_day="timestamp")
+    start, end = datetime(2024, 1, 9, 17, 30), datetime(2024, 1, 12)
+    return present(scan_flights(spark, f"{base}/flights", start=start, end=end))
+
+
 @query
 def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files read line by line, header lines included, then decoded and cleaned."""
@@ -232,20 +245,23 @@ def airport_sliding_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def airport_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows the watermark has closed at the end of the input."""
-    rows = clean_flights(raw_flights(stream_events(use_utc(spark), sf_dir)))
+    """All windows of a drained stream: those the watermark has closed and those open at its end."""
+    arriving = clean_flights(raw_flights(stream_events(use_utc(spark), sf_dir)))
     base = scratch_path(spark, "stream")
-    return present(drain(streaming_airport_delays(rows), f"{base}/out", f"{base}/checkpoint"))
+    return present(
+        drain_airport_delays(arriving, flights(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
+    )
 
 
 @query
 def feature_stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature job on text files that arrive on a stream: its airport output."""
+    """The feature job on text files that arrive on a stream, drained: its airport output."""
     base = scratch_path(use_utc(spark), "feature-stream")
     raw_lines(scan_events(spark, sf_dir)).select("line").write.text(f"{base}/raw")
-    outputs = FeatureOutputs(f"{base}/airports", f"{base}/flights", f"{base}/read_instances")
+    names = ("airports", "flights", "read_instances", "rejects", "open_airports")
+    outputs = FeatureOutputs(*[f"{base}/{name}" for name in names])
     start_feature_stream(spark, f"{base}/raw", outputs, f"{base}/checkpoint", available_now=True)
-    return present(spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports))
+    return present(spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports, outputs.open_airports))
 
 
 # Feature tables and point-in-time joins
@@ -394,6 +410,16 @@ def training_set_part2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(split_parts(joined, "timestamp", SPLIT))
 
 
+@query
+def training_set_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from request rows written as text by the feature job and read back."""
+    store, rows = loaded_store(spark, flights(spark, sf_dir))
+    path = scratch_path(spark, "spine")
+    write_csv(read_instances(rows), path)
+    joined = joined_rows(store, scan_read_instances(spark, path), exact=("flight",))
+    return present(split_parts(joined, "timestamp", SPLIT))
+
+
 @query
 def time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flights(spark, sf_dir).filter(~F.col("is_cancelled"))
@@ -575,6 +601,29 @@ def train_and_evaluate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_and_evaluate(joined, "timestamp", JOINED_FEATURES, split=SPLIT).confusion
 
 
+@query
+def train_and_evaluate_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job on the feature store: the corners of its ROC curve as recorded.
+
+    Scores near one tie or not by the last bit of a double, so points between corners are left out.
+    """
+    store, rows = loaded_store(spark, flights(spark, sf_dir))
+    joined = joined_rows(store, spine(rows), exact=("flight",))
+    base = scratch_path(spark, "run")
+    train_and_evaluate(joined, "timestamp", JOINED_FEATURES, split=SPLIT, output=base)
+    roc, _ = read_metrics(spark, f"{base}/metrics")
+    corners = roc.groupBy("fpr").agg(F.max("tpr").alias("tpr"), F.min("threshold").alias("threshold"))
+    return present(corners, 4)
+
+
+@query
+def fitted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows of the raw files with the probability that the fitted model gives them."""
+    train, test = _raw_train(spark, sf_dir)
+    model = fit_classifier(materialise(train, "train"), RAW_FEATURES)
+    return present(score(test, model).select("event_id", "target", "prediction", "score"), 5)
+
+
 @query
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted model applied to a stream of raw rows."""

@@ -54,13 +54,18 @@ def _sides(df: DataFrame, time: str, split: str) -> tuple[Column, Column]:
     return F.col(time) < at, F.col(time) >= at
 
 
-def time_split(df: DataFrame, time: str, split: str = SPLIT_DATE) -> tuple[DataFrame, DataFrame]:
+def time_split(
+    df: DataFrame, time: str, split: str = SPLIT_DATE, day: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows before the split and rows from it on; the time column goes.
 
-    A row without a time is in neither part. Two filters on one plan, so a
-    partitioned source reads each part's own folders.
+    A row without a time is in neither part. Two filters on one plan; where ``day`` names the
+    folder column of a source partitioned by the day of ``time``, each part reads its own folders.
     """
     train, test = _sides(df, time, split)
+    if day:
+        at = F.lit(split).cast("date")
+        train, test = train & (F.col(day) <= at), test & (F.col(day) >= at)
     return df.filter(train).drop(time), df.filter(test).drop(time)
 
 

@@ -41,6 +41,7 @@ def roc_curve(
     *,
     drop_intermediate: bool = True,
     buckets: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """A5: ``fpr, tpr, threshold``, one point per distinct score and the point (0, 0).
 
@@ -49,7 +50,8 @@ def roc_curve(
     out the points between two equal steps, which lie on a straight line; the
     first and the last score always stay. A rate whose class has no rows is NaN.
     ``buckets`` is the number of parts the ordering is cut into, by default chosen
-    from the number of distinct scores.
+    from the number of distinct scores. ``path`` is where the counts of each score are kept, by
+    default a scratch table.
     """
     actual = F.col(label).cast("boolean")
     counts = materialise(
@@ -57,6 +59,7 @@ def roc_curve(
             F.count_if(actual).alias("pos"), F.count_if(~actual).alias("neg")
         ),
         "roc",
+        path,
     )
     ends = counts.agg(
         F.count("*").alias("scores"),

@@ -78,7 +78,6 @@ class _Search:
     low: float | None = None
     high: float | None = None
     found: dict[int, float] = field(default_factory=dict)
-    stuck: bool = False
 
     @property
     def open_ranks(self) -> list[int]:
@@ -123,17 +122,26 @@ def _narrow(values: DataFrame, searches: dict[str, _Search], accuracy: int) -> N
     for c in names:
         s, (low, high) = searches[c], ends[c]
         lt, at_low, mid, at_high = (n[f"{c}|{part}"] for part in ("lt", "low", "mid", "high"))
-        relative = [r - s.below for r in s.open_ranks]
-        if min(relative) < lt or max(relative) >= lt + at_low + mid + at_high:
-            s.stuck = True
-            continue
-        for r in s.open_ranks:
-            if r - s.below < lt + at_low:
-                s.found[r] = low
-            elif r - s.below >= lt + at_low + mid:
-                s.found[r] = high
-        s.low, s.high = low, high
-        s.below, s.inside = s.below + lt + at_low, mid
+        # The ends split the interval into values below, at low, between, at high and above. Both
+        # ends are values of the column and two wanted ranks are neighbours, so the ranks
+        # that are not at an end lie in one part: between them, or outside on a miss.
+        parts = [
+            (lt, s.low, low, False),
+            (at_low, low, low, True),
+            (mid, low, high, False),
+            (at_high, high, high, True),
+            (s.inside - lt - at_low - mid - at_high, high, s.high, False),
+        ]
+        first, interval = s.below, None
+        for size, start, stop, is_end in parts:
+            within = [r for r in s.open_ranks if first <= r < first + size]
+            if within and is_end:
+                s.found.update(dict.fromkeys(within, start))
+            elif within:
+                interval = (first, size, start, stop)
+            first += size
+        if interval:
+            s.below, s.inside, s.low, s.high = interval
 
 
 def column_medians(
@@ -142,8 +150,9 @@ def column_medians(
     """A2: the exact median of each column; NaN counts as missing.
 
     An even count takes the midpoint of the two middle values. Approximate
-    quantiles bracket the middle, exact counts place the bracket, and only the
-    values inside it are ranked, so no task holds a column. Columns without a
+    quantiles bracket the middle and exact counts place the bracket; where the quantiles
+    miss, the counts tell on which side the middle is and the search goes on there. Only
+    when ``limit`` values are left are they ranked, so no task holds a column. Columns without a
     value are left out of the result.
     """
     values = df.select(*[nan_to_null(F.col(c)).alias(c) for c in columns])
@@ -155,7 +164,7 @@ def column_medians(
     }
 
     def wide(s: _Search) -> bool:
-        return bool(s.open_ranks) and s.inside > limit and not s.stuck
+        return bool(s.open_ranks) and s.inside > limit
 
     while large := {c: s for c, s in searches.items() if wide(s)}:
         _narrow(values, large, accuracy)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from datetime import datetime
 
@@ -68,32 +69,22 @@ def sliding_mean(
 ) -> DataFrame:
     """Mean of ``value`` per key and sliding window: ``timestamp, key, name``.
 
-    Rows are first summed into panes one slide long, which each task does before
+    Rows are first summed into panes, which each task does before
     the shuffle, so the shuffle carries one row per key, pane and task however
     many rows a key has. Each pane is then copied to the windows that cover it;
-    copying rows instead would multiply the input by size / slide. Windows are
-    aligned to the epoch and half open.
+    copying rows instead would multiply the input by size / slide. A pane is as long as the
+    greatest span that divides both size and slide, so that it lies in a window as a whole or not
+    at all. Windows are aligned to the epoch and half open.
 
     ``feature_time="window_start"`` stamps a window with its start, before its
     rows are known; ``"window_end"`` is free of that leak. ``start`` and ``end``
     limit the window starts and prune the scan.
     """
-    size_s, slide_s = seconds(size), seconds(slide)
-    if size_s % slide_s:
-        return sliding_mean_rows(
-            df, key=key, time=time, value=value, name=name, size=size, slide=slide,
-            feature_time=feature_time, start=start, end=end,
-        )
-    panes = (
-        _in_range(df, time, size, start, end)
-        .groupBy(F.col(key), F.window(time, slide).alias("pane"))
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_count"))
+    panes = pane_sums(
+        _in_range(df, time, size, start, end), key=key, time=time, value=value, size=size, slide=slide
     )
-    starts = [
-        _shift(F.col("pane.start"), -step * slide_s) for step in range(size_s // slide_s)
-    ]
     windows = (
-        panes.select(key, F.explode(F.array(*starts)).alias("_start"), "_sum", "_count")
+        panes.select(key, F.explode(covering_starts(F.col("pane.start"), size, slide)).alias("_start"), "_sum", "_count")
         .filter(_starts_in_range(F.col("_start"), start, end))
         .groupBy(key, "_start")
         .agg((F.sum("_sum") / F.nullif(F.sum("_count"), F.lit(0))).alias(name))
@@ -103,6 +94,27 @@ def sliding_mean(
     )
 
 
+def pane_sums(
+    df: DataFrame, *, key: str, time: str, value: str, size: str = "4 hours", slide: str = "1 hour"
+) -> DataFrame:
+    """Sum and count per key and pane: ``key, pane, _sum, _count``; valid on a stream."""
+    width = math.gcd(seconds(size), seconds(slide))
+    return df.groupBy(F.col(key), F.window(time, f"{width} seconds").alias("pane")).agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_count")
+    )
+
+
+def covering_starts(pane: Column, size: str, slide: str) -> Column:
+    """The starts of all windows that cover the pane with this start, latest first."""
+    size_us, slide_us = seconds(size) * 1_000_000, seconds(slide) * 1_000_000
+    at = F.unix_micros(pane)
+    latest = F.floor(at / F.lit(slide_us)) * F.lit(slide_us)
+    steps = [F.timestamp_micros(latest - F.lit(k * slide_us)) for k in range(-(-size_us // slide_us))]
+    if size_us % slide_us == 0:
+        return F.array(*steps)
+    return F.filter(F.array(*steps), lambda start: F.unix_micros(start) > at - F.lit(size_us))
+
+
 def sliding_mean_rows(
     df: DataFrame,
     *,
@@ -116,13 +128,18 @@ def sliding_mean_rows(
     start: datetime | None = None,
     end: datetime | None = None,
 ) -> DataFrame:
-    """The same by the built-in sliding window: any slide, and valid on a stream."""
+    """The same by the built-in sliding window, which copies every row."""
     windows = (
         _in_range(df, time, size, start, end)
         .groupBy(F.window(time, size, slide).alias("w"), F.col(key))
         .agg(F.avg(value).alias(name))
         .filter(_starts_in_range(F.col("w.start"), start, end))
     )
+    return stamped_windows(windows, key, name, size, feature_time)
+
+
+def stamped_windows(windows: DataFrame, key: str, name: str, size: str, feature_time: str) -> DataFrame:
+    """``timestamp, key, name`` of windows in a column ``w``."""
     return windows.select(
         _feature_time(F.col("w.start"), size, feature_time).alias("timestamp"), key, name
     )

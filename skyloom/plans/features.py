@@ -47,12 +47,13 @@ def run_feature_job(
 
     The text is parsed once: the flights are written, and the two other outputs
     read back only the columns they need. Nothing is held in memory between them.
+    Flights and airport features are partitioned by day.
     """
     raw = scan_raw(spark, source)
-    write_features(clean_flights(raw), outputs.flights, FLIGHT_SCHEMA, fmt, "Flight")
+    write_features(clean_flights(raw), outputs.flights, FLIGHT_SCHEMA, fmt, "Flight", "timestamp")
     flights = scan_flights(spark, outputs.flights, fmt)
     write_features(
-        airport_delays(flights, **options), outputs.airports, AIRPORT_SCHEMA, fmt, "Airport"
+        airport_delays(flights, **options), outputs.airports, AIRPORT_SCHEMA, fmt, "Airport", "timestamp"
     )
     write_csv(read_instances(flights), outputs.read_instances)
     if outputs.rejects:

@@ -21,7 +21,7 @@ from skyloom.operators.model import fit_classifier, load_model, save_model, scor
 from skyloom.session import materialise, scratch_path
 from skyloom.sources.flights import scan_by_header, scan_read_instances
 from skyloom.sources.store import FeatureStore
-from skyloom.sources.tables import write_metrics, write_parts
+from skyloom.sources.tables import read_metrics, write_metrics, write_parts
 
 
 @dataclass(frozen=True)
@@ -55,18 +55,20 @@ def evaluate(
     order: list[str] | None = None,
     limit: int | None = None,
     buckets: int | None = None,
+    output: str | None = None,
 ) -> Evaluation:
     """M5 to M7, A4, A5 on the test set, or on its first ``limit`` rows in ``order``.
 
-    The scored rows are written once and read by both metrics.
+    The scored rows are written once, below ``output`` if named, and read by both metrics.
     """
     rows = first_rows(test, order or [], limit)
-    scored = materialise(score(rows, model), "scored")
+    base = output or scratch_path(test.sparkSession, "evaluation")
+    scored = materialise(score(rows, model), "scored", f"{base}/scored")
     return Evaluation(
         model,
         scored,
         confusion_matrix(scored, label),
-        roc_curve(scored, label, buckets=buckets),
+        roc_curve(scored, label, buckets=buckets, path=f"{base}/roc_counts"),
     )
 
 
@@ -87,9 +89,10 @@ def train_and_evaluate(
     base = output or scratch_path(rows.sparkSession, "training")
     train, test = write_parts(split_parts(rows, time, split), f"{base}/datasets")
     save_model(fit_classifier(train, features), f"{base}/model")
-    result = evaluate(load_model(f"{base}/model"), test, **options)
+    result = evaluate(load_model(f"{base}/model"), test, output=base, **options)
     write_metrics(result.roc, result.confusion, f"{base}/metrics")
-    return result
+    roc, confusion = read_metrics(rows.sparkSession, f"{base}/metrics")
+    return Evaluation(result.model, result.scored, confusion, roc)
 
 
 def run_raw_training(

@@ -9,24 +9,39 @@ from pyspark.sql import functions as F
 ARCHIVE_NAME = r"(?:^|[_/])(\d+)_(\d+)\.[^/]*$"
 
 
-def scan_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The zip files below ``path`` as rows of ``path`` and ``content``."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .load(path)
-        .select("path", "content")
-    )
+def scan_archives(spark: SparkSession, path: str, with_content: bool = False) -> DataFrame:
+    """The zip files below ``path``: their paths and lengths, and on request their ``content``.
+
+    Without the content nothing but the listing is read; tasks open the paths. The content,
+    2 GB an archive at most, is for file systems that tasks cannot open.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    return files.select("path", "length", *(["content"] if with_content else []))
+
+
+def _open(path: str):
+    """A file that can be read anywhere in it, without loading it."""
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        path = "file:///" + rest.lstrip("/")
+    elif scheme in ("s3a", "s3n"):
+        path = f"s3:{rest}"
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
 
 
 def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
     """Unzip on the executors: ``line`` with ``file_year`` and ``file_month`` of the archive name.
 
     A zip stream can only be read from its start, so one archive is the unit of
-    work; its lines leave the task in batches and are never held as a whole. An
+    work. The task opens the path, or the ``content`` column if there is one, inflates block by
+    block and lets lines leave in batches; neither the archive nor its text is held as a whole. An
     archive without exactly one CSV file stops the job.
     """
     batch_lines = 20_000
+    held = "content" in archives.columns
 
     def unzip(batches):
         import io
@@ -37,9 +52,10 @@ def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
 
         for batch in batches:
             for path, year, month, content in zip(
-                batch["path"], batch["file_year"], batch["file_month"], batch["content"]
+                batch["path"], batch["file_year"], batch["file_month"], batch["content" if held else "path"]
             ):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                source = io.BytesIO(content) if held else _open(path)
+                with source, zipfile.ZipFile(source) as archive:
                     members = [
                         n for n in archive.namelist() if n.endswith(".csv") and "/" not in n
                     ]
@@ -56,7 +72,7 @@ def extract_lines(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
         "path",
         F.regexp_extract("path", ARCHIVE_NAME, 1).try_cast("int").alias("file_year"),
         F.regexp_extract("path", ARCHIVE_NAME, 2).try_cast("int").alias("file_month"),
-        "content",
+        *(["content"] if held else []),
     )
     checked = named.withColumn(
         "file_year",

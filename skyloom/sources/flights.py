@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 from operator import and_
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.schemas import FLIGHT_SCHEMA, RAW_SCHEMA, READ_INSTANCE_SCHEMA
+from skyloom.sources.tables import scan_features
 
 # A quote inside a quoted field is doubled, not escaped.
 CSV_DIALECT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -69,6 +71,12 @@ def scan_read_instances(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_flights(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Typed flights written earlier."""
-    return spark.read.format(fmt).schema(FLIGHT_SCHEMA).load(path)
+def scan_flights(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """Typed flights written earlier, all or those in ``[start, end)``."""
+    return scan_features(spark, path, FLIGHT_SCHEMA, fmt, start, end)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skyloom.operators.windows import seconds, sliding_mean, sliding_mean_rows
+from skyloom.operators.windows import pane_sums, seconds, sliding_mean, stamped_windows
 
 
 def streaming_airport_delays(
@@ -21,24 +21,34 @@ def streaming_airport_delays(
 ) -> DataFrame:
     """Windowed means behind a watermark.
 
-    In append mode a window is written once, when the watermark passes its end;
-    windows still open at the end of the input are not written. Each task sums
-    its rows per airport and window before the shuffle.
+    Two aggregations follow each other: rows are summed into panes, by each task before the
+    shuffle, and a pane is added to its windows once the watermark has passed it. State
+    and shuffles so hold panes, not copies of rows. In append mode a window is written
+    once, when the watermark passes its end; windows still open at the end of the input are
+    not written (see ``drain_airport_delays``).
     """
-    return sliding_mean_rows(
+    panes = pane_sums(
         flights.withWatermark("timestamp", delay),
         key="origin_airport_id",
         time="timestamp",
         value="departure_delay_minutes",
-        name="average_departure_delay",
         size=size,
         slide=slide,
-        feature_time=feature_time,
     )
+    whole = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), "origin_airport_id").agg(
+        (F.sum("_sum") / F.nullif(F.sum("_count"), F.lit(0))).alias("average_departure_delay")
+    )
+    return stamped_windows(whole, "origin_airport_id", "average_departure_delay", size, feature_time)
 
 
 def open_airport_delays(
-    flights: DataFrame, closed: DataFrame, *, delay: str = "1 hour", size: str = "4 hours"
+    flights: DataFrame,
+    closed: DataFrame,
+    *,
+    delay: str = "1 hour",
+    size: str = "4 hours",
+    slide: str = "1 hour",
+    feature_time: str = "window_start",
 ) -> DataFrame:
     """The windows that a drained stream of ``flights`` has left open, with the rows they have so far.
 
@@ -56,11 +66,26 @@ def open_airport_delays(
         value="departure_delay_minutes",
         name="average_departure_delay",
         size=size,
+        slide=slide,
+        feature_time=feature_time,
+        # a window that starts on this moment has ended when the watermark passes, and is written
         start=watermark.astimezone(timezone.utc) - timedelta(seconds=seconds(size)),
     )
     return found.join(closed, ["timestamp", "origin_airport_id"], "left_anti").select(*closed.columns)
 
 
+def drain_airport_delays(
+    arriving: DataFrame, flights: DataFrame, path: str, checkpoint: str, **options
+) -> DataFrame:
+    """All windows of a bounded input: those that the stream closes and those open at its end.
+
+    ``arriving`` is the stream and ``flights`` the same rows as a table.
+    """
+    delay = options.pop("delay", "1 hour")
+    closed = drain(streaming_airport_delays(arriving, delay=delay, **options), path, checkpoint)
+    return closed.unionByName(open_airport_delays(flights, closed, delay=delay, **options))
+
+
 def write_stream(
     df: DataFrame,
     path: str,

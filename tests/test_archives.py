@@ -74,3 +74,22 @@ def test_extracted_months_feed_the_feature_job(spark, tmp_path):
     assert december.count() == 1
     plan = december._jdf.queryExecution().executedPlan().toString()
     assert "file_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_archives_are_opened_by_path(spark, tmp_path):
+    make_zip(tmp_path / "f_2021_12.zip", {"f.csv": "1\n2"})
+    lines = extract_lines(scan_archives(spark, str(tmp_path)))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan[plan.index("binaryFile") :].split("ReadSchema")[1]
+    held = extract_lines(scan_archives(spark, str(tmp_path), with_content=True))
+    assert sorted(lines.collect()) == sorted(held.collect()) and lines.count() == 2
+
+
+def test_packed_archives_as_files(spark, tmp_path):
+    from skyloom.catalog.archives import pack_lines, write_archives
+
+    rows = [",".join(["x"] * 5 + [f"2021-{m:02}-01"]) for m in (1, 2, 2)]
+    lines = spark.createDataFrame([(r,) for r in rows], "line string")
+    write_archives(pack_lines(lines), f"{tmp_path}/zip")
+    back = extract_lines(scan_archives(spark, f"{tmp_path}/zip")).where("NOT line LIKE 'Year%'")
+    assert sorted((r.file_month, r.line) for r in back.collect()) == sorted((int(r[-5:-3]), r) for r in rows)

@@ -15,6 +15,13 @@ def test_all_jobs_in_order(spark):
         ["features", "--input", f"{base}/raw", "--output-airports", f"{base}/airports",
          "--output-flights", f"{base}/flights", "--output-read-instances", f"{base}/spine"]
     )
+    names = ["airports", "flights", "read-instances", "rejects", "open-airports"]
+    main(
+        ["stream-features", "--input", f"{base}/raw", "--checkpoint", f"{base}/c", "--available-now", "yes",
+         *[a for n in names for a in (f"--output-{n}", f"{base}/stream/{n}")]]
+    )
+    streamed = spark.read.parquet(f"{base}/stream/airports", f"{base}/stream/open-airports")
+    assert streamed.count() == spark.read.parquet(f"{base}/airports").count()
     main(["setup-store", "--store", f"{base}/store"])
     main(
         ["ingest", "--store", f"{base}/store", "--flights", f"{base}/flights",

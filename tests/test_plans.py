@@ -139,3 +139,29 @@ def test_scans_read_only_the_columns_needed(spark, tmp_path):
         ]
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_a_range_of_flights_is_read_from_its_days(spark, tmp_path):
+    from datetime import datetime
+
+    rows = flights(spark, SF)
+    write_features(rows, str(tmp_path / "flights"), FLIGHT_SCHEMA, by_day="timestamp")
+    part = scan_flights(spark, str(tmp_path / "flights"), start=datetime(2024, 1, 5, 6), end=datetime(2024, 1, 7))
+    text = plan(part)
+    days = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "event_date" in days and ">= 2024-01-05" in days and "<= 2024-01-07" in days
+    expected = rows.filter("timestamp >= timestamp '2024-01-05 06:00:00' AND timestamp < timestamp '2024-01-07'")
+    assert part.columns == FLIGHT_SCHEMA.names and part.count() == expected.count() > 0
+    assert scan_flights(spark, str(tmp_path / "flights")).count() == rows.count()
+
+
+def test_the_split_date_reaches_the_partitions(spark, tmp_path):
+    from skyloom.operators.dataset import time_split
+
+    write_features(flights(spark, SF), str(tmp_path / "flights"), FLIGHT_SCHEMA, by_day="timestamp")
+    by_day = spark.read.parquet(str(tmp_path / "flights"))
+    whole = time_split(by_day, "timestamp", "2024-01-20")
+    parts = time_split(by_day, "timestamp", "2024-01-20", day="event_date")
+    for pruned, all_days in zip(parts, whole, strict=True):
+        assert "event_date" in plan(pruned).split("PartitionFilters: [")[1].split("]")[0]
+        assert pruned.count() == all_days.count() > 0

@@ -90,3 +90,30 @@ def test_bucket_count_is_bounded():
     assert bucket_count(0) == bucket_count(5_000) == 64
     assert bucket_count(10**9) == 5_000
     assert bucket_count(10**15) == MOST_BUCKETS
+
+
+@pytest.mark.parametrize("ends", [(0.0, 0.05), (0.9, 1.0), (0.97, 0.99), (0.3, 0.3)])
+def test_median_where_the_quantiles_miss(spark, monkeypatch, ends):
+    """The bracket is forced to a wrong place for some rounds, with more values left than may be ranked."""
+    from pyspark.sql import functions as F
+    from skyloom.operators import ranking
+
+    rng = random.Random(8)
+    values = [float(rng.choice([rng.randrange(40), rng.random() * 100])) for _ in range(1501)]
+    df = spark.createDataFrame([(v, v if i % 2 else None) for i, v in enumerate(values)], "a double, b double")
+    real, rounds = ranking._bracket, []
+
+    def wrong(searches, accuracy):
+        rounds.append({c: s.inside for c, s in searches.items()})
+        if len(rounds) > 4:
+            return real(searches, accuracy)
+        return [
+            F.percentile_approx(F.when(s.holds(F.col(c)), F.col(c)), list(ends), accuracy).alias(c)
+            for c, s in searches.items()
+        ]
+
+    monkeypatch.setattr(ranking, "_bracket", wrong)
+    got = column_medians(df, ["a", "b"], limit=20)
+    assert got == {"a": np.median(values), "b": np.median(values[1::2])}
+    sizes = [r["a"] for r in rounds if "a" in r]
+    assert len(sizes) > 1 and sizes == sorted(sizes, reverse=True)

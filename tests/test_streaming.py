@@ -12,7 +12,7 @@ from skyloom.sources.tables import write_csv
 from skyloom.plans.features import FeatureOutputs, airport_delays
 from skyloom.schemas import AIRPORT_GROUP, AIRPORT_SCHEMA, RAW_COLUMNS
 from skyloom.sources.flights import scan_flights
-from skyloom.streaming.features import drain, streaming_airport_delays
+from skyloom.streaming.features import drain, drain_airport_delays, streaming_airport_delays
 from skyloom.streaming.jobs import start_feature_stream
 from skyloom.sources.store import FeatureStore
 from skyloom.streaming.scoring import score_stream
@@ -77,6 +77,24 @@ def test_closed_windows_equal_the_batch(spark, files, max_files):
     assert closed and got == closed
 
 
+@pytest.mark.parametrize("options", [{}, {"delay": "3 hours", "size": "5 hours", "slide": "2 hours", "feature_time": "window_end"}])
+def test_drained_windows_equal_the_batch(spark, files, options):
+    base = scratch_path(spark, "stream")
+    batch = clean_flights(spark.read.option("header", True).csv(f"{files}/*"))
+    arriving = clean_flights(stream_raw(spark, f"{files}/*", 1))
+    got = drain_airport_delays(arriving, batch, f"{base}/out", f"{base}/checkpoint", **options)
+    whole = airport_delays(batch, **{k: v for k, v in options.items() if k != "delay"})
+    assert got.count() == whole.count() and windows(got) == windows(whole)
+
+
+def test_the_stream_copies_panes_not_rows(spark, files):
+    flights = clean_flights(stream_raw(spark, f"{files}/*"))
+    plan = streaming_airport_delays(flights)._jdf.queryExecution().analyzed().toString()
+    above = plan[: plan.index("Expand")] if "Expand" in plan else plan
+    below = plan[len(above) :]
+    assert above.count("Aggregate") == 1 and below.count("Aggregate") == 1 and below.count("Expand") <= 1
+
+
 def test_restart_does_not_repeat(spark, files):
     flights = clean_flights(stream_raw(spark, f"{files}/*"))
     base = scratch_path(spark, "stream")

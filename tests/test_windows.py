@@ -83,11 +83,27 @@ def test_range_reaches_the_scan(spark, rows, tmp_path):
     assert "GreaterThanOrEqual(t" in pushed and "LessThan(t" in pushed
 
 
-def test_slide_that_does_not_divide_the_size(spark, rows):
-    df = frame(spark, rows)
-    got = collected(sliding_mean(df, **ARGS, size="5 hours", slide="2 hours"))
-    rowwise = collected(sliding_mean_rows(df, **ARGS, size="5 hours", slide="2 hours"))
-    assert got.keys() == rowwise.keys()
+@pytest.mark.parametrize(
+    ("size", "slide"), [("5 hours", "2 hours"), ("4 hours", "90 minutes"), ("1 hour", "4 hours"), ("7 minutes", "3 minutes"), ("90 minutes", "4 hours")]
+)
+def test_slide_that_does_not_divide_the_size(spark, rows, size, slide):
+    rows = rows[:300] + [("a", datetime(1969, 12, 31, 22, 10), 5.0), ("a", datetime(1970, 1, 1), 7.0)]
+    size_s, slide_s = seconds(size), seconds(slide)
+    groups = defaultdict(list)
+    for k, t, v in rows:
+        at = int((t - datetime(1970, 1, 1)).total_seconds())
+        start = at // slide_s * slide_s
+        while start > at - size_s:
+            groups[k, datetime(1970, 1, 1) + timedelta(seconds=start)].append(v)
+            start -= slide_s
+    found = sliding_mean(frame(spark, rows), **ARGS, size=size, slide=slide)
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    got = collected(found)
+    assert got.keys() == groups.keys()
+    assert all(abs(got[k] - sum(v) / len(v)) < 1e-9 for k, v in groups.items())
+    if slide_s <= size_s:  # the built-in window takes no gaps
+        rowwise = collected(sliding_mean_rows(frame(spark, rows), **ARGS, size=size, slide=slide))
+        assert got.keys() == rowwise.keys()
 
 
 def test_each_row_is_in_size_over_slide_windows(spark, rows):
