@@ -25,7 +25,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.encoding import VOCABULARY, UnitEncoder, byte_characters, text_slices, worker_encoder
+from skyloom.llm.encoding import LONGEST_KEPT, VOCABULARY, UnitEncoder, byte_characters, text_slices
+from skyloom.llm.memory import encoding_task, shared_encoder
 
 SHORT = 64
 _NONE = np.iinfo(np.int32).max
@@ -70,7 +71,10 @@ class RankArrayEncoder(UnitEncoder):
 
     def __init__(self, path: str = VOCABULARY, **options):
         super().__init__(path, **options)
+        # two generations, as for the library's encoder
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocabulary = spec["model"]["vocab"]
@@ -92,13 +96,17 @@ class RankArrayEncoder(UnitEncoder):
         self.decimal = [str(k) for k in range(size)]
 
     def unit_ids(self, units):
-        new = set(units).difference(self.known)
-        if len(self.known) + len(new) > self.kept_units:
-            self.known.clear()
-            new = set(units)
-        if new:
-            self.known.update(self.fill(new))
-        return list(map(self.known.__getitem__, units))
+        known, older = self.known, self.older
+        new = [u for u in set(units) if u not in known and u not in older]
+        found = self.fill(new) if new else {}
+        ids = [known.get(u) or older.get(u) or found.get(u, b"") for u in units]
+        for unit, its_ids in zip(units, ids, strict=True):
+            if unit not in known and len(unit) <= LONGEST_KEPT:
+                known[unit] = its_ids
+                self.held += len(unit) + len(its_ids) + 200
+        if self.held > self.kept_bytes // 2:
+            self.older, self.known, self.held = known, {}, 0
+        return ids
 
     def fill(self, units) -> dict[str, bytes]:
         """Ids of units: the merges of all their new words are worked on at once."""
@@ -207,10 +215,11 @@ class RankArrayEncoder(UnitEncoder):
 def encode_documents(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """(doc_id, ids, decoded): every whole text's ids and what they decode to."""
 
+    @encoding_task
     def run(batches: Iterator):
         import pyarrow as pa
 
-        encoder = worker_encoder(RankArrayEncoder, path)
+        encoder = shared_encoder(RankArrayEncoder, path)
         for batch in batches:
             for first, texts in text_slices(batch):
                 ids = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
@@ -234,10 +243,11 @@ def encoding_digests(docs: DataFrame, path: str = VOCABULARY, with_ids: bool = F
     the task unless asked for.
     """
 
+    @encoding_task
     def run(batches: Iterator):
         import pyarrow as pa
 
-        encoder = worker_encoder(RankArrayEncoder, path)
+        encoder = shared_encoder(RankArrayEncoder, path)
         decimal = encoder.decimal.__getitem__
         for batch in batches:
             for first, texts in text_slices(batch):

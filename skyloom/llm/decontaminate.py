@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.simhash import text_key
+from skyloom.llm.memory import plain_task
 from skyloom.session import materialise
 
 WINDOW = 10
@@ -98,6 +99,7 @@ def build_index(source: DataFrame, vocabulary) -> DataFrame:
     match, they only take up a position.
     """
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -216,6 +218,7 @@ def search(index: DataFrame, phrases, reach: int | None = None) -> DataFrame:
     order, and its span is that one word.
     """
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 

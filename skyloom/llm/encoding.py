@@ -7,7 +7,8 @@ Cutting: every piece the pattern finds starts with at most one space, so where n
 white space stands before a space, each space starts a unit. A text in which some
 white space precedes a space is cut by the pattern itself. A line feed without white
 space on either side is a piece, so texts whose line feeds are all such are cut there too,
-and words at the ends of lines are not units of their own.
+and words at the ends of lines are not units of their own. Marks and digits of ASCII are cut off
+the words before them for the same reason.
 """
 
 from __future__ import annotations
@@ -21,12 +22,17 @@ import numpy as np
 import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Units kept by one Python worker, twice over at most, about 250 bytes each.
-KEPT_UNITS = 450_000
+#: Bytes that the units kept by one task may take, and characters of the longest unit kept.
+KEPT_BYTES = 96 << 20
+LONGEST_KEPT = 256
+#: Bytes of an entry beside its text and ids: two objects and their places in a dictionary.
+_ENTRY = 200
 #: White space other than spaces and line feeds.
 _RARE = list(map(chr, (9, *range(11, 14), *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
              0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _STOPS = tuple(".,;:!?")
+#: A Latin letter before a mark or digit of ASCII: a piece ends between them, whatever comes next.
+_WORD_END = "([A-Za-zÀ-ÖØ-öø-ɏ])([!-@\\[-`{-~])"
 
 
 def byte_characters() -> list[str]:
@@ -42,11 +48,11 @@ def byte_characters() -> list[str]:
 class UnitEncoder:
     """Texts to ids; a subclass finds the ids of units."""
 
-    def __init__(self, path: str = VOCABULARY, kept_units: int = KEPT_UNITS):
+    def __init__(self, path: str = VOCABULARY, kept_bytes: int = KEPT_BYTES):
         import regex
 
         self.path = path
-        self.kept_units = kept_units
+        self.kept_bytes = kept_bytes
         self.special: dict[str, int] = {}
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
 
@@ -97,7 +103,8 @@ class UnitEncoder:
             elif text:
                 encoded[row] = b"".join(self.unit_ids(self.units(text)))
         if rows:
-            units = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+            whole = pa.array(marked, pa.large_string())
+            units = pc.split_pattern(pc.replace_substring_regex(whole, _WORD_END, "\\1\0\\2"), "\0")
             numbered = units.values.dictionary_encode()
             found = self.unit_ids(numbered.dictionary.to_pylist())
             number = numbered.indices.to_numpy()
@@ -119,43 +126,46 @@ class UnitEncoder:
 
 
 class Known(dict):
-    """What is known of a key, made by ``make`` where it is asked for the first time.
+    """What is known of a text, made by ``make`` where it is asked for the first time.
 
-    Two generations of at most about ``most`` keys: keys asked for again outlive the older.
+    Two generations that take about half of ``most`` bytes each: texts asked for again outlive
+    the older. Texts of more than ``LONGEST_KEPT`` characters are made anew each time.
     """
 
     def __init__(self, make, most: int):
         super().__init__()
         self.make = make
         self.most = most
+        self.held = 0
         self.older: dict = {}
 
     def __missing__(self, key):
         made = self.older.get(key)
         if made is None:
             made = self.make(key)
-        self[key] = made
+        if len(key) <= LONGEST_KEPT:
+            self[key] = made
+            self.held += _ENTRY + len(key) + len(made)
+            if self.held > self.most // 2:
+                self.older = self.copy()
+                self.clear()
+                self.held = 0
         return made
 
-    def age(self) -> None:
-        if len(self) > self.most:
-            self.older = self.copy()
-            self.clear()
-
 
 class LibraryEncoder(UnitEncoder):
     """Units are encoded by the tokenizers library; special tokens in a text are special."""
 
-    def __init__(self, path: str = VOCABULARY, kept_units: int = KEPT_UNITS):
+    def __init__(self, path: str = VOCABULARY, kept_bytes: int = KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__(path, kept_units)
+        super().__init__(path, kept_bytes)
         tokenizer = Tokenizer.from_file(path)
         self.special = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items()}
         self.tokenize = tokenizer.model.tokenize
         self.shown = dict(enumerate(byte_characters()))
-        self.known = Known(self._unit, kept_units)
+        self.known = Known(self._unit, kept_bytes)
 
     def _piece(self, piece: str) -> bytes:
         if piece.isascii() and piece.isprintable():
@@ -173,9 +183,7 @@ class LibraryEncoder(UnitEncoder):
         return b"".join(map(self.known.__getitem__, pieces))
 
     def unit_ids(self, units):
-        found = list(map(self.known.__getitem__, units))
-        self.known.age()
-        return found
+        return list(map(self.known.__getitem__, units))
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -186,16 +194,6 @@ def little_endian(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-_workers: dict[tuple, UnitEncoder] = {}
-
-
-def worker_encoder(kind: type[UnitEncoder], path: str) -> UnitEncoder:
-    """The encoder of this Python process; it lives as long as the worker is reused."""
-    if (kind, path) not in _workers:
-        _workers[kind, path] = kind(path)
-    return _workers[kind, path]
-
-
 def text_slices(batch, name: str = "text", rows: int = 2048, size: int = 4 << 20):
     """(first row, texts) of runs of a batch's rows with about ``size`` characters at most."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -17,7 +17,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.encoding import VOCABULARY, LibraryEncoder, text_slices, worker_encoder
+from skyloom.llm.encoding import VOCABULARY, LibraryEncoder, text_slices
+from skyloom.llm.memory import encoding_task, shared_encoder
 from skyloom.session import materialise
 
 #: Lengths in a block.
@@ -27,10 +28,11 @@ BLOCK = 1024
 def length_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """(length, n_docs): documents by their number of ids."""
 
+    @encoding_task
     def run(batches: Iterator):
         import pyarrow as pa
 
-        encoder = worker_encoder(LibraryEncoder, path)
+        encoder = shared_encoder(LibraryEncoder, path)
         counts: Counter[int] = Counter()
         for batch in batches:
             for _, texts in text_slices(batch):

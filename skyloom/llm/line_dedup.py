@@ -84,7 +84,8 @@ def keep_bitmaps(
     stays. Lines of a word that is not listed stay.
     """
     lines = materialise(line_hashes(docs, least_chars), "lines")
-    repeated = repeated_hashes(lines, least_docs, salts)
+    # a table, so that the join deals out both sides anew and can split a hash of many lines
+    repeated = materialise(repeated_hashes(lines, least_docs, salts), "repeated")
     gone = lines.join(repeated, ["k1", "k2"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     bit = F.expr(f"shiftleft(1L, line % {WORD})")
     place = F.expr(f"line div {WORD}").cast("int")

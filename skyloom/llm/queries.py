@@ -22,10 +22,11 @@ from skyloom.llm import (
     toxicity,
     url_filter,
 )
+from skyloom.session import bound_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bound_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

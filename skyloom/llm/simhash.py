@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from skyloom.llm.components import connected_components
 from skyloom.llm.encoding import text_slices
+from skyloom.llm.memory import plain_task
 from skyloom.session import materialise
 
 SHINGLE = 3
@@ -83,6 +84,7 @@ def text_key(text: Column) -> Column:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_key, fp): SimHash of the word shingles, as a signed long."""
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
         from xxhash import xxh64_intdigest
@@ -141,6 +143,7 @@ def _signed(value: int) -> int:
 
 
 def _tree_links(radius: int):
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -237,11 +240,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of each group; ids that are null come last."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("name")
     kept = groups.groupBy("component").agg(first).select("first.doc_id", "first.text_key")
-    kept = materialise(kept.select(name.alias("_name"), F.col("text_key").alias("_key")), "kept")
-    rows = docs.withColumns({"_name": name, "_key": text_key(F.col("text"))})
+    kept = materialise(kept.select(name, F.col("text_key").alias("key")), "kept")
+    # the row in one column, so that no name of its own can clash
+    rows = docs.select(whole_row(docs), name, text_key(F.col("text")).alias("key"))
     # the first of equal rows
-    order = Window.partitionBy("_name", "_key").orderBy(F.lit(0))
-    rows = rows.join(kept, ["_name", "_key"]).withColumn("_n", F.row_number().over(order))
-    return rows.where("_n = 1").select(docs.columns)
+    order = Window.partitionBy("name", "key").orderBy(F.lit(0))
+    rows = rows.join(kept, ["name", "key"]).withColumn("n", F.row_number().over(order))
+    return rows.where("n = 1").select("row.*")
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a frame as one, ``row``."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")

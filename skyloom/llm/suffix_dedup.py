@@ -42,7 +42,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from skyloom.llm.memory import plain_task
 from skyloom.session import materialise
 
 LENGTH = 200
@@ -152,6 +154,7 @@ def _texts(batch, name: str) -> Iterator[tuple[int, list[bytes]]]:
 def repeated_anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(anchor): hashes of anchors that occur more than once."""
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -183,6 +186,7 @@ def bit_map(hashes: DataFrame) -> tuple[np.ndarray, int]:
     bits = min(max(16, (wanted - 1).bit_length()), MOST_BITS)
     size = 1 << 15
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -229,6 +233,7 @@ def segments(docs: DataFrame, mapped, length: int = LENGTH) -> DataFrame:
     anchor's own hash it names a segment by 128 bits.
     """
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -262,6 +267,7 @@ def segments(docs: DataFrame, mapped, length: int = LENGTH) -> DataFrame:
 def segment_bytes(docs: DataFrame, mapped, length: int = LENGTH) -> DataFrame:
     """(anchor, id, lead, content): the segments at the places in the map, and a few others."""
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -293,6 +299,7 @@ def segment_bytes(docs: DataFrame, mapped, length: int = LENGTH) -> DataFrame:
 
 
 def _place_hashes(places: DataFrame) -> DataFrame:
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -348,6 +355,7 @@ def insert_columns(group: np.ndarray, lead: np.ndarray, contents: list[bytes], l
 
 
 def _sorted_collections(length: int):
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -390,6 +398,7 @@ def _narrowed(level: int, length: int):
     """Segments of a large collection, cut by ranges of string starts."""
     span = [43, 11, 3, 1][min(level, 3)]
 
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
         import xxhash
@@ -511,6 +520,7 @@ def repeated_stretches(docs: DataFrame, length: int = LENGTH, largest: int = LAR
 
 
 def _cut(rest: list[str], with_text: bool):
+    @plain_task
     def run(batches: Iterator):
         import pyarrow as pa
 
@@ -570,6 +580,9 @@ def remove_repeats(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(*keep, text.alias("_text"), F.unhex(F.md5(text.cast("binary"))).alias("_doc"))
     rows = rows.join(found, "_doc", "left").select(*keep, "_text", "_stretches")
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.select(*keep).dtypes)
-    schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return rows.mapInArrow(_cut(keep, with_text), schema + (", kept_text string" if with_text else ""))
+    schema = T.StructType(list(rows.select(*keep).schema.fields))
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(name, T.LongType())
+    for name in ("kept_sha256", "kept_text") if with_text else ("kept_sha256",):
+        schema = schema.add(name, T.StringType())
+    return rows.mapInArrow(_cut(keep, with_text), schema)

@@ -25,8 +25,8 @@ from skyloom.llm.encoding import (
     LibraryEncoder,
     little_endian,
     text_slices,
-    worker_encoder,
 )
+from skyloom.llm.memory import encoding_task, shared_encoder
 from skyloom.session import scratch_path
 
 END_ID = 2
@@ -36,7 +36,8 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
     "orc.stripe.size": str(16 << 20),
-    "compression": "zstd",
+    # runs of integers are packed to the width they need; compressing them again saves little
+    "compression": "none",
 }
 _SCHEMA = "part int, doc_id long, offset long, n_tokens int, ids array<int>"
 
@@ -46,12 +47,13 @@ def write_tokens(
 ) -> None:
     """Write (part, doc_id, offset, n_tokens, ids) of all documents below ``target``."""
 
+    @encoding_task
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = worker_encoder(LibraryEncoder, path)
+        encoder = shared_encoder(LibraryEncoder, path)
         end = b"" if end_id is None else little_endian([end_id])
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -100,6 +102,7 @@ def read_documents(spark: SparkSession, target: str, doc_ids: list[int]) -> Data
 def token_index(spark: SparkSession, target: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
 
+    @encoding_task
     def sums(batches: Iterator):
         import numpy as np
         import pyarrow as pa

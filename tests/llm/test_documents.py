@@ -164,9 +164,9 @@ def test_encoders_against_the_library(reference):
     ]
     texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(25))) for _ in range(3000)]
     texts += ["a" * 20_000, "ab" * 5_000 + "é" * 3_000, " " * 3_000]
-    own = bpe.RankArrayEncoder(kept_units=500)
+    own = bpe.RankArrayEncoder(kept_bytes=50_000)
     lists = [reference.encode(t, add_special_tokens=False).ids for t in texts]
-    for encoder in (own, LibraryEncoder(kept_units=200)):
+    for encoder in (own, LibraryEncoder(kept_bytes=20_000)):
         found = [x for k in range(0, len(texts), 100) for x in encoder.encode(texts[k : k + 100])]
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == lists
     for ids in [*lists[:200], *[[draw.randrange(50_257) for _ in range(9)] for _ in range(200)]]:

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyloom.llm import embedding_dedup, html_extract, toxicity, url_filter
@@ -119,6 +120,57 @@ def test_toxicity_on_held_out_rows(toxic):
     )
 
 
+def test_training_rows_are_bounded(spark, toxic):
+    """One labelled id with many rows, some of them equal, takes no more than its share."""
+    _, labels = toxic
+    rows = [(1, f"text {k % 300}", 0.0) for k in range(500)] + [(4, "same", 0.0)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    assert toxicity._labelled(docs, labels, 5).count() == 5
+    whole = toxicity._labelled(docs, labels, 10_000)
+    assert sorted(r.text for r in whole.collect()) == sorted({t for _, t, _ in rows})
+
+
+def _log_chance(bags, weights, bias):
+    """Log of the chance that neither the leak nor a sentence is toxic, term by term."""
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    clean = 1 - sigmoid(bias)
+    for bag in bags:
+        clean *= (1 - sigmoid(bias + sum(weights[f] for f in bag))) / (1 - sigmoid(bias))
+    return np.log(clean)
+
+
+def test_likelihood_and_score_against_brute_force():
+    draw = np.random.default_rng(5)
+    documents = [
+        (int(draw.random() < 0.4), [sorted(set(draw.integers(0, 6, 3).tolist())) for _ in range(draw.integers(0, 4))])
+        for _ in range(40)
+    ]
+    theta = np.append(draw.random(6) * 3, -2.0)
+    value, gradient = toxicity.NoisyOr.log_likelihood(theta, documents)
+    share = np.mean([d[0] for d in documents])
+    expected = 0.0
+    for label, bags in documents:
+        none = _log_chance(bags, theta[:-1], theta[-1])
+        if label:
+            expected += 0.5 / share * min(1.0, 4 * share) * np.log1p(-np.exp(none)) / len(documents)
+        else:
+            expected += 0.5 / (1 - share) * none / len(documents)
+    assert value == pytest.approx(expected, rel=1e-9)
+    for k in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[k] = 1e-6
+        up, down = (toxicity.NoisyOr.log_likelihood(theta + s * step, documents)[0] for s in (1, -1))
+        assert gradient[k] == pytest.approx((up - down) / 2e-6, rel=1e-4, abs=1e-8)
+    number = {f"w{c}": k for k, c in enumerate("abcdef")}
+    model = toxicity.ToxicityModel(number, toxicity.NoisyOr(theta[:-1], -7.0), 0.1)
+    for text in ("", None, "wb wc. quiet words! WF", "wa\nwa\nwa . nothing", "x. " * 5000, "wd. " * 5000):
+        bags = [{number[w] for w in s.lower().split() if w in number} for s in (text or "").replace("!", ".").replace("\n", ".").split(".")]
+        expected = -np.expm1(_log_chance([b for b in bags if b], theta[:-1], -7.0))
+        assert model.score(text, {}) == pytest.approx(expected, rel=1e-9)
+
+
 def test_toxicity_without_labels(toxic):
     docs, labels = toxic
     assert {r.score for r in toxicity.judge(docs, labels.where("false")).collect()} == {0.0}
@@ -252,6 +304,13 @@ def test_clean_rows_with_a_contaminated_id_stay(spark, tmp_path):
     assert {tuple(r) for r in kept} == {(None, "clean"), (None, None), (7, "clean"), (9, "z")} and len(kept) == 4
 
 
+#: Names that operators use for columns of their own, and names that need quoting.
+CLASHING = [
+    "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "_text", "_doc", "_stretches", "_name", "_key", "_n",
+    "_score", "_hit", "hit", "hit_key", "name", "key", "n", "row", "id", "doc", "component", "text_key", "score", "a b.c`d",
+]
+
+
 def test_pipeline_stages(spark, tmp_path):
     draw = random.Random(6)
     words = [f"w{k}" for k in range(500)]
@@ -267,6 +326,7 @@ def test_pipeline_stages(spark, tmp_path):
     folder = tmp_path / "sf"
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], kind)
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.coalesce("doc_id", F.lit(-1))) for name in CLASHING})
     docs.write.parquet(f"{folder}/documents.parquet")
     labels = [(k, int(k % 10 == 0)) for k in range(200)]
     spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
@@ -279,6 +339,9 @@ def test_pipeline_stages(spark, tmp_path):
         result.write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
         kept.append({r.doc_id: r for r in docs.collect()})
+        for row in kept[-1].values() if k < 4 else ():
+            own = -1 if row.doc_id is None else row.doc_id
+            assert [row[name] for name in CLASHING] == [f"{name}{own}" for name in CLASHING]
     assert set(kept[0]) == {d for d, _ in rows if not (d is not None and d < 200 and d % 10 == 0)}
     assert set(kept[1]) == set(kept[0]) - {300, 301, 306}
     assert set(kept[2]) == set(kept[1]) and passage not in kept[2][302].text and passage not in kept[2][303].text
