@@ -3,7 +3,7 @@
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; a stage
 deletes its predecessor's scratch tables, so results have to be written before it. All
 but the last return the columns of documents; further columns of the input are carried
-along. Null texts count as empty, and empty tables give empty tables.
+along unchanged, whatever their names. Null texts count as empty, and empty tables give empty tables.
 
 * toxicity: documents that score ``toxicity.THRESHOLD`` or more go.
 * simhash_near_dedup: of each group linked by fingerprints within two bits the document
@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
-from skyloom.session import materialise, release_scratch, scratch_tables
+from skyloom.llm.simhash import whole_row
+from skyloom.session import bound_batches, materialise, release_scratch, scratch_tables
 
 #: Scratch tables of the stage called last.
 _last: list[str] = []
@@ -37,7 +38,7 @@ def _staged(stage):
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release_scratch(spark, [path for path in _last if path in scratch_tables()])
         before = set(scratch_tables())
-        result = stage(spark, docs, sf_dir)
+        result = stage(bound_batches(spark), docs, sf_dir)
         _last[:] = [path for path in scratch_tables() if path not in before]
         return result
 
@@ -48,8 +49,8 @@ def _staged(stage):
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels)
-    scored = toxicity.score_documents(docs, model, docs.columns)
-    return scored.where(F.col("_score") < toxicity.THRESHOLD).select(docs.columns)
+    scored = toxicity.score_documents(docs.select("text", whole_row(docs)), model, ["row"])
+    return scored.where(F.col("_score") < toxicity.THRESHOLD).select("row.*")
 
 
 @_staged
@@ -59,22 +60,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 @_staged
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = suffix_dedup.remove_repeats(docs, with_text=True, keep=keep)
+    cut = suffix_dedup.remove_repeats(docs.select("text", whole_row(docs)), with_text=True, keep=["row"])
     values = {
         "text": F.col("kept_text"),
         "n_chars": F.length("kept_text").cast("long"),
     }
-    return cut.select([values[c].alias(c) if c in values else F.col(c) for c in docs.columns])
+    row = F.col("row")
+    return cut.select([(values[c] if c in values else row[c]).alias(c) for c in docs.columns])
 
 
 @_staged
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_contamination(docs, benchmark, with_key=True)
-    hit = found.where("contaminated").select(F.col("doc_id").alias("_hit"), F.col("text_key").alias("_hit_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_hit")) & (simhash.text_key(F.col("text")) == F.col("_hit_key"))
-    return docs.join(materialise(hit.distinct(), "contaminated"), same, "left_anti")
+    hit = found.where("contaminated").select("doc_id", "text_key").distinct()
+    hit = materialise(hit.select(F.col("doc_id").alias("hit"), F.col("text_key").alias("hit_key")), "contaminated")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), simhash.text_key(F.col("text")).alias("key"), whole_row(docs))
+    same = F.col("id").eqNullSafe(F.col("hit")) & (F.col("key") == F.col("hit_key"))
+    return rows.join(hit, same, "left_anti").select("row.*")
 
 
 @_staged

@@ -35,6 +35,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession, size: str = "16m") -> SparkSession:
+    """Rows reach Python tasks in batches of at most about ``size``, unless the session names another bound.
+
+    Several batches are held at once, in the executor and in its Python workers.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "") in ("", "67108864b", "64m", "64MB"):
+        spark.conf.set(key, size)
+    return spark
+
+
 #: Scratch tables written by this process and not yet deleted.
 _written: list[str] = []
 
