@@ -41,7 +41,7 @@ def bound_batches(spark: SparkSession, size: str = "16m") -> SparkSession:
     Several batches are held at once, in the executor and in its Python workers.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "") in ("", "67108864b", "64m", "64MB"):
+    if spark.conf.get(key) == "67108864b":  # the default
         spark.conf.set(key, size)
     return spark
 
