@@ -23,7 +23,7 @@ import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Bytes that the units kept by one task may take, and characters of the longest unit kept.
-KEPT_BYTES = 96 << 20
+KEPT_BYTES = 80 << 20
 LONGEST_KEPT = 256
 #: Bytes of an entry beside its text and ids: two objects and their places in a dictionary.
 _ENTRY = 200
@@ -156,7 +156,7 @@ class Known(dict):
 class LibraryEncoder(UnitEncoder):
     """Units are encoded by the tokenizers library; special tokens in a text are special."""
 
-    def __init__(self, path: str = VOCABULARY, kept_bytes: int = KEPT_BYTES):
+    def __init__(self, path: str = VOCABULARY, kept_bytes: int = 2 * KEPT_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -50,16 +50,17 @@ from pyspark.sql import functions as F
 from skyloom.llm.url_filter import host_and_path
 from skyloom.session import materialise
 
+#: In a tag a quote opens a value only straight after an equals sign; elsewhere it is a character.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?)(?:>|\Z)",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*?)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 # fixed values of HTML: elements without content, with raw content, that end a block
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+RAW = set("script style textarea title noscript template iframe noembed noframes xmp svg".split())
 BLOCK = set(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre
@@ -68,7 +69,7 @@ BLOCK = set(
 #: Elements that hold page furniture.
 FURNITURE = set(
     "nav header footer aside menu dialog button select input label fieldset head title script style "
-    "noscript template iframe textarea svg math object embed canvas audio video search".split()
+    "noscript template iframe textarea svg object embed canvas audio video search".split()
 )
 #: Words in class, id and role names that tell of furniture.
 FURNITURE_NAMES = set(

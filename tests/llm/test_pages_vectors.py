@@ -304,6 +304,21 @@ def test_clean_rows_with_a_contaminated_id_stay(spark, tmp_path):
     assert {tuple(r) for r in kept} == {(None, "clean"), (None, None), (7, "clean"), (9, "z")} and len(kept) == 4
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<article><p title="a"b">First para.</p><p>Second.</p></article>', "First para.\n\nSecond."),
+        ("<article><p data-x=don't>First.</p><p>Second isn't.</p></article>", "First.\n\nSecond isn't."),
+        ('<article><p title="x > y" lang = \'a>b\'>Kept.</p></article>', "Kept."),
+        ('<article><p title="never closed>Text.</p><p>More.</p></article>', "Text.\n\nMore."),
+        ("<article><p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> ends.</p></article>", "E = mc2 ends."),
+    ],
+)
+def test_quotes_in_tags_and_formulas(spark, html, text):
+    pages = spark.createDataFrame([(1, "http://a.com/x", f"<html><body>{html}</body></html>")], "page_id long, url string, html string")
+    assert html_extract.extract_main_text(pages).first().text == text
+
+
 #: Names that operators use for columns of their own, and names that need quoting.
 CLASHING = [
     "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "_text", "_doc", "_stretches", "_name", "_key", "_n",
