@@ -18,6 +18,30 @@ from skyloom.sources.store import FeatureStore
 from skyloom.streaming.jobs import start_feature_stream
 
 
+_WINDOWS = {"size": "4 hours", "slide": "1 hour", "feature-time": "window_start"}
+_EVALUATION = {"limit": None, "order": "", "buckets": None}
+
+
+def _listed(names: str | None) -> list[str]:
+    """The names of a comma-separated list."""
+    return [n.strip() for n in (names or "").split(",") if n.strip()]
+
+
+def _evaluation(args) -> dict:
+    """The test rows that are evaluated, the first ``limit`` in ``order``, and the buckets of the curve."""
+    if args.limit and not _listed(args.order):
+        raise ValueError("--limit needs --order, the columns that say which rows come first")
+    return {
+        "limit": int(args.limit) if args.limit else None,
+        "order": _listed(args.order),
+        "buckets": int(args.buckets) if args.buckets else None,
+    }
+
+
+def _windows(args) -> dict:
+    return {"size": args.size, "slide": args.slide, "feature_time": args.feature_time}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="skyloom")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -32,29 +56,36 @@ def parser() -> argparse.ArgumentParser:
         "features",
         "raw files to airport features, flights and read instances",
         *["input", "output-airports", "output-flights", "output-read-instances", "output-rejects"],
-        **{"output-rejects": None},
+        *["format", "size", "slide", "feature-time"],
+        **{"output-rejects": None, "format": "parquet", **_WINDOWS},
     )
     job(
         "stream-features",
         "the same for files as they arrive, until stopped; --available-now yes drains what is there",
         *["input", "output-airports", "output-flights", "output-read-instances", "output-rejects", "checkpoint"],
-        *["output-open-airports", "available-now", "delay", "max-files"],
+        *["output-open-airports", "available-now", "delay", "max-files", "size", "slide", "feature-time"],
         **{"output-read-instances": "", "output-rejects": "", "output-open-airports": ""},
-        **{"available-now": "no", "delay": "1 hour", "max-files": 0},
+        **{"available-now": "no", "delay": "1 hour", "max-files": 0, **_WINDOWS},
     )
     job("setup-store", "declare the feature groups", "store")
-    job("ingest", "load feature files into the store", "store", "flights", "airports")
+    job(
+        "ingest",
+        "load feature files into the store; feature lists name the columns written, a sequence column decides between versions",
+        *["store", "flights", "airports", "format", "flight-features", "airport-features", "sequence"],
+        **{"flights": None, "airports": None, "format": "parquet"},
+        **{"flight-features": None, "airport-features": None, "sequence": None},
+    )
     job(
         "train-raw",
         "train and evaluate on raw files",
-        *["training-data", "test-split-date", "output"],
-        **{"test-split-date": SPLIT_DATE},
+        *["training-data", "test-split-date", "output", "limit", "order", "buckets"],
+        **{"test-split-date": SPLIT_DATE, **_EVALUATION},
     )
     job(
         "train-joined",
         "train and evaluate on the feature store",
-        *["store", "read-instances", "test-split-date", "output"],
-        **{"test-split-date": SPLIT_DATE},
+        *["store", "read-instances", "test-split-date", "output", "exact", "bucket", "max-age", "limit", "order", "buckets"],
+        **{"test-split-date": SPLIT_DATE, "exact": "", "bucket": "1 day", "max-age": None, **_EVALUATION},
     )
     job(
         "score",
@@ -77,7 +108,7 @@ def main(argv: list[str] | None = None) -> None:
             args.output_read_instances,
             args.output_rejects,
         )
-        run_feature_job(spark, args.input, outputs)
+        run_feature_job(spark, args.input, outputs, args.format, **_windows(args))
     elif args.job == "stream-features":
         outputs = FeatureOutputs(
             args.output_airports, args.output_flights, args.output_read_instances,
@@ -87,6 +118,7 @@ def main(argv: list[str] | None = None) -> None:
         start_feature_stream(
             spark, args.input, outputs, args.checkpoint,
             delay=args.delay, max_files=int(args.max_files) or None, available_now=drained,
+            **_windows(args),
         )
         if not drained:
             spark.streams.awaitAnyTermination()
@@ -96,19 +128,25 @@ def main(argv: list[str] | None = None) -> None:
         store.create(AIRPORT_GROUP)
     elif args.job == "ingest":
         store = FeatureStore(spark, args.store)
-        store.ingest_files(
-            FLIGHT_GROUP, args.flights, entity_id="flight_number", feature_time="timestamp"
-        )
-        store.ingest_files(
-            AIRPORT_GROUP, args.airports, entity_id="origin_airport_id", feature_time="timestamp"
-        )
+        for group, path, names, entity in (
+            (FLIGHT_GROUP, args.flights, args.flight_features, "flight_number"),
+            (AIRPORT_GROUP, args.airports, args.airport_features, "origin_airport_id"),
+        ):
+            if path:
+                store.ingest_files(
+                    group, path, entity_id=entity, feature_time="timestamp", fmt=args.format,
+                    feature_ids=_listed(names) or None, sequence=args.sequence,
+                )
     elif args.job == "train-raw":
-        run_raw_training(spark, args.training_data, args.test_split_date, output=args.output)
+        run_raw_training(
+            spark, args.training_data, args.test_split_date, output=args.output, **_evaluation(args)
+        )
     elif args.job == "train-joined":
         store = FeatureStore(spark, args.store)
         run_joined_training(
-            store, args.read_instances, args.test_split_date, output=args.output
-        )
+            store, args.read_instances, args.test_split_date, output=args.output,
+            exact=tuple(_listed(args.exact)), bucket=args.bucket, max_age=args.max_age, **_evaluation(args),
+        )
     elif args.job == "score":
         model = load_model(args.model)
         requests = spark.read.parquet(args.requests)

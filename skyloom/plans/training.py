@@ -109,8 +109,11 @@ def run_joined_training(
     test_split_date: str = SPLIT_DATE,
     *,
     exact: tuple[str, ...] = (),
+    bucket: str = "1 day",
+    max_age: str | None = None,
     **options,
 ) -> Evaluation:
     """The training job on request rows and the feature store."""
-    rows = joined_rows(store, scan_read_instances(store.spark, read_instances), exact=exact)
+    spine = scan_read_instances(store.spark, read_instances)
+    rows = joined_rows(store, spine, exact=exact, bucket=bucket, max_age=max_age)
     return train_and_evaluate(rows, "timestamp", JOINED_FEATURES, split=test_split_date, **options)

@@ -22,6 +22,7 @@ def start_feature_stream(
     delay: str = "1 hour",
     max_files: int | None = None,
     available_now: bool = False,
+    **windows,
 ) -> list[StreamingQuery]:
     """Flights from arriving text files, and airport features from the flights written.
 
@@ -31,7 +32,8 @@ def start_feature_stream(
     Read instances (from the flights written) and rejects (from the text) are written
     where ``outputs`` names a folder. A folder ``open_airports`` gets, with
     ``available_now``, the windows still open at the end of the input; they are written
-    anew each time, since later input adds to them.
+    anew each time, since later input adds to them. ``windows`` are the size, slide and
+    feature time of the airport features.
     """
     arriving = stream_raw(spark, source, max_files)
     flights = clean_flights(arriving).select(*FLIGHT_SCHEMA.names)
@@ -42,7 +44,7 @@ def start_feature_stream(
         first.awaitTermination()
     written = spark.readStream.schema(FLIGHT_SCHEMA).parquet(outputs.flights)
     second = write_stream(
-        streaming_airport_delays(written, delay=delay),
+        streaming_airport_delays(written, delay=delay, **windows),
         outputs.airports,
         f"{checkpoint}/airports",
         available_now=available_now,
@@ -66,6 +68,6 @@ def start_feature_stream(
             query.awaitTermination()
         if outputs.open_airports:
             closed = spark.read.schema(AIRPORT_SCHEMA).parquet(outputs.airports)
-            rows = open_airport_delays(scan_flights(spark, outputs.flights), closed, delay=delay)
+            rows = open_airport_delays(scan_flights(spark, outputs.flights), closed, delay=delay, **windows)
             rows.write.mode("overwrite").parquet(outputs.open_airports)
     return queries

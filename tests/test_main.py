@@ -1,7 +1,14 @@
+import pytest
+from pyspark.sql import functions as F
+
 from skyloom.__main__ import main
+from skyloom.plans.features import airport_delays
+from skyloom.schemas import AIRPORT_SCHEMA
 from skyloom.session import scratch_path
 from skyloom.sources.events import raw_flights, raw_lines, scan_events
-from skyloom.sources.tables import write_csv
+from skyloom.sources.flights import scan_flights
+from skyloom.sources.store import FeatureStore
+from skyloom.sources.tables import scan_features, write_csv
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,3 +64,65 @@ def test_all_jobs_in_order(spark):
          "--output", f"{base}/scored1"]
     )
     assert spark.read.parquet(f"{base}/scored1").count() == 1
+
+
+def test_options_reach_the_jobs(spark):
+    base = scratch_path(spark, "cli-options")
+    raw_lines(scan_events(spark, SF)).select("line").write.text(f"{base}/raw")
+    main(
+        ["features", "--input", f"{base}/raw", "--output-airports", f"{base}/airports",
+         "--output-flights", f"{base}/flights", "--output-read-instances", f"{base}/spine",
+         "--format", "orc", "--size", "2 hours", "--slide", "30 minutes", "--feature-time", "window_end"]
+    )
+    rows = scan_flights(spark, f"{base}/flights", "orc")
+    wanted = airport_delays(rows, "2 hours", "30 minutes", feature_time="window_end")
+    written = scan_features(spark, f"{base}/airports", AIRPORT_SCHEMA, "orc")
+    keys = ["timestamp", "origin_airport_id"]
+    assert written.count() > 0 and sorted(written.select(keys).collect()) == sorted(wanted.select(keys).collect())
+    names = ["airports", "flights", "open-airports"]
+    main(
+        ["stream-features", "--input", f"{base}/raw", "--checkpoint", f"{base}/c", "--available-now", "yes",
+         "--size", "2 hours", "--slide", "30 minutes", "--feature-time", "window_end",
+         *[a for n in names for a in (f"--output-{n}", f"{base}/stream/{n}")]]
+    )
+    streamed = spark.read.parquet(f"{base}/stream/airports", f"{base}/stream/open-airports")
+    assert sorted(streamed.select(keys).collect()) == sorted(written.select(keys).collect())
+
+    main(["setup-store", "--store", f"{base}/store"])
+    main(["ingest", "--store", f"{base}/store", "--airports", f"{base}/airports", "--format", "orc"])
+    store = FeatureStore(spark, f"{base}/store")
+    assert store.read(store.group("flight")).count() == 0
+    # later versions of one feature arrive first; a lower sequence changes nothing
+    numbered = rows.where("flight_number is not null").dropDuplicates(["flight_number", "timestamp"])
+    for n, taxi in ((2, 20.0), (1, 10.0)):
+        changed = numbered.withColumn("taxi_out_minutes", F.lit(taxi)).withColumn("version", F.lit(n))
+        changed.write.orc(f"{base}/flights{n}")
+        main(
+            ["ingest", "--store", f"{base}/store", "--flights", f"{base}/flights{n}", "--format", "orc",
+             "--flight-features", "taxi_out_minutes", "--sequence", "version"]
+        )
+    held = store.read(store.group("flight")).agg(
+        F.min("taxi_out_minutes"), F.max("taxi_out_minutes"), F.count("distance_miles"), F.count("*")
+    )
+    assert tuple(held.first()) == (20.0, 20.0, 0, numbered.count())
+
+
+def test_evaluation_options(spark):
+    base = scratch_path(spark, "cli-evaluation")
+    write_csv(raw_flights(scan_events(spark, SF)).drop("event_id"), f"{base}/csv")
+    run = ["train-raw", "--training-data", f"{base}/csv", "--test-split-date", "2024-01-20", "--limit", "50"]
+    main([*run, "--output", f"{base}/run", "--order", "DepDelay,TaxiOut,Distance", "--buckets", "4"])
+    matrix = spark.read.parquet(f"{base}/run/metrics/confusion_matrix")
+    assert matrix.agg(F.sum(F.col("predicted_false") + F.col("predicted_true"))).first()[0] == 50
+    with pytest.raises(ValueError, match="--order"):
+        main([*run, "--output", f"{base}/other"])
+
+
+def test_training_options_of_the_joined_job(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr("skyloom.__main__.run_joined_training", lambda *args, **options: seen.update(options))
+    main(
+        ["train-joined", "--store", "s", "--read-instances", "r", "--output", "o", "--exact", "flight",
+         "--bucket", "auto", "--max-age", "2 days"]
+    )
+    assert (seen["exact"], seen["bucket"], seen["max_age"]) == (("flight",), "auto", "2 days")
