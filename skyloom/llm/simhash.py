@@ -13,13 +13,14 @@ tree is built where its queries are, since a shard holds both; nothing is broadc
 shard reports one link per member, to the first of its group there, not all pairs.
 
 Defined cases: null, empty and blank texts have fingerprint zero, and are linked like
-any other; texts are hashed whole; equal rows share a group; rows without a doc_id
+any other; texts are hashed whole, long ones in slices of bounded memory; equal rows share a group; rows without a doc_id
 count for links and never name a group that has an id; an empty table gives an empty
 result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -35,6 +36,10 @@ from skyloom.session import materialise
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
+#: Bytes of a text that are hashed at once; bits are added up over the slices of a longer one.
+SLICE = 1 << 18
+#: The bytes that separate words.
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Fingerprints in a shard before it is cut further.
 LARGEST = 256
 
@@ -76,6 +81,26 @@ def _bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def _long_fingerprint(data: bytes, shingle: int, digest) -> int:
+    """The fingerprint of one text from sums of bits, a slice of the text at a time."""
+    ones, n, held, at = np.zeros(64, np.int64), 0, [], 0
+    while at < len(data):
+        cut = _SPACE.search(data, at + SLICE)
+        end = cut.start() if cut else len(data)
+        found, at = held + data[at:end].split(), end
+        if len(found) >= shingle:
+            runs = map(b" ".join, zip(*(found[k:] for k in range(shingle)), strict=False))
+            hashes = np.fromiter(map(digest, runs), np.uint64)
+            ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            n += len(hashes)
+            # the shingles that run into the next slice start with these
+            found = found[len(found) - shingle + 1 :]
+        held = found
+    if not n:
+        return digest(b" ".join(held)) if held else 0
+    return int(np.packbits(ones * 2 > n).view(">u8")[0])
+
+
 def text_key(text: Column) -> Column:
     """Names a text; null counts as empty."""
     return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
@@ -96,9 +121,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             for first, texts in text_slices(batch, size=1 << 20):
                 hashes: list[np.ndarray] = []
                 owners, starts, n = [], [], 0
+                long_ones: dict[int, int] = {}
                 for row, text in enumerate(texts):
                     # bytes fold A-Z and split at white space in the ASCII range only
-                    found = (text or "").encode().lower().split()
+                    data = (text or "").encode().lower()
+                    if len(data) > SLICE:
+                        long_ones[row] = _long_fingerprint(data, shingle, digest)
+                        continue
+                    found = data.split()
                     if not found:
                         continue
                     if len(found) <= shingle:
@@ -113,6 +143,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 fp = np.zeros(len(texts), np.uint64)
                 if owners:
                     fp[owners] = _bits(np.concatenate(hashes), np.array(starts))
+                for row, value in long_ones.items():
+                    fp[row] = value
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(first, len(texts)),

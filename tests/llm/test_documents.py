@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -269,6 +270,35 @@ def test_near_duplicates_against_brute_force(docs, rows):
     assert len(kept) == len(set(group)) and len(kept[0]) == len(SCHEMA.split(","))
 
 
+@pytest.mark.parametrize("size", [1, 7, 40, 1 << 18])
+def test_long_texts_in_slices(spark, monkeypatch, size):
+    """Slices of any size, cut inside words and white space, give the fingerprint of the whole text."""
+    monkeypatch.setattr(simhash, "SLICE", size)
+    draw = random.Random(size)
+    texts = ["", " \t ", "one", "One  two", "a b c", " a\u00a0b\nC\x0bd " * 9, "x" * 200, "\u00e9" * 90 + " y z"]
+    texts += [" ".join(draw.choice(["Ab", "c", "\u00fc", "dd"]) for _ in range(n)) for n in (2, 3, 4, 50, 400)]
+
+    def digest(data):
+        return xxhash.xxh64_intdigest(data, 42)
+
+    for text in texts:
+        assert simhash._long_fingerprint(text.encode().lower(), 3, digest) == _fingerprint(text)
+
+
+def test_a_very_long_text_takes_little_memory(spark):
+    text = " ".join(f"w{k % 7919}" for k in range(2_000_000))
+    data = text.encode()
+    assert len(data) > 10_000_000
+    tracemalloc.start()
+    value = simhash._long_fingerprint(data, 3, lambda b: xxhash.xxh64_intdigest(b, 42))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
+    frame = spark.createDataFrame([(1, text), (2, "a b c"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: r.fp & (1 << 64) - 1 for r in simhash.fingerprints(frame).collect()}
+    assert found == {1: value, 2: _fingerprint("a b c"), 3: 0}
+
+
 @pytest.mark.parametrize("largest", [256, 4])
 def test_links_of_dense_fingerprints(spark, largest):
     draw = random.Random(11)
