@@ -13,6 +13,9 @@ Everything is counted over all rows. Hosts and token lists are scored once each
 joined back, so a host with a third of all pages is one row until the last join, which
 adaptive execution splits. Nothing is broadcast by hint.
 
+Words of over ``LONGEST_WORD`` characters are not counted; in a host they are split. Urls and
+hosts may be of any length: memory grows in proportion to it.
+
 Defined cases: a url that is null or has no "://" has an empty host and path, no rule,
 and the verdict of the class prior; a null page text adds no words; equal rows have equal
 verdicts; without any page that a rule blocks (or allows) both classes keep their add-one
@@ -53,8 +56,10 @@ SEED_VOTES = 50.0
 SMOOTHING = 1.0
 #: Log-odds of the posterior from which a page that no rule decides is blocked: 0.95.
 BLOCK_FROM = 3.0
-#: Characters of the longest word that a label is split into.
+#: Characters of the longest word that counts, and that a label is split into at a cost of its own.
 LONGEST_WORD = 24
+#: Characters of a label whose parts are looked up together.
+PIECE = 256
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -132,23 +137,31 @@ def segment_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
                 {"label": batch.column(0), "words": pa.array(words, pa.list_(pa.string()))}
             )
 
-    begin = F.explode(F.sequence(F.lit(1), F.length("label")))
-    parts = labels.select("label", begin.alias("at")).select(
-        "label",
+    labels = labels.select(F.monotonically_increasing_id().alias("id"), "label")
+    labels = materialise(labels, "labels")
+    # rows carry a number and a piece, never the label, so they grow in proportion to its length;
+    # pieces overlap by the longest word
+    begin = F.explode(F.sequence(F.lit(1), F.length("label"), F.lit(PIECE)))
+    pieces = labels.select("id", "label", begin.alias("at")).select(
+        "id", F.substring("label", F.col("at"), F.lit(PIECE + LONGEST_WORD - 1)).alias("piece")
+    )
+    places = F.explode(F.sequence(F.lit(1), F.least(F.lit(PIECE), F.length("piece"))))
+    parts = pieces.select("id", "piece", places.alias("at")).select(
+        "id",
         F.explode(
             F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("at") + 1)),
-                lambda n: F.substring(F.col("label"), F.col("at"), n),
+                F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("piece") - F.col("at") + 1)),
+                lambda n: F.substring(F.col("piece"), F.col("at"), n),
             )
         ).alias("word"),
     )
     known = (
         parts.distinct()
         .join(counts, "word")
-        .groupBy("label")
+        .groupBy("id")
         .agg(F.collect_list(F.struct("word", "n")).alias("known"))
     )
-    return labels.join(known, "label", "left").select("label", "known").mapInArrow(
+    return labels.join(known, "id", "left").select("label", "known").mapInArrow(
         run, "label string, words array<string>"
     )
 
@@ -211,38 +224,43 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     )
     votes = materialise(votes.na.fill(0, ["block", "allow"]), "votes")
     sums = [F.sum("block").alias("block"), F.sum("allow").alias("allow")]
-    hosts, shapes = votes.groupBy("host").agg(*sums), votes.groupBy("shape").agg(*sums)
+
+    def numbered(key: str) -> DataFrame:
+        """Tokens carry the number of a host or token list, whose text may be long."""
+        found = votes.groupBy(key).agg(*sums)
+        return materialise(found.withColumn("id", F.monotonically_increasing_id()), f"{key}s")
+
+    hosts, shapes = numbered("host"), numbered("shape")
     judged = votes.agg(*sums).first()
     cast = ((judged.block or 0), (judged.allow or 0))
 
     host_labels = hosts.select(
-        "host", "block", "allow", F.explode(F.split("host", r"[^\p{L}]+")).alias("label")
+        "id", "block", "allow", F.explode(F.split("host", r"[^\p{L}]+")).alias("label")
     ).where("label <> ''")
     words = segment_labels(host_labels.select("label").distinct(), word_counts(pages))
     words = materialise(words, "host-words")
     host_tokens = host_labels.join(words, "label").select(
-        "host", "block", "allow", F.explode("words").alias("word")
-    ).select("host", "block", "allow", F.concat(F.lit("host:"), "word").alias("token"))
+        "id", "block", "allow", F.explode("words").alias("word")
+    ).select("id", "block", "allow", F.concat(F.lit("host:"), "word").alias("token"))
     shape_tokens = shapes.select(
-        "shape", "block", "allow", F.explode(F.split("shape", " ")).alias("word")
+        "id", "block", "allow", F.explode(F.split("shape", " ")).alias("word")
     ).where("word <> ''").select(
-        "shape",
+        "id",
         *[F.when(F.col("word").startswith("/"), 0).otherwise(F.col(k)).alias(k) for k in ("block", "allow")],
         F.concat(F.lit("path:"), F.ltrim("word", F.lit("/"))).alias("token"),
     )
     columns = ["token", "block", "allow"]
     weights = materialise(_token_weights(host_tokens.select(columns).union(shape_tokens.select(columns)), rules), "weights")
 
-    def scored(tokens: DataFrame, key: str, name: str) -> DataFrame:
-        return materialise(
-            tokens.join(weights, "token").groupBy(key).agg(F.sum("weight").alias(name)), "scores"
-        )
+    def scored(tokens: DataFrame, of: DataFrame, key: str, name: str) -> DataFrame:
+        sums = tokens.join(weights, "token").groupBy("id").agg(F.sum("weight").alias(name))
+        return materialise(sums.join(of, "id").select(key, name), "scores")
 
     prior = math.log((cast[0] + 1) / (cast[1] + 1))
     score = F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0)) + F.lit(prior)
     return (
-        rows.join(scored(host_tokens, "host", "host_score"), "host", "left")
-        .join(scored(shape_tokens, "shape", "path_score"), "shape", "left")
+        rows.join(scored(host_tokens, hosts, "host", "host_score"), "host", "left")
+        .join(scored(shape_tokens, shapes, "shape", "path_score"), "shape", "left")
         .select(
             "page_id",
             "host",
