@@ -33,7 +33,8 @@ decoded, white space runs become one space, blocks are trimmed and joined by an
 Defined cases: null or empty html has an empty text; pages without any main text have an
 empty text; unclosed and stray tags are tolerated; an unclosed script or comment takes
 the rest of the page; pages are read whole, whatever their length; equal rows have equal
-texts; a null or odd url counts as the host ""; an empty table gives an empty result;
+texts; depth and unclosed tags take memory and time in proportion (a path of over ``LONG_PATH``
+characters stands as a digest); a null or odd url counts as the host ""; an empty table gives an empty result;
 further columns are ignored, whatever their names.
 """
 
@@ -46,6 +47,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_hexdigest, xxh64_intdigest
 
 from skyloom.llm.url_filter import host_and_path
 from skyloom.session import materialise
@@ -99,6 +101,8 @@ _CLOSES = {
 SUPPORT = 0.5
 #: Pages of a layout from which a slot with one text is constant.
 CONSTANT_FROM = 3
+#: Characters of a path from which elements below it are named by its digest.
+LONG_PATH = 256
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 
 
@@ -142,9 +146,26 @@ class Element:
         self.out = self.main = False
 
 
+def _short(path: str) -> str:
+    """The path, or, where it is long, a digest of it: tokens of deep elements stay short."""
+    if len(path) <= LONG_PATH:
+        return path
+    return "/~" + xxh64_hexdigest(path.encode("utf-8", "surrogatepass"))
+
+
 def walk(page: str) -> Iterator[tuple[str, str, Element | None, bool]]:
     """Yields ("tag", path, innermost element, ends block) and ("text", raw text, innermost element, False)."""
     open_: list[Element] = []
+    # places of the blocks among the open elements, and how many are open by tag
+    blocks: list[int] = []
+    tags: Counter[str] = Counter()
+
+    def close(k: int) -> None:
+        tags.subtract(e.tag for e in open_[k:])
+        del open_[k:]
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
+
     at, size = 0, len(page)
     while at < size:
         found = _TOKEN.search(page, at)
@@ -158,27 +179,25 @@ def walk(page: str) -> Iterator[tuple[str, str, Element | None, bool]]:
         if not name:
             continue
         if found["close"]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k].tag == name:
-                    yield "tag", "/" + open_[k].path, open_[-1], any(e.tag in BLOCK for e in open_[k:])
-                    del open_[k:]
-                    break
-            else:
-                if name in BLOCK:  # a stray end still ends the block
-                    yield "tag", "//" + name, open_[-1] if open_ else None, True
+            if tags[name]:
+                k = len(open_) - 1
+                while open_[k].tag != name:
+                    k -= 1
+                yield "tag", "/" + open_[k].path, open_[-1], bool(blocks and blocks[-1] >= k)
+                close(k)
+            elif name in BLOCK:  # a stray end still ends the block
+                yield "tag", "//" + name, open_[-1] if open_ else None, True
             continue
         if name in BLOCK:
             # formatting elements do not hold a block open, nor does a paragraph
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k].tag not in BLOCK:
-                    continue
+            for k in reversed(blocks):
                 if name in _CLOSES.get(open_[k].tag, ()):
-                    del open_[k:]
+                    close(k)
                 elif open_[k].tag not in _CLOSES:
                     break
         names = _names(found["rest"])
         up = open_[-1] if open_ else None
-        path = f"{up.slot if up else ''}/{name}" + "".join("." + w for n in names for w in n if not w.isdigit())
+        path = f"{_short(up.slot) if up else ''}/{name}" + "".join("." + w for n in names for w in n if not w.isdigit())
         hidden = bool(_HIDDEN.search(found["rest"]))
         element = Element(name, path, up, _level(name, names, hidden, bool(up and up.in_article)))
         yield "tag", path, element, name in BLOCK
@@ -186,6 +205,9 @@ def walk(page: str) -> Iterator[tuple[str, str, Element | None, bool]]:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else size
         elif name not in VOID and not found["rest"].endswith("/") or name in BLOCK and name not in VOID:
+            if name in BLOCK:
+                blocks.append(len(open_))
+            tags[name] += 1
             open_.append(element)
 
 
@@ -240,9 +262,10 @@ def settled(page: str) -> list[tuple[str, str, Element | None, bool]]:
     return events
 
 
-def occurrences(events: list[tuple]) -> Counter[str]:
-    """How often each tag token occurs; texts and closing tags are no tokens of the template."""
-    return Counter(event[1] for event in events if _opens(event))
+def occurrences(events: list[tuple]) -> Counter[tuple[str, str]]:
+    """How often each (tag token, parent) occurs; texts and closing tags are no tokens of the template."""
+    opened = (event[2] for event in events if _opens(event))
+    return Counter((e.path, e.up.slot if e.up else "") for e in opened)
 
 
 def slot_texts(events: list[tuple]) -> dict[str, str]:
@@ -293,13 +316,12 @@ def host_templates(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator):
         import pyarrow as pa
-        import xxhash
 
         def digest(text: str) -> int:
-            return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+            return xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
         for batch in batches:
-            sums: dict[tuple[str, str, str], list[int]] = {}
+            sums: dict[tuple[str, str, str, str], list[int]] = {}
             for host, number, page in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True
             ):
@@ -311,19 +333,19 @@ def host_templates(pages: DataFrame) -> DataFrame:
                 layout = layout_of(events, texts)
                 # the token "" stands for the whole page
                 whole = digest("\n".join(f"{slot} {text}" for slot, text in sorted(texts.items())))
-                for token, n in [*occurrences(events).items(), ("", 1)]:
+                for (token, parent), n in [*occurrences(events).items(), (("", ""), 1)]:
                     text = digest(texts.get(token, "")) if token else whole
-                    held = sums.setdefault((host, layout, token), [0, 0, 0, 0, text, text])
+                    held = sums.setdefault((host, layout, token, parent), [0, 0, 0, 0, text, text])
                     held[0] += 1
                     held[1] += n
                     held[2] = max(held[2], n)
-                    held[3] += xxhash.xxh64_intdigest(b"%d %d" % (number, n)) >> 24
+                    held[3] += xxh64_intdigest(b"%d %d" % (number, n)) >> 24
                     held[4], held[5] = min(held[4], text), max(held[5], text)
             yield pa.RecordBatch.from_pydict(
                 {
                     **{
                         name: pa.array([key[k] for key in sums], pa.string())
-                        for k, name in enumerate(("host", "layout", "token"))
+                        for k, name in enumerate(("host", "layout", "token", "parent"))
                     },
                     **{
                         name: pa.array([v[k] for v in sums.values()], pa.int64())
@@ -335,11 +357,11 @@ def host_templates(pages: DataFrame) -> DataFrame:
     rows = pages.select("host", F.xxhash64("html").alias("number"), "html")
     counted = rows.mapInArrow(
         run,
-        "host string, layout string, token string, pages long, total long, most long, vector long,"
+        "host string, layout string, token string, parent string, pages long, total long, most long, vector long,"
         " least_text long, most_text long",
     )
     counted = materialise(
-        counted.groupBy("host", "layout", "token").agg(
+        counted.groupBy("host", "layout", "token", "parent").agg(
             F.sum("pages").alias("pages"),
             F.sum("total").alias("total"),
             F.max("most").alias("most"),
@@ -357,7 +379,7 @@ def host_templates(pages: DataFrame) -> DataFrame:
         "host",
         "layout",
         "token",
-        F.regexp_extract("token", r"^(.*)/[^/]*$", 1).alias("parent"),
+        "parent",
         "vector",
         ((F.col("most") == 1) & (F.col("total") == F.col("pages"))).alias("at_once"),
         (
