@@ -2,6 +2,64 @@
 
 from __future__ import annotations
 
+#: Words by place; every place of a document starts a window of each size that items have.
+OP2 = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS MATERIALIZED (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, size, array_to_string(w[p + 1 : p + size], ' ') AS phrase
+  FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(len(w) - least(len(w), 10) + 1)) AS p
+        FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT r, size, w, unnest(range(len(w) - size + 1)) AS p FROM docs, sizes WHERE len(w) >= size
+), found AS MATERIALIZED (
+  SELECT r, size, p, item_id
+  FROM (SELECT r, size, p, array_to_string(w[p + 1 : p + size], ' ') AS phrase FROM places) AS placed
+  JOIN windows USING (size, phrase)
+), hit AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS place FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+#: All pairs of sound vectors, and whom links reach.
+OP10 = r"""
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS x
+  FROM embeddings
+), sound AS MATERIALIZED (
+  SELECT r, vec_id, len(x) AS width, list_transform(x, lambda e: e / norm) AS u
+  FROM (SELECT *, sqrt(list_sum(list_transform(x, lambda e: e * e))) AS norm FROM vectors
+        WHERE len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0)
+  WHERE norm > 0
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS va, b.vec_id AS vb
+  FROM sound AS a JOIN sound AS b ON a.width = b.width AND a.r <> b.r
+  WHERE list_dot_product(a.u, b.u) >= 0.9
+), reached (a, b) AS (
+  SELECT r, r FROM vectors UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), least AS (
+  SELECT reached.a AS r, min(vec_id) AS component_id FROM reached JOIN vectors ON vectors.r = reached.b GROUP BY reached.a
+), counted AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, coalesce(n, 0) AS n_links, CAST(component_id AS BIGINT) AS component_id,
+       coalesce(vec_id = component_id, false) AS kept
+FROM vectors JOIN least USING (r) LEFT JOIN counted USING (r)
+"""
+
 #: Every line of a document with its key; a row of the table has a number of its own.
 OP11 = r"""
 WITH texts AS (

@@ -106,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Tokenizers, learned scores and page structure cannot be said in DuckDB's SQL.
 ORACLES: dict[str, str] = {
+    "op2_benchmark_decontamination": oracles.OP2,
+    "op10_embedding_near_dedup": oracles.OP10,
     "op11_line_dedup": oracles.OP11,
     "op12_centroid_clustering": oracles.OP12,
     "op13_merkle_manifest": oracles.OP13,

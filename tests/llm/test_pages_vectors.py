@@ -2,14 +2,18 @@
 
 import math
 import random
+import time
+import tracemalloc
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyloom.llm import embedding_dedup, html_extract, toxicity, url_filter
+from skyloom.llm.queries import ORACLES, QUERIES
 
 
 def test_rules_and_parts(spark):
@@ -212,6 +216,69 @@ def test_equal_vectors_share_a_class(spark):
     assert root <= valid and any(t.endswith("/article") for t in root)
 
 
+def test_long_hosts_grow_in_proportion(spark):
+    """A label of 40,000 letters and a host of 20,000 labels are split like short ones."""
+    draw = random.Random(3)
+    label = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(38_000)) + "cheappills" * 200
+    dotted = ".".join(draw.choice(["cheap", "pills", "news"]) for _ in range(20_000))
+    hosts = [label, f"{label}.net", dotted, "cheappills.example.com"]
+    pages = spark.createDataFrame(
+        [(k, f"http://{h}/es/{k}", "cheap pills free news") for k, h in enumerate(hosts)], "page_id long, url string, html string"
+    )
+    found = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}
+    assert [found[k].host for k in range(4)] == hosts and found[1].rule == "net/" and found[3].verdict == "block"
+    counts = url_filter.word_counts(pages)
+    words = url_filter.segment_labels(spark.createDataFrame([(label,), ("cheappills",)], "label string"), counts)
+    split = {r.label: r.words for r in words.collect()}
+    assert "".join(split[label]) == label and split["cheappills"] == ["cheap", "pills"]
+    assert split[label][-400:] == ["cheap", "pills"] * 200
+
+
+def test_pieces_lose_no_word(spark):
+    """Words that lie across the ends of pieces are found."""
+    label = "xq" * 124 + "morningstars" + "zv" * 124 + "thrush"
+    at = [label.index("morningstars"), label.index("thrush")]
+    assert at[0] < url_filter.PIECE < at[0] + 12 and at[1] < 2 * url_filter.PIECE < at[1] + 6
+    counts = spark.createDataFrame([("morningstars", 5), ("thrush", 4), ("xqxq", 1)], "word string, n long")
+    (row,) = url_filter.segment_labels(spark.createDataFrame([(label,)], "label string"), counts).collect()
+    known = {r.word: r.n for r in counts.collect()}
+    listed = {w: 1 for words in url_filter.SEEDS.values() for w in words}
+    assert row.words == url_filter.split_label(label, listed | known, 10)
+    assert {"morningstars", "thrush"} <= set(row.words)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 20_000 + "Text." + "</div>" * 20_000,
+        "".join(f'<div class="level{k}x">' for k in range(20_000)) + "Text.",
+        "<b>" * 80_000 + "<div>Text.</div>",
+        "".join(f"<i><p>t{k}</p></u>" for k in range(30_000)),
+    ],
+    ids=["nested", "named", "unclosed", "stray"],
+)
+def test_depth_and_unclosed_tags_grow_in_proportion(page):
+    tracemalloc.start()
+    began = time.process_time()
+    blocks = html_extract.main_blocks(page, html_extract.Template([]))
+    events = html_extract.settled(page)
+    html_extract.occurrences(events)
+    peak, spent = tracemalloc.get_traced_memory()[1], time.process_time() - began
+    tracemalloc.stop()
+    assert blocks[-1] in ("Text.", "t29999") and peak < 100_000_000 and spent < 20
+
+
+def test_tokens_of_deep_pages_name_their_parents():
+    """Digests of long paths keep the tokens of a page apart and tie each to the token around it."""
+    page = "".join(f"<div class=c{k}><p>x</p>" for k in range(300))
+    tokens = html_extract.occurrences(html_extract.settled(page))
+    parents = {token: parent for token, parent in tokens}
+    assert len(tokens) == len(parents) == 600 and set(tokens.values()) == {1}
+    assert {p for p in parents.values() if p} <= set(parents) and max(map(len, parents)) < 300
+    template = [{"token": t, "parent": p, "at_once": True, "vector": 1} for t, p in tokens]
+    assert html_extract.nested(template)[1] == set(parents)
+
+
 def test_template_survives_odd_pages(spark):
     def page(k):
         cards = "".join(f"<article class=card><p>Card {k} {n}</p></article>" for n in range(k % 3 + 2))
@@ -295,6 +362,31 @@ def test_vectors_against_brute_force(spark):
     assert embedding_dedup.near_duplicate_vectors(frame.where("false")).count() == 0
 
 
+def test_vectors_as_registered_against_sql(spark, tmp_path):
+    """The registered recall, on planted links at the least cosine, against all pairs in SQL."""
+    draw = np.random.default_rng(9)
+    base = draw.normal(size=(600, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = draw.normal(size=base.shape)
+    away -= (away * base).sum(axis=1, keepdims=True) * base
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = np.linspace(0.902, 0.96, len(base))[:, None]
+    near = cosine * base + np.sqrt(1 - cosine**2) * away
+    values = [v.tolist() for v in [*base, *near]] + [None, [], [0.0] * 64, [math.nan] * 64, [1.0], base[0].tolist()]
+    rows = [(k, v, k % 3) for k, v in enumerate(values)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    wanted = {r[0]: r[1:] for r in connection.execute(ORACLES["op10_embedding_near_dedup"]).fetchall()}
+    assert sum(n for n, *_ in wanted.values()) >= 1200
+    result = QUERIES["op10_embedding_near_dedup"](spark, str(tmp_path)).collect()
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in result}
+    assert len(result) == len(wanted) == len(values)
+    # no link too many, and at most a few of the 1,200 ends missed
+    assert all(found[k][0] <= wanted[k][0] for k in wanted)
+    assert sum(found[k] != wanted[k] for k in wanted) <= 12
+
+
 def test_clean_rows_with_a_contaminated_id_stay(spark, tmp_path):
     leak = " ".join(f"leak{k}" for k in range(12))
     spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
