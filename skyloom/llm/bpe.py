@@ -29,6 +29,10 @@ from skyloom.llm.encoding import LONGEST_KEPT, VOCABULARY, UnitEncoder, byte_cha
 from skyloom.llm.memory import encoding_task, shared_encoder
 
 SHORT = 64
+#: Characters of texts that are encoded at once, and bytes that the units kept may take: several workers
+#: share an executor with a heap that earlier stages have filled.
+SLICE = 1 << 20
+KEPT_BYTES = 48 << 20
 _NONE = np.iinfo(np.int32).max
 
 
@@ -69,8 +73,8 @@ class MergeTable:
 class RankArrayEncoder(UnitEncoder):
     """Encodes and decodes with a byte-level BPE vocabulary file."""
 
-    def __init__(self, path: str = VOCABULARY, **options):
-        super().__init__(path, **options)
+    def __init__(self, path: str = VOCABULARY, kept_bytes: int = KEPT_BYTES):
+        super().__init__(path, kept_bytes)
         # two generations, as for the library's encoder
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -221,7 +225,7 @@ def encode_documents(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
         encoder = shared_encoder(RankArrayEncoder, path)
         for batch in batches:
-            for first, texts in text_slices(batch):
+            for first, texts in text_slices(batch, size=SLICE):
                 ids = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -250,21 +254,25 @@ def encoding_digests(docs: DataFrame, path: str = VOCABULARY, with_ids: bool = F
         encoder = shared_encoder(RankArrayEncoder, path)
         decimal = encoder.decimal.__getitem__
         for batch in batches:
-            for first, texts in text_slices(batch):
+            for first, texts in text_slices(batch, size=SLICE):
                 encoded = encoder.encode(texts)
-                lists = [np.frombuffer(b, "<u4").tolist() for b in encoded]
+                sizes = np.array([len(b) // 4 for b in encoded], np.int64)
+                shown, decoded = [], []
+                # Python's integers of one text at a time
+                for packed in encoded:
+                    ids = np.frombuffer(packed, "<u4").tolist()
+                    shown.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
                 columns = {
                     "doc_id": batch.column(0).slice(first, len(texts)),
-                    "n_tokens": pa.array([len(i) for i in lists], pa.int64()),
-                    "ids_sha256": [
-                        hashlib.sha256(",".join(map(decimal, i)).encode()).hexdigest() for i in lists
-                    ],
-                    "decoded_sha256": [
-                        hashlib.sha256(encoder.decode(i).encode()).hexdigest() for i in lists
-                    ],
+                    "n_tokens": pa.array(sizes),
+                    "ids_sha256": pa.array(shown, pa.string()),
+                    "decoded_sha256": pa.array(decoded, pa.string()),
                 }
                 if with_ids:
-                    columns["token_ids"] = pa.array(lists, pa.list_(pa.int32()))
+                    starts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                    values = pa.array(np.frombuffer(b"".join(encoded), "<u4").view("<i4"))
+                    columns["token_ids"] = pa.ListArray.from_arrays(starts, values)
                 yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

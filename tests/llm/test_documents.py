@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -186,6 +187,36 @@ def test_digests(docs, rows, reference):
     assert Counter((r.doc_id, r.decoded) for r in pairs) == Counter((d, t or "") for d, t in rows)
 
 
+class _Tasks:
+    """Stands for a frame and hands out the function of its tasks."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_encoding_takes_little_memory(spark, reference):
+    """Many different words in one batch: what is held at once depends neither on the batch nor on the words."""
+    draw = random.Random(11)
+    texts = [" ".join("%07x" % draw.randrange(1 << 28) for _ in range(1_000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(600), pa.int64()), "text": pa.array(texts, pa.string())})
+    task = bpe.encoding_digests(_Tasks(), with_ids=True)
+    list(task(iter([batch.slice(0, 1)])))  # the encoder
+    tracemalloc.start()
+    sizes, seen = [], {}
+    for out in task(iter([batch])):
+        sizes.append(out.num_rows)
+        for k in range(0, out.num_rows, 50):
+            seen[out.column(0)[k].as_py()] = out.column(4)[k].as_py()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == len(texts)
+    assert seen == {k: reference.encode(texts[k], add_special_tokens=False).ids for k in seen}
+    assert peak < 80_000_000
+
+
 def test_token_files(spark, docs, rows, reference, tmp_path):
     target = str(tmp_path / "tokens")
     token_orc.write_tokens(docs, target)
